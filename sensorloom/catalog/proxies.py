@@ -9,15 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom import schemas
 from sensorloom.catalog.registry import exact_mean, half_even
 from sensorloom.functions.numeric import exact_mean as mean_of
 from sensorloom.functions.numeric import portable_round
 from sensorloom.operators.dedup import keep_first
 from sensorloom.plans import star
+from sensorloom.session import scratch_path
+from sensorloom.sources import sinks
 
 STATION_TYPES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 BACKGROUND, TRAFFIC = "EUROPE", "ASIA"
-STATIONS = ["Supplier#000000001", "Supplier#000000002"]
+STATIONS = ["SUPPLIER#000000001", "SUPPLIER#000000002"]
 FLAG = "A"
 GUIDELINE = 25.0
 
@@ -175,7 +178,7 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Suppliers are stations; line items per day, supplier and flag are the daily facts.
 STAR = f"""
 stations AS (
-    SELECT CAST(ROW_NUMBER() OVER (ORDER BY s_name) AS INTEGER) AS station_id, s_name AS station_code,
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY s_name) AS INTEGER) AS station_id, UPPER(s_name) AS station_code,
            n_name AS station_name, r_name AS station_type
     FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
@@ -185,7 +188,7 @@ pollutants AS (
     FROM (SELECT DISTINCT l_returnflag FROM lineitem)
 ),
 daily AS (
-    SELECT CAST(l_shipdate AS DATE) AS date, s_name AS station_code, l_returnflag AS pollutant_code,
+    SELECT CAST(l_shipdate AS DATE) AS date, UPPER(s_name) AS station_code, l_returnflag AS pollutant_code,
            {half_even(exact_mean("l_quantity"), 2)} AS mean,
            {half_even("MAX(l_extendedprice)", 2)} AS max,
            COUNT(l_quantity) AS n_hours
@@ -228,7 +231,7 @@ def station_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily facts by station code and pollutant code."""
     items = table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("station_code")
+        F.col("s_suppkey").alias("l_suppkey"), F.upper("s_name").alias("station_code")
     )
     by_supplier = items.groupBy(
         ship_day().alias("date"), "l_suppkey", F.col("l_returnflag").alias("pollutant_code")
@@ -250,7 +253,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, "s_nationkey")
         .join(region, "n_regionkey")
         .select(
-            F.col("s_name").alias("station_code"),
+            F.upper("s_name").alias("station_code"),
             F.col("n_name").alias("station_name"),
             F.col("r_name").alias("station_type"),
         )
@@ -266,14 +269,44 @@ def pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def star_tables(spark: SparkSession, sf_dir: str, number_facts: bool = False) -> dict[str, DataFrame]:
+def built_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema from its sources; the daily facts are stored first, as M1 does."""
+    path = scratch_path(spark, "daily")
+    sinks.write_table(station_daily(spark, sf_dir), path)
     return star.build_star(
         stations(spark, sf_dir),
         pollutants(spark, sf_dir),
-        station_daily(spark, sf_dir),
+        spark.read.schema(schemas.DAILY).parquet(path),
         public_holidays(spark, sf_dir),
         school_days(spark, sf_dir),
         weather(spark, sf_dir),
         episodes(spark, sf_dir),
-        number_facts=number_facts,
     )
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, label: str, write) -> str:
+    """The folder of a derived table, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _STORED:
+        path = scratch_path(spark, label)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stored star schema, which the queries and reads work on."""
+    path = _stored(spark, sf_dir, "star", lambda path: sinks.write_star(built_star(spark, sf_dir), path))
+    return sinks.read_star(spark, path)
+
+
+def denormalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored denormalised table, a folder per year."""
+
+    def write(path):
+        sinks.write_partitioned(star.denormalise(star_tables(spark, sf_dir), FLAG, GUIDELINE), path)
+
+    return spark.read.schema(schemas.DENORMALISED).parquet(_stored(spark, sf_dir, "denormalised", write))

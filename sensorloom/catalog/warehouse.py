@@ -16,6 +16,8 @@ from sensorloom.catalog.proxies import (
     STATION_TYPES,
     STATIONS,
     TRAFFIC,
+    built_star,
+    denormalised,
     star_tables,
     table,
 )
@@ -23,8 +25,6 @@ from sensorloom.catalog.registry import exact_mean, half_up, register
 from sensorloom.functions.numeric import classes_right_closed
 from sensorloom.operators import filters, keys, nested, paging, quality
 from sensorloom.plans import analysis, dataset, reads, star
-from sensorloom.session import scratch_path
-from sensorloom.sources import sinks
 
 STATION_LIST = ", ".join(f"'{code}'" for code in STATIONS)
 
@@ -153,14 +153,10 @@ denormalised AS (
 )"""
 
 
-def denormalised_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.denormalise(star_tables(spark, sf_dir), FLAG, GUIDELINE)
-
-
 @register("denormalised_daily", f"WITH {DENORMALISED} SELECT * FROM denormalised")
 def denormalised_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3, B13, B17."""
-    return denormalised_rows(spark, sf_dir)
+    return star.denormalise(star_tables(spark, sf_dir), FLAG, GUIDELINE)
 
 
 MONTHS_1998 = f"""
@@ -174,18 +170,14 @@ MONTHS_1998 = f"""
 @register("pruned_month", MONTHS_1998)
 def pruned_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partitioned table, read with its partition filter."""
-    path = scratch_path(spark, "denormalised")
-    sinks.write_partitioned(denormalised_rows(spark, sf_dir), path)
-    stored = spark.read.parquet(path).filter(F.col("year") == 1998)
+    stored = denormalised(spark, sf_dir).filter(F.col("year") == 1998)
     return analysis.month_of_year(stored, FLAG, STATIONS[0])
 
 
 @register("date_range_month", MONTHS_1998)
 def date_range_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day range on the partitioned table, with the year range that prunes beside it."""
-    path = scratch_path(spark, "denormalised")
-    sinks.write_partitioned(denormalised_rows(spark, sf_dir), path)
-    stored = filters.with_date_range(spark.read.parquet(path), "1998-01-01", "1998-12-31")
+    stored = filters.with_date_range(denormalised(spark, sf_dir), "1998-01-01", "1998-12-31")
     return analysis.month_of_year(stored, FLAG, STATIONS[0])
 
 
@@ -200,7 +192,7 @@ def date_range_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def type_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5: conditional means without a join."""
-    return analysis.type_means(denormalised_rows(spark, sf_dir), FLAG, BACKGROUND, TRAFFIC)
+    return analysis.type_means(denormalised(spark, sf_dir), FLAG, BACKGROUND, TRAFFIC)
 
 
 @register(
@@ -217,13 +209,13 @@ def type_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def class_left_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B19, C11."""
-    return analysis.wind_classes(denormalised_rows(spark, sf_dir), FLAG, STATIONS)
+    return analysis.wind_classes(denormalised(spark, sf_dir), FLAG, STATIONS)
 
 
 @register("rows_per_year", f"WITH {DENORMALISED} SELECT year, COUNT(*) AS n_rows FROM denormalised GROUP BY 1")
 def rows_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E18."""
-    return analysis.rows_per_year(denormalised_rows(spark, sf_dir))
+    return analysis.rows_per_year(denormalised(spark, sf_dir))
 
 
 @register(
@@ -268,13 +260,13 @@ def dense_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table with all its keys."""
-    return star_tables(spark, sf_dir, number_facts=True)["daily_measurement"]
+    return built_star(spark, sf_dir)["daily_measurement"]
 
 
 @register("star_calendar", f"WITH {STAR} SELECT * FROM calendar")
 def star_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar dimension."""
-    return star_tables(spark, sf_dir)["calendar"]
+    return built_star(spark, sf_dir)["calendar"]
 
 
 @register(
@@ -288,7 +280,7 @@ def star_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episodes of known pollutants within the calendar."""
-    return star_tables(spark, sf_dir, number_facts=True)["episode"]
+    return built_star(spark, sf_dir)["episode"]
 
 
 # --- reads ----------------------------------------------------------------------------------------
@@ -390,10 +382,10 @@ def station_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unfolded.select("station_code", "station_name", "station_type", "p.*")
 
 
-@register("one_station", f"WITH {STAR} SELECT * FROM ({SUMMARY}) WHERE station_code = UPPER('{STATIONS[0].upper()}')")
+@register("one_station", f"WITH {STAR} SELECT * FROM ({SUMMARY}) WHERE station_code = UPPER('{STATIONS[0]}')")
 def one_station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The point lookup upper-cases its code, so a mixed-case code finds nothing."""
-    document = reads.get_station(star_tables(spark, sf_dir), STATIONS[0], flagged=FLAG, threshold=GUIDELINE)
+    """A point lookup, the code in any case."""
+    document = reads.get_station(star_tables(spark, sf_dir), STATIONS[0].lower(), flagged=FLAG, threshold=GUIDELINE)
     unfolded = document.select("station_code", "station_name", "station_type", F.explode("pollutants").alias("p"))
     return unfolded.select("station_code", "station_name", "station_type", "p.*")
 
@@ -414,7 +406,7 @@ def one_station(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def measurement_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: nested documents of all measurements, flattened for the comparison."""
-    documents = reads.measurement_documents(star_tables(spark, sf_dir, True), FLAG, GUIDELINE)
+    documents = reads.measurement_documents(star_tables(spark, sf_dir), FLAG, GUIDELINE)
     listed = F.array_join(
         F.transform("episodes_of_the_day", lambda e: F.concat_ws(":", e["pollutant_code"], e["level"], e["source"])), "|"
     )
@@ -582,7 +574,7 @@ def conditional_prob(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("schema_fields")
 def schema_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H4: the schema of the denormalised table as rows of name, type and mode."""
-    fields = nested.schema_fields(denormalised_rows(spark, sf_dir).schema)
+    fields = nested.schema_fields(denormalised(spark, sf_dir).schema)
     layout = "name string, type string, mode string"
     return spark.createDataFrame([(f["name"], f["type"], f["mode"]) for f in fields], layout)
 

@@ -7,19 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.session import shared_folder
+from sensorloom.session import scratch_path
 
 
 def dense_ids(df: DataFrame, order: Sequence[Column | str], identifier: str) -> DataFrame:
     """1, 2, 3, .. in a total order, without sorting anything in one task.
 
-    A range sort splits hot values of the first order column because the order is unique. The
-    sorted rows are checkpointed, so the per-partition counts and the numbered rows see the same
-    partitions even when an executor is lost in between.
+    A range sort splits hot values of the first order column because the whole order is unique.
+    The sorted rows are written to the shared folder, so the counts per partition and the numbered
+    rows see the same partitions even when an executor is lost in between.
     """
-    shared_folder(df.sparkSession)
-    slot = F.monotonically_increasing_id()
-    ordered = df.sort(*order).withColumn("_slot", slot).checkpoint()
+    spark = df.sparkSession
+    path = scratch_path(spark, "ordered")
+    df.sort(*order).withColumn("_slot", F.monotonically_increasing_id()).write.parquet(path)
+    ordered = spark.read.parquet(path)
     part = F.shiftrightunsigned("_slot", 33).alias("_part")
     counts = ordered.groupBy(part).agg(F.count("*").alias("_rows"))
     # One row per sort partition: bounded by the shuffle partitions, hence window and broadcast.
