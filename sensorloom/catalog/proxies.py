@@ -269,21 +269,6 @@ def pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def built_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star schema from its sources; the daily facts are stored first, as M1 does."""
-    path = scratch_path(spark, "daily")
-    sinks.write_table(station_daily(spark, sf_dir), path)
-    return star.build_star(
-        stations(spark, sf_dir),
-        pollutants(spark, sf_dir),
-        spark.read.schema(schemas.DAILY).parquet(path),
-        public_holidays(spark, sf_dir),
-        school_days(spark, sf_dir),
-        weather(spark, sf_dir),
-        episodes(spark, sf_dir),
-    )
-
-
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -297,6 +282,27 @@ def _stored(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     return _STORED[key]
 
 
+def stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored daily facts, which the star schema and the dataset start from."""
+    path = _stored(
+        spark, sf_dir, "daily", lambda path: sinks.write_table(station_daily(spark, sf_dir), path)
+    )
+    return spark.read.schema(schemas.DAILY).parquet(path)
+
+
+def built_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema from its sources."""
+    return star.build_star(
+        stations(spark, sf_dir),
+        pollutants(spark, sf_dir),
+        stored_daily(spark, sf_dir),
+        public_holidays(spark, sf_dir),
+        school_days(spark, sf_dir),
+        weather(spark, sf_dir),
+        episodes(spark, sf_dir),
+    )
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The stored star schema, which the queries and reads work on."""
     path = _stored(spark, sf_dir, "star", lambda path: sinks.write_star(built_star(spark, sf_dir), path))

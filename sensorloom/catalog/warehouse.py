@@ -266,7 +266,11 @@ def star_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("star_calendar", f"WITH {STAR} SELECT * FROM calendar")
 def star_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar dimension."""
-    return built_star(spark, sf_dir)["calendar"]
+    return star.calendar_dimension(
+        proxies.station_daily(spark, sf_dir),
+        proxies.public_holidays(spark, sf_dir),
+        proxies.school_days(spark, sf_dir),
+    )
 
 
 @register(
@@ -481,7 +485,7 @@ dataset AS (
 
 def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.build_dataset(
-        proxies.station_daily(spark, sf_dir),
+        proxies.stored_daily(spark, sf_dir),
         ["A", "N", "R"],
         proxies.weather(spark, sf_dir),
         proxies.public_holidays(spark, sf_dir),

@@ -119,9 +119,15 @@ def quantiles(
 
 
 def compare_groups(
-    df: DataFrame, group: str, value: str, threshold: float, digits: int = 4, decimals: int = 4
+    df: DataFrame,
+    group: str,
+    value: str,
+    threshold: float,
+    digits: int = 4,
+    decimals: int = 4,
+    width: float = 1.0,
 ) -> DataFrame:
-    """Count, mean, share above and quartiles per group."""
+    """Count, mean, share above and quartiles per group; `width` as in `quantiles`."""
     measured = df.filter(F.col(value).isNotNull())
     summary = measured.groupBy(group).agg(
         F.count(value).alias("n"),
@@ -130,7 +136,7 @@ def compare_groups(
             "share_above"
         ),
     )
-    quartile = quantiles(measured, [group], value, [0.25, 0.5, 0.75])
+    quartile = quantiles(measured, [group], value, [0.25, 0.5, 0.75], width)
     wide = quartile.groupBy(group).agg(
         *[
             portable_round(F.max(F.when(F.col("share") == share, F.col("quantile"))), digits).alias(name)
