@@ -137,7 +137,7 @@ def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "monthly_resample",
     f"""
-    WITH {DAILY_FACT}, a AS (SELECT date, mean FROM daily_fact WHERE flag = 'A' AND MONTH(date) <> 3),
+    WITH {DAILY_FACT}, a AS (SELECT date, mean FROM daily_fact WHERE flag = 'A'),
     months AS (
         SELECT CAST(UNNEST(GENERATE_SERIES((SELECT DATE_TRUNC('month', MIN(date)) FROM a),
                                            (SELECT DATE_TRUNC('month', MAX(date)) FROM a), INTERVAL 1 MONTH)) AS DATE) AS m
@@ -146,8 +146,8 @@ def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM months LEFT JOIN a ON CAST(DATE_TRUNC('month', a.date) AS DATE) = m GROUP BY 1""",
 )
 def monthly_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """monthly means of a series without any March; its Marches show as NULL."""
-    series = daily_fact(spark, sf_dir).filter((F.col("flag") == "A") & (F.month("date") != 3))
+    """the mean of every month of a series."""
+    series = daily_fact(spark, sf_dir).filter(F.col("flag") == "A")
     return timeseries.monthly_mean(series.select("date", "mean"), "mean", 4)
 
 
@@ -168,20 +168,16 @@ def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     "empty_years",
     f"""
     WITH {STAR}
-    SELECT c.year FROM calendar c LEFT JOIN (SELECT * FROM fact WHERE mean > 49.9 AND station_type = 'EUROPE'
-                                             AND MONTH(date) = 2 AND DAY(date) = 1) f ON f.date = c.date
+    SELECT c.year FROM calendar c
+    LEFT JOIN (SELECT * FROM fact WHERE MONTH(date) = 2 AND DAY(date) = 29) f ON f.date = c.date
     GROUP BY 1 HAVING COUNT(f.mean) = 0""",
 )
 def empty_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """years in which no European station reached the top value on the first of February."""
+    """years without a value on the 29th of February."""
     tables = star_tables(spark, sf_dir)
-    top = (
-        tables["daily_measurement"]
-        .filter((F.col("mean") > 49.9) & (F.month("date") == 2) & (F.dayofmonth("date") == 1))
-        .join(tables["station"].filter(F.col("station_type") == "EUROPE"), "station_id")
-        .select("date", "mean")
-    )
-    return timeseries.empty_years(calendar.on_spine(top, tables["calendar"].select("date")), "mean")
+    leap_day = (F.month("date") == 2) & (F.dayofmonth("date") == 29)
+    values = tables["daily_measurement"].filter(leap_day).select("date", "mean")
+    return timeseries.empty_years(calendar.on_spine(values, tables["calendar"].select("date")), "mean")
 
 
 # --- statistics -----------------------------------------------------------------------------------

@@ -107,16 +107,21 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return scan_csv(spark, path)
 
 
-def read_indices(spark: SparkSession, path: str) -> DataFrame:
+def read_indices(spark: SparkSession, path: str, pattern: str | None = INDEX_FILE) -> DataFrame:
     """Municipality indices of all files, with their day parsed."""
-    df = scan_csv(spark, path, pattern=INDEX_FILE)
+    df = scan_csv(spark, path, pattern=pattern)
     return df.withColumn("date", french_day(F.col("date")))
 
 
-def map_rows(json: DataFrame, column: str, key: str = "date", value: str = "holiday_name") -> DataFrame:
+def map_rows(
+    df: DataFrame,
+    column: str,
+    key: str = "date",
+    value: str = "holiday_name",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """JSON objects `{key: value}` -> a row per entry."""
-    entries = json.select(F.explode(F.from_json(column, "map<string,string>")).alias(key, value))
-    return entries
+    return df.select(*keep, F.explode(F.from_json(column, "map<string,string>")).alias(key, value))
 
 
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
