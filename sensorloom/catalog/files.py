@@ -41,6 +41,11 @@ def hourly_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored lines of the yearly wide files."""
+    return proxies.stored_table(spark, sf_dir, "wide_lines", built_wide_lines)
+
+
+def built_wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One wide file per year, as `read_lines` would give it.
 
     A code stands over two columns, a column is empty, some cells are no numbers.
@@ -151,7 +156,7 @@ def wide_file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def wide_file_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: does the data start right below the header of every file?"""
-    return wide_csv.header_report(wide_lines(spark, sf_dir))
+    return wide_csv.header_report(wide_csv.read_layout(wide_lines(spark, sf_dir)))
 
 
 @register(

@@ -74,7 +74,9 @@ def series_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.features(series_rows(spark, sf_dir), value="a", companion="n", peak="r_max")
+    """Features of the stored dataset."""
+    series = proxies.stored_table(spark, sf_dir, "series", series_rows)
+    return forecast.features(series, value="a", companion="n", peak="r_max")
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,12 +96,12 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {SERIES}
     SELECT CASE WHEN YEAR(date) <= 1998 THEN 'train' WHEN YEAR(date) = 1999 THEN 'validation'
                 WHEN YEAR(date) = 2000 THEN 'test' ELSE 'demo' END AS split, COUNT(*) AS n_rows,
-           {half_up("100.0::DOUBLE * COUNT(*) FILTER (target > 15) / COUNT(*)", 1)} AS pct_days_above_who
+           {half_up(f"100.0::DOUBLE * COUNT(*) FILTER (target > {GUIDELINE}) / COUNT(*)", 1)} AS pct_days_above_who
     FROM features GROUP BY 1""",
 )
 def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2."""
-    return forecast.split_summary(feature_rows(spark, sf_dir), **YEARS)
+    return forecast.split_summary(feature_rows(spark, sf_dir), GUIDELINE, **YEARS)
 
 
 @register(

@@ -282,12 +282,15 @@ def _stored(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     return _STORED[key]
 
 
+def stored_table(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
+    """A derived table, written once per session and read by the queries that follow from it."""
+    path = _stored(spark, sf_dir, label, lambda path: sinks.write_table(build(spark, sf_dir), path))
+    return spark.read.parquet(path)
+
+
 def stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored daily facts, which the star schema and the dataset start from."""
-    path = _stored(
-        spark, sf_dir, "daily", lambda path: sinks.write_table(station_daily(spark, sf_dir), path)
-    )
-    return spark.read.schema(schemas.DAILY).parquet(path)
+    return stored_table(spark, sf_dir, "daily", station_daily)
 
 
 def built_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -483,7 +483,7 @@ dataset AS (
 )"""
 
 
-def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def built_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.build_dataset(
         proxies.stored_daily(spark, sf_dir),
         ["A", "N", "R"],
@@ -499,10 +499,15 @@ def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored dataset, which the exploration works on."""
+    return proxies.stored_table(spark, sf_dir, "dataset", built_dataset)
+
+
 @register("daily_dataset", f"WITH {DATASET} SELECT * FROM dataset")
 def daily_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F10, E9, E10, D5, D7, B7, B16."""
-    return dataset_rows(spark, sf_dir)
+    return built_dataset(spark, sf_dir)
 
 
 @register(

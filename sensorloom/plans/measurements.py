@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom import settings
+from sensorloom import schemas, settings
 from sensorloom.functions import dates, numeric, text
 from sensorloom.operators.completeness import aggregate_daily
-from sensorloom.operators.dedup import first_seen, keep_first
+from sensorloom.operators.dedup import first_seen
 from sensorloom.operators.joins import keep_matching, keep_missing
+from sensorloom.session import stored
 from sensorloom.sources import wide_csv
-from sensorloom.sources.paths import path_order
+from sensorloom.sources.sinks import write_table
 
 HOURLY_KEY = ["timestamp", "station_code", "pollutant_code"]
 
@@ -29,42 +30,48 @@ class Measurements(NamedTuple):
     audit: DataFrame
 
 
+# A column number and a second since 1900 in one bigint: 30 and 33 bits, good until 2172.
+SECONDS_1900 = 2_208_988_800
+SECONDS_SPAN = 1 << 33
+
+
 def numbered_cells(cells: DataFrame) -> DataFrame:
-    """Cells with their end of hour in UTC and their number; bad numbers are dropped."""
+    """Cells with their number; what is no number is dropped."""
     return cells.select(
-        "file",
-        "pos",
-        dates.iso_utc(F.col("time_text")).alias("end_utc"),
+        "column",
+        F.col("time").alias("end_utc"),
         "station_code",
         "pollutant_code",
         numeric.to_double(F.col("cell")).alias("raw_value"),
     ).filter(F.col("raw_value").isNotNull())
 
 
+def input_order(column: Column, utc: Column) -> Column:
+    """File, position and time as one ordering number; an overflow is an error."""
+    seconds = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), utc)
+    return column * F.lit(SECONDS_SPAN) + seconds + F.lit(SECONDS_1900)
+
+
 def clean_hourly(cells: DataFrame, zone: str = settings.ZONE, dedup_on: str = "local") -> DataFrame:
     """Local hour starts, no negatives, one value per hour, station and pollutant.
 
     In autumn two UTC hours share a local hour. `dedup_on="local"` keeps the earlier of them,
-    `"utc"` keeps both.
+    `"utc"` keeps both. The value that comes first is found by a hash aggregate of fixed-width
+    buffers: partial on the map side, nothing sorted.
     """
     if dedup_on not in ("local", "utc"):
         raise ValueError(f"unknown dedup_on {dedup_on!r}")
     placed = cells.select(
         dates.hour_start_local(F.col("end_utc"), zone).alias("timestamp"),
-        "end_utc",
+        *(["end_utc"] if dedup_on == "utc" else []),
         "station_code",
         "pollutant_code",
         numeric.clamp_floor(F.col("raw_value")).alias("value"),
-        path_order(F.col("file")).alias("file"),
-        "pos",
+        input_order(F.col("column"), F.col("end_utc")).alias("input_order"),
     )
-    if dedup_on == "local":
-        unique = keep_first(placed, HOURLY_KEY, [F.col("file"), F.col("pos"), F.col("end_utc")])
-    else:
-        unique = keep_first(
-            placed, ["end_utc", "station_code", "pollutant_code"], [F.col("file"), F.col("pos")]
-        )
-    return unique.select(*HOURLY_KEY, "value")
+    keys = [name for name in placed.columns if name not in ("value", "input_order")]
+    first = placed.groupBy(*keys).agg(F.min_by("value", "input_order").alias("value"))
+    return first.select(*HOURLY_KEY, "value")
 
 
 def cleaning_audit(cells: DataFrame, hourly: DataFrame, min_hours: int = settings.MIN_HOURS) -> DataFrame:
@@ -91,23 +98,18 @@ def cleaning_audit(cells: DataFrame, hourly: DataFrame, min_hours: int = setting
 
 def station_dimension(metadata: DataFrame, hourly: DataFrame) -> DataFrame:
     """Stations with at least one measurement, named as in the first file."""
-    order = [path_order(F.col("file")), F.col("pos")]
-    stations = first_seen(metadata, "station_code", ["station_name"], order)
+    stations = first_seen(metadata, "station_code", ["station_name"], [F.col("column")])
     typed = stations.withColumn("station_type", text.station_type(F.col("station_name")))
     return keep_matching(typed, hourly, "station_code")
 
 
 def pollutant_dimension(metadata: DataFrame) -> DataFrame:
-    """All pollutants; `first_file` and `first_pos` keep the order they were seen in."""
+    """All pollutants; `first_column` keeps the order they were seen in."""
     placed = metadata.select(
-        "pollutant_code",
-        path_order(F.col("file")).alias("first_file"),
-        F.col("pos").alias("first_pos"),
-        "pollutant_name",
-        "unit",
+        "pollutant_code", F.col("column").alias("first_column"), "pollutant_name", "unit"
     )
-    order = [F.col("first_file"), F.col("first_pos")]
-    return first_seen(placed, "pollutant_code", ["first_file", "first_pos", "pollutant_name", "unit"], order)
+    attributes = ["first_column", "pollutant_name", "unit"]
+    return first_seen(placed, "pollutant_code", attributes, [F.col("first_column")])
 
 
 def daily_from_hourly(hourly: DataFrame, min_hours: int = settings.MIN_HOURS) -> DataFrame:
@@ -123,26 +125,43 @@ def from_lines(
     min_hours: int = settings.MIN_HOURS,
     dedup_on: str = "local",
 ) -> Measurements:
-    """M1 from the lines of well-formed wide files."""
-    cells, metadata = wide_csv.read_wide(lines)
+    """M1 from the lines of wide files; a file of another layout stops the run.
+
+    The header is read and stored first: the join with the cells then knows its size, so it is
+    broadcast when it fits and the cells are not shuffled for it.
+    """
+    layout = stored(wide_csv.read_layout(lines), "layout")
+    wide_csv.require_headers(layout)
+    metadata = stored(wide_csv.column_metadata(layout), "columns")
+    cells = wide_csv.read_wide(lines, metadata)
     numbered = numbered_cells(cells)
     hourly = clean_hourly(numbered, zone, dedup_on)
-    columns = metadata.select("file", "station_code").distinct()
+    with_data = cells.select("column").distinct().join(metadata.select("column", "file", "station_code"), "column")
     return Measurements(
         stations=station_dimension(metadata, hourly),
         pollutants=pollutant_dimension(metadata),
         hourly=hourly,
         daily=daily_from_hourly(hourly, min_hours),
-        empty_stations=keep_missing(columns, cells, ["file", "station_code"]),
+        empty_stations=keep_missing(
+            metadata.select("file", "station_code").distinct(), with_data, ["file", "station_code"]
+        ),
         audit=cleaning_audit(numbered, hourly, min_hours),
     )
 
 
 def load_measurements(spark: SparkSession, folder: str, **options) -> Measurements:
-    """M1: all station files below a folder; a file of another layout stops the run."""
-    lines = wide_csv.read_lines(spark, folder, wide_csv.STATION_FILE)
-    wide_csv.require_headers(lines)
-    return from_lines(lines, **options)
+    """M1: all station files below a folder."""
+    return from_lines(wide_csv.read_lines(spark, folder, wide_csv.STATION_FILE), **options)
+
+
+def store_measurements(found: Measurements, folder: str, min_hours: int = settings.MIN_HOURS) -> None:
+    """The cleaned hours are written once, and what follows from them is read from there."""
+    spark = found.hourly.sparkSession
+    write_table(found.hourly, f"{folder}/hourly_measurements")
+    hourly = spark.read.schema(schemas.HOURLY).parquet(f"{folder}/hourly_measurements")
+    write_table(keep_matching(found.stations, hourly, "station_code"), f"{folder}/stations")
+    write_table(found.pollutants, f"{folder}/pollutants")
+    write_table(daily_from_hourly(hourly, min_hours), f"{folder}/daily_measurements")
 
 
 def segment_daily(segments: DataFrame, min_hours: int = settings.MIN_HOURS, **options) -> DataFrame:

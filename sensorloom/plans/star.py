@@ -35,7 +35,7 @@ def calendar_dimension(
 
 def pollutant_ids(pollutants: DataFrame) -> DataFrame:
     """Pollutants numbered in the order they were first seen, by code where that is unknown."""
-    seen = [name for name in ("first_file", "first_pos") if name in pollutants.columns]
+    seen = [name for name in ("first_column",) if name in pollutants.columns]
     numbered = small_ids(pollutants, [*seen, "pollutant_code"], "pollutant_id")
     return conform(numbered, schemas.POLLUTANT)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app_name: str = "sensorloom", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -45,3 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for an intermediate table, below the shared folder."""
     return f"{shared_folder(spark)}/tables/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    What follows starts from a table of known size that no lost executor can take away.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sensorloom import settings
 from sensorloom.functions import dates
 from sensorloom.functions.numeric import to_double
-from sensorloom.sources.paths import decoded
+from sensorloom.sources.paths import decoded, path_order
 
 # Accepted file names and the look of a data line.
 STATION_FILE = r"(?i)(\d{4})[ _-]([A-Z0-9]+)\.csv$"
@@ -58,56 +58,101 @@ def split_row(line: Column) -> Column:
     )
 
 
-def header_report(lines: DataFrame, header_lines: int = settings.HEADER_LINES) -> DataFrame:
+def read_layout(lines: DataFrame) -> DataFrame:
+    """The header lines of every file and where its data starts, from one scan.
+
+    A row per header line, and one row per file whose `line` is NULL for its first data line.
+    Data lines meet in one partial aggregate per task, so nothing but that leaves it.
+    """
+    is_header = ~F.col("line").rlike(DATA_LINE)
+    return lines.groupBy(
+        "file",
+        F.when(is_header, F.col("line_id")).alias("header_id"),
+        F.when(is_header, F.col("line")).alias("line"),
+    ).agg(F.min("line_id").alias("line_id"))
+
+
+def header_report(layout: DataFrame, header_lines: int = settings.HEADER_LINES) -> DataFrame:
     """A2: per file, whether exactly the expected header stands before the first data line."""
-    is_data = F.col("line").rlike(DATA_LINE)
-    report = lines.groupBy("file").agg(
-        F.count_if(~is_data).alias("other_lines"),
-        F.max(F.when(~is_data, F.col("line_id"))).alias("last_other"),
-        F.min(F.when(is_data, F.col("line_id"))).alias("first_data"),
+    is_header = F.col("line").isNotNull()
+    report = layout.groupBy("file").agg(
+        F.count_if(is_header).alias("header_lines"),
+        F.max(F.when(is_header, F.col("line_id"))).alias("last_header"),
+        F.min(F.when(~is_header, F.col("line_id"))).alias("first_data"),
     )
-    good = (F.col("other_lines") == header_lines) & (F.col("last_other") < F.col("first_data"))
+    good = (F.col("header_lines") == header_lines) & (F.col("last_header") < F.col("first_data"))
     return report.select("file", F.coalesce(good, F.lit(False)).alias("well_formed"))
 
 
-def require_headers(lines: DataFrame, header_lines: int = settings.HEADER_LINES, shown: int = 5) -> None:
+def require_headers(
+    layout: DataFrame, header_lines: int = settings.HEADER_LINES, shown: int = 5
+) -> None:
     """A2: stop, naming files, when any file has another layout."""
-    bad = header_report(lines, header_lines).filter(~F.col("well_formed"))
+    bad = header_report(layout, header_lines).filter(~F.col("well_formed"))
     names = [row.file for row in bad.orderBy("file").limit(shown).collect()]
     if names:
         raise ValueError(f"unexpected format, line {header_lines + 1} is not a date: {names}")
 
 
-def column_metadata(lines: DataFrame, header_lines: int = settings.HEADER_LINES) -> DataFrame:
-    """A3: one row per file and column position, from the header of the well-formed files."""
-    good = header_report(lines, header_lines).filter("well_formed").select("file")
-    rows = lines.filter(~F.col("line").rlike(DATA_LINE)).join(good, "file", "left_semi")
+def column_metadata(layout: DataFrame, header_lines: int = settings.HEADER_LINES) -> DataFrame:
+    """A3: one row per column of the well-formed files, numbered through all files.
+
+    `column` grows with the path of the file and the position in it (T2): one number stands for
+    both wherever cells are joined or compared.
+    """
+    good = header_report(layout, header_lines).filter("well_formed").select("file")
+    rows = layout.filter(F.col("line").isNotNull()).join(good, "file", "left_semi")
     # Exactly `header_lines` rows per file are left to number.
-    numbered = rows.withColumn(
-        "line_no", F.row_number().over(Window.partitionBy("file").orderBy("line_id"))
-    )
-    cells = numbered.select("file", "line_no", F.posexplode(split_row(F.col("line"))).alias("pos", "cell"))
-    return (
-        cells.filter(F.col("pos") > 0)
+    in_file = Window.partitionBy("file").orderBy("line_id")
+    cells = rows.select("file", F.row_number().over(in_file).alias("line_no"), split_row(F.col("line")).alias("cells"))
+    # One row per file: the driver has listed as many.
+    before = Window.orderBy(path_order(F.col("file"))).rowsBetween(Window.unboundedPreceding, -1)
+    files = cells.groupBy("file").agg(F.max(F.size("cells")).cast("bigint").alias("width"))
+    offsets = files.select("file", F.coalesce(F.sum("width").over(before), F.lit(0)).alias("first_column"))
+    named = (
+        cells.select("file", "line_no", F.posexplode("cells").alias("pos", "cell"))
+        .filter(F.col("pos") > 0)
         .groupBy("file", "pos")
-        .agg(*[F.max(F.when(F.col("line_no") == number, F.col("cell"))).alias(name) for number, name in HEADER_FIELDS.items()])
-        .select("file", "pos", "station_code", "station_name", "pollutant_name", "pollutant_code", "unit")
+        .agg(
+            *[
+                F.max(F.when(F.col("line_no") == number, F.col("cell"))).alias(name)
+                for number, name in HEADER_FIELDS.items()
+            ]
+        )
     )
+    return named.join(offsets, "file").select(
+        "file",
+        "first_column",
+        (F.col("first_column") + F.col("pos")).alias("column"),
+        "station_code",
+        "station_name",
+        "pollutant_name",
+        "pollutant_code",
+        "unit",
+    )
+
 
+def data_cells(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """B1 for ragged files: a row per filled cell of the data lines.
 
-def data_cells(lines: DataFrame) -> DataFrame:
-    """B1 for ragged files: a row per filled cell of the data lines of a layout with a header."""
-    cells = F.split("line", ",", -1)
-    data = lines.filter(F.col("line").rlike(DATA_LINE)).select(
-        "file", cells[0].alias("time_text"), F.posexplode(cells).alias("pos", "cell")
+    `files` gives the first column number of each file. The time is parsed once per line and a
+    cell carries only that, its column number and its text.
+    """
+    data = lines.filter(F.col("line").rlike(DATA_LINE)).join(files, "file")
+    cells = data.select(
+        "first_column",
+        dates.iso_utc(F.substring_index("line", ",", 1)).alias("time"),
+        F.posexplode(F.split("line", ",", -1)).alias("pos", "cell"),
+    )
+    return cells.filter((F.col("pos") > 0) & (F.trim("cell") != "")).select(
+        (F.col("first_column") + F.col("pos")).alias("column"), "time", "cell"
     )
-    return data.filter((F.col("pos") > 0) & (F.trim("cell") != ""))
 
 
-def read_wide(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A1: the cells with their column metadata (D11), and the metadata."""
-    metadata = column_metadata(lines)
-    return data_cells(lines).join(metadata, ["file", "pos"]), metadata
+def read_wide(lines: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The filled cells with their station and pollutant."""
+    cells = data_cells(lines, metadata.select("file", "first_column").distinct())
+    return cells.join(metadata.select("column", "station_code", "pollutant_code"), "column")
 
 
 def read_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,16 +164,25 @@ def read_segments(spark: SparkSession, folder: str) -> DataFrame:
 def segment_cells(lines: DataFrame) -> DataFrame:
     """A5: clock time, segment, pollutant and value of each filled cell."""
     header = lines.filter(~F.col("line").rlike(DATA_LINE)).select(
-        "file", F.posexplode(split_row(F.col("line"))).alias("pos", "segment")
+        "file", split_row(F.col("line")).alias("segments")
     )
-    values = data_cells(lines.select("file", "line"))
     pollutant = F.upper(F.regexp_extract("file", SEGMENT_FILE, 2))
-    return (
-        values.join(header, ["file", "pos"])
+    cells = (
+        lines.filter(F.col("line").rlike(DATA_LINE))
+        .join(header, "file")
         .select(
-            dates.iso_utc(F.col("time_text")).alias("time"),
-            "segment",
+            dates.iso_utc(F.substring_index("line", ",", 1)).alias("time"),
+            "segments",
             pollutant.alias("pollutant_code"),
+            F.posexplode(F.split("line", ",", -1)).alias("pos", "cell"),
+        )
+    )
+    return (
+        cells.filter(F.col("pos") > 0)
+        .select(
+            "time",
+            F.get("segments", F.col("pos")).alias("segment"),
+            "pollutant_code",
             to_double(F.col("cell")).alias("value"),
         )
         .filter(F.col("value").isNotNull())
