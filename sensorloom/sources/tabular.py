@@ -126,7 +126,7 @@ def map_rows(
 
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
     """Public holidays from one JSON object per file."""
-    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return map_rows(files, "value").select(
         F.to_date("date").alias("date"), "holiday_name"
     )

@@ -132,6 +132,14 @@ def column_metadata(layout: DataFrame, header_lines: int = settings.HEADER_LINES
     )
 
 
+def timed_cells() -> list[Column]:
+    """The time and the cells of a data line, as columns of their own below the explode."""
+    return [
+        dates.iso_utc(F.substring_index("line", ",", 1)).alias("time"),
+        F.split("line", ",", -1).alias("cells"),
+    ]
+
+
 def data_cells(lines: DataFrame, files: DataFrame) -> DataFrame:
     """B1 for ragged files: a row per filled cell of the data lines.
 
@@ -139,11 +147,8 @@ def data_cells(lines: DataFrame, files: DataFrame) -> DataFrame:
     cell carries only that, its column number and its text.
     """
     data = lines.filter(F.col("line").rlike(DATA_LINE)).join(files, "file")
-    cells = data.select(
-        "first_column",
-        dates.iso_utc(F.substring_index("line", ",", 1)).alias("time"),
-        F.posexplode(F.split("line", ",", -1)).alias("pos", "cell"),
-    )
+    parsed = data.select("first_column", *timed_cells())
+    cells = parsed.select("first_column", "time", F.posexplode("cells").alias("pos", "cell"))
     return cells.filter((F.col("pos") > 0) & (F.trim("cell") != "")).select(
         (F.col("first_column") + F.col("pos")).alias("column"), "time", "cell"
     )
@@ -170,12 +175,8 @@ def segment_cells(lines: DataFrame) -> DataFrame:
     cells = (
         lines.filter(F.col("line").rlike(DATA_LINE))
         .join(header, "file")
-        .select(
-            dates.iso_utc(F.substring_index("line", ",", 1)).alias("time"),
-            "segments",
-            pollutant.alias("pollutant_code"),
-            F.posexplode(F.split("line", ",", -1)).alias("pos", "cell"),
-        )
+        .select("segments", pollutant.alias("pollutant_code"), *timed_cells())
+        .select("segments", "pollutant_code", "time", F.posexplode("cells").alias("pos", "cell"))
     )
     return (
         cells.filter(F.col("pos") > 0)
