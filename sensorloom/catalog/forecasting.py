@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorloom.catalog import proxies
 from sensorloom.catalog.proxies import DAILY_FACT, GUIDELINE
 from sensorloom.catalog.registry import half_even, half_up, register
+from sensorloom.functions.numeric import portable_round
 from sensorloom.operators import scoring
 from sensorloom.plans import dataset, forecast
 from sensorloom.session import scratch_path
@@ -189,6 +190,22 @@ def published_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.published(feature_rows(spark, sf_dir), "pm25_d", "target", "pm25_mean7", GUIDELINE)
 
 
+@register(
+    "linear_one_feature",
+    f"""
+    WITH {SERIES}
+    SELECT {half_up("REGR_SLOPE(target, pm25_d)", 6)} AS slope, {half_up("REGR_INTERCEPT(target, pm25_d)", 6)} AS intercept
+    FROM features""",
+)
+def linear_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L5 on one feature, where the coefficients have a closed form."""
+    model = forecast.fit_linear(forecast.assembled(feature_rows(spark, sf_dir), ["pm25_d"]))
+    fitted = spark.createDataFrame(
+        [(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double"
+    )
+    return fitted.select(*[portable_round(F.col(name), 6).alias(name) for name in fitted.columns])
+
+
 @register("linear_fit")
 def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on the early years, measured on the validation year."""

@@ -13,7 +13,7 @@ from sensorloom.functions.text import contains_ignoring_case
 from sensorloom.operators import calendar, quality, reshape, statistics, timeseries
 from sensorloom.operators.dedup import keep_first
 from sensorloom.operators.joins import flag_matching
-from sensorloom.plans import context, star
+from sensorloom.plans import context
 from sensorloom.sources import sinks
 
 # Every flag on every day of the facts' range.
@@ -416,12 +416,6 @@ def domain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("star_checks")
-def star_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1-K4 on the stored star schema: every declared key, reference and predicate."""
-    return star.check_star(star_tables(spark, sf_dir))
-
-
 @register(
     "run_report",
     f"""

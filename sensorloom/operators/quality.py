@@ -124,6 +124,21 @@ def column_audit(
     )
 
 
+def filled_values(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """K6, K8: values per table and column, one pass per table."""
+    parts = []
+    for name, df in tables.items():
+        row = df.agg(*[F.count(column).alias(column) for column in df.columns])
+        entries = [
+            F.struct(
+                F.lit(name).alias("table"), F.lit(column).alias("column"), F.col(column).alias("n_filled")
+            )
+            for column in df.columns
+        ]
+        parts.append(row.select(F.inline(F.array(*entries))))
+    return concatenate(*parts)
+
+
 def row_counts(tables: Mapping[str, DataFrame], output: str = "n_rows") -> DataFrame:
     """Rows per table, as one table."""
     parts = [

@@ -1,7 +1,7 @@
 """Files dropped into a folder: the daily aggregate (E1) as a stream that ends when it is caught up.
 
-The sum, maximum and count of a day are additive, so each batch merges its partial days into the
-stored ones; a day is published once it is complete enough.
+An hour keeps one value and a day is published once, when its watermark says that no more of its
+hours can arrive. State is one row per open hour and key.
 """
 
 from __future__ import annotations
