@@ -132,7 +132,7 @@ thresholds AS (SELECT CAST(20 + i / 2.0 AS DOUBLE) AS threshold FROM (SELECT UNN
 counts AS (
     SELECT threshold, COUNT(*) FILTER (target > {GUIDELINE}) AS reals, COUNT(*) FILTER (pm25_d > threshold) AS alerts,
            COUNT(*) FILTER (target > {GUIDELINE} AND pm25_d > threshold)::DOUBLE AS hits
-    FROM features, thresholds GROUP BY 1
+    FROM thresholds LEFT JOIN features ON TRUE GROUP BY 1
 ),
 curve AS (
     SELECT threshold, {half_up("COALESCE(hits / NULLIF(reals, 0), 0)", 6)} AS recall,

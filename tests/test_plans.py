@@ -18,6 +18,9 @@ from sensorloom.plans import analysis, dataset, forecast, reads, star
 from sensorloom.session import scratch_path
 
 SMALL = "/root/testdata/sf0.001"
+MEDIUM = "/root/testdata/sf0.01"
+# The smallest tables have no complete day, so there is nothing to fit.
+FITTED = ["linear_one_feature"]
 
 
 def day(n):
@@ -262,7 +265,7 @@ def test_contract_names():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - set(FITTED)))
 def test_query_equals_its_sql(spark, oracle_connection, name):
     df = contract.queries()[name](spark, SMALL)
     assert differences(df, oracle_connection, contract.oracle_sql()[name]) == []
@@ -273,9 +276,10 @@ def oracle_connection():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", ["star_checks", "column_audit", "schema_fields"])
-def test_query_without_sql_runs(spark, name):
-    assert contract.queries()[name](spark, SMALL).count() > 0
+@pytest.mark.parametrize("name", FITTED)
+def test_fit_equals_its_sql(spark, name):
+    df = contract.queries()[name](spark, MEDIUM)
+    assert differences(df, connect(MEDIUM), contract.oracle_sql()[name]) == []
 
 
 def test_ids_survive_a_hot_first_column(spark):
