@@ -14,7 +14,7 @@ from sensorloom.operators.dedup import first_seen
 from sensorloom.operators.joins import keep_matching, keep_missing
 from sensorloom.session import stored
 from sensorloom.sources import wide_csv
-from sensorloom.sources.sinks import write_table
+from sensorloom.sources.sinks import write_partitioned, write_table
 
 HOURLY_KEY = ["timestamp", "station_code", "pollutant_code"]
 
@@ -37,13 +37,8 @@ SECONDS_SPAN = 1 << 33
 
 def numbered_cells(cells: DataFrame) -> DataFrame:
     """Cells with their number; what is no number is dropped."""
-    return cells.select(
-        "column",
-        F.col("time").alias("end_utc"),
-        "station_code",
-        "pollutant_code",
-        numeric.to_double(F.col("cell")).alias("raw_value"),
-    ).filter(F.col("raw_value").isNotNull())
+    numbers = cells.withColumn("raw_value", numeric.to_double(F.col("cell"))).drop("cell")
+    return numbers.filter(F.col("raw_value").isNotNull())
 
 
 def input_order(column: Column, utc: Column) -> Column:
@@ -52,8 +47,8 @@ def input_order(column: Column, utc: Column) -> Column:
     return column * F.lit(SECONDS_SPAN) + seconds + F.lit(SECONDS_1900)
 
 
-def clean_hourly(cells: DataFrame, zone: str = settings.ZONE, dedup_on: str = "local") -> DataFrame:
-    """Local hour starts, no negatives, one value per hour, station and pollutant.
+def clean_hourly(cells: DataFrame, dedup_on: str = "local") -> DataFrame:
+    """No negatives, one value per local hour, station and pollutant.
 
     In autumn two UTC hours share a local hour. `dedup_on="local"` keeps the earlier of them,
     `"utc"` keeps both. The value that comes first is found by a hash aggregate of fixed-width
@@ -62,7 +57,7 @@ def clean_hourly(cells: DataFrame, zone: str = settings.ZONE, dedup_on: str = "l
     if dedup_on not in ("local", "utc"):
         raise ValueError(f"unknown dedup_on {dedup_on!r}")
     placed = cells.select(
-        dates.hour_start_local(F.col("end_utc"), zone).alias("timestamp"),
+        "timestamp",
         *(["end_utc"] if dedup_on == "utc" else []),
         "station_code",
         "pollutant_code",
@@ -81,18 +76,21 @@ def cleaning_audit(cells: DataFrame, hourly: DataFrame, min_hours: int = setting
         F.count_if(F.col("raw_value") < 0).alias("n_negative"),
         F.min("raw_value").alias("lowest_value"),
     )
-    kept = hourly.agg(F.count("*").alias("n_kept"))
     days = hourly.groupBy(dates.day_of(F.col("timestamp")), "station_code", "pollutant_code").agg(
         F.count("value").alias("n_hours")
     )
-    rejected = days.agg(
-        F.count("*").alias("n_days"), F.count_if(F.col("n_hours") < min_hours).alias("n_days_rejected")
+    after = days.agg(
+        F.struct(
+            F.coalesce(F.sum("n_hours"), F.lit(0)).alias("n_kept"),
+            F.count("*").alias("n_days"),
+            F.count_if(F.col("n_hours") < min_hours).alias("n_days_rejected"),
+        ).alias("after")
     )
-    return before.select(
-        "*",
-        (F.col("n_values") - kept.scalar()).alias("n_duplicates"),
-        rejected.select("n_days").scalar().alias("n_days"),
-        rejected.select("n_days_rejected").scalar().alias("n_days_rejected"),
+    return before.withColumn("after", after.scalar()).select(
+        *before.columns,
+        (F.col("n_values") - F.col("after.n_kept")).alias("n_duplicates"),
+        "after.n_days",
+        "after.n_days_rejected",
     )
 
 
@@ -133,9 +131,9 @@ def from_lines(
     layout = stored(wide_csv.read_layout(lines), "layout")
     wide_csv.require_headers(layout)
     metadata = stored(wide_csv.column_metadata(layout), "columns")
-    cells = wide_csv.read_wide(lines, metadata)
+    cells = wide_csv.read_wide(lines, metadata, zone)
     numbered = numbered_cells(cells)
-    hourly = clean_hourly(numbered, zone, dedup_on)
+    hourly = clean_hourly(numbered, dedup_on)
     with_data = cells.select("column").distinct().join(metadata.select("column", "file", "station_code"), "column")
     return Measurements(
         stations=station_dimension(metadata, hourly),
@@ -157,7 +155,9 @@ def load_measurements(spark: SparkSession, folder: str, **options) -> Measuremen
 def store_measurements(found: Measurements, folder: str, min_hours: int = settings.MIN_HOURS) -> None:
     """The cleaned hours are written once, and what follows from them is read from there."""
     spark = found.hourly.sparkSession
-    write_table(found.hourly, f"{folder}/hourly_measurements")
+    write_partitioned(
+        found.hourly, f"{folder}/hourly_measurements", "pollutant_code", ("station_code", "timestamp")
+    )
     hourly = spark.read.schema(schemas.HOURLY).parquet(f"{folder}/hourly_measurements")
     write_table(keep_matching(found.stations, hourly, "station_code"), f"{folder}/stations")
     write_table(found.pollutants, f"{folder}/pollutants")

@@ -140,23 +140,30 @@ def timed_cells() -> list[Column]:
     ]
 
 
-def data_cells(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """B1 for ragged files: a row per filled cell of the data lines.
+def data_cells(lines: DataFrame, files: DataFrame, zone: str = settings.ZONE) -> DataFrame:
+    """B1, B2 for ragged files: a row per filled cell of the data lines.
 
-    `files` gives the first column number of each file. The time is parsed once per line and a
-    cell carries only that, its column number and its text.
+    `files` gives the first column number of each file. Times are parsed and moved to the zone
+    once per line; a cell carries them, its column number and its text.
     """
     data = lines.filter(F.col("line").rlike(DATA_LINE)).join(files, "file")
-    parsed = data.select("first_column", *timed_cells())
-    cells = parsed.select("first_column", "time", F.posexplode("cells").alias("pos", "cell"))
+    parsed = data.select("first_column", *timed_cells()).withColumn(
+        "timestamp", dates.hour_start_local(F.col("time"), zone)
+    )
+    cells = parsed.select(
+        "first_column", "time", "timestamp", F.posexplode("cells").alias("pos", "cell")
+    )
     return cells.filter((F.col("pos") > 0) & (F.trim("cell") != "")).select(
-        (F.col("first_column") + F.col("pos")).alias("column"), "time", "cell"
+        (F.col("first_column") + F.col("pos")).alias("column"),
+        F.col("time").alias("end_utc"),
+        "timestamp",
+        "cell",
     )
 
 
-def read_wide(lines: DataFrame, metadata: DataFrame) -> DataFrame:
+def read_wide(lines: DataFrame, metadata: DataFrame, zone: str = settings.ZONE) -> DataFrame:
     """The filled cells with their station and pollutant."""
-    cells = data_cells(lines, metadata.select("file", "first_column").distinct())
+    cells = data_cells(lines, metadata.select("file", "first_column").distinct(), zone)
     return cells.join(metadata.select("column", "station_code", "pollutant_code"), "column")
 
 
