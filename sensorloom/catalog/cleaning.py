@@ -12,7 +12,7 @@ from sensorloom.catalog.registry import exact_mean, half_even, register
 from sensorloom.functions import dates, numeric, text
 from sensorloom.operators import dedup, filters, joins, reshape
 from sensorloom.operators.completeness import aggregate_daily
-from sensorloom.plans import measurements
+from sensorloom.plans import context, measurements
 
 
 @register(
@@ -484,3 +484,15 @@ def conformed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         schemas.WEATHER_DAY,
         {"date": "o_orderdate", "temp_mean_c": "o_totalprice", "wind_dir_deg": "o_custkey"},
     )
+
+
+@register(
+    "study_period",
+    """
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders
+    WHERE o_orderdate >= DATE '1996-02-01' AND o_orderdate <= DATE '1999-09-21'""",
+)
+def study_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an inclusive period."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", proxies.order_day().alias("date"))
+    return context.in_study_period(orders, "1996-02-01", "1999-09-21")

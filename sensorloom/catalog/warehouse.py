@@ -510,6 +510,20 @@ def daily_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built_dataset(spark, sf_dir)
 
 
+@register(
+    "dataset_report",
+    f"""
+    WITH {DATASET}
+    SELECT COUNT(*) AS n_days, MIN(date) AS first_day, MAX(date) AS last_day, COUNT(*) - COUNT(a) AS n_missing,
+           (COUNT(*) - COUNT(a))::DOUBLE / COUNT(*) AS share_missing, CAST(SUM(above_who) AS BIGINT) AS days_above,
+           SUM(above_who)::DOUBLE / COUNT(above_who) AS share_above
+    FROM dataset""",
+)
+def dataset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K10."""
+    return dataset.report(dataset_rows(spark, sf_dir), "a")
+
+
 @register(
     "yearly_summary",
     f"""

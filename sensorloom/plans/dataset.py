@@ -62,6 +62,20 @@ def build_dataset(
     return days.withColumn("above_who", exceeds(F.col(target.lower()), threshold))
 
 
+def report(dataset: DataFrame, value: str = "pm25") -> DataFrame:
+    """Rows, period, missing days and share of days above, as one row."""
+    measured, flags = F.count(value), F.count("above_who")
+    return dataset.agg(
+        F.count("*").alias("n_days"),
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
+        (F.count("*") - measured).alias("n_missing"),
+        F.try_divide(F.count("*") - measured, F.count("*")).alias("share_missing"),
+        F.sum("above_who").alias("days_above"),
+        F.try_divide(F.sum("above_who"), flags).alias("share_above"),
+    )
+
+
 def yearly_summary(dataset: DataFrame, value: str = "pm25") -> DataFrame:
     """Measured days, mean and share of days above per year."""
     years = statistics.exceedance_summary(dataset, [F.year("date").alias("year")], value, "above_who")

@@ -12,9 +12,11 @@ from sensorloom.operators.quality import row_counts
 from sensorloom.operators.reshape import conform
 
 
-def write_table(df: DataFrame, path: str, form: str = "parquet") -> None:
-    """A typed Parquet table, or CSV with a header."""
-    writer = df.write.mode("overwrite")
+def write_table(
+    df: DataFrame, path: str, form: str = "parquet", order: Sequence[str] = ()
+) -> None:
+    """A typed Parquet table, or CSV with a header; files follow the order, if one is given."""
+    writer = (df.orderBy(*order) if order else df).write.mode("overwrite")
     if form == "csv":
         writer.option("header", "true").csv(path)
     else:

@@ -56,7 +56,7 @@ def station_folder(tmp_path):
         ),
     )
     write(tmp_path / "2025-no2.csv", wide_file(["PA01H"], ["x"], "NO2", ["2025-07-01 12:00:00Z,3"]))
-    write(tmp_path / "2024_NO2_boulevard_p_riph_rique.csv", "time,A-B,\"C, D\"\n" + "".join(
+    write(tmp_path / "2024_NO2_boulevard_ring.csv", "time,A-B,\"C, D\"\n" + "".join(
         f"2024-01-0{d} {h:02d}:00:00,{h},{'' if h < 7 else h}\n" for d in (1, 2) for h in range(18 if d == 1 else 17)
     ))
     write(tmp_path / "notes.csv", "free text\n")
@@ -124,7 +124,7 @@ def test_measurements_are_stored(spark, station_folder, tmp_path):
 
 
 def test_indices(spark, tmp_path):
-    write(tmp_path / "indices_QA_2014.csv", "date,ninsee,no2,o3,pm10\n01/02/2014,0,1,2,3\n01/02/2014,0,9,9,9\n01/02/2014,75,4,,6\n")
+    write(tmp_path / "indices_2014.csv", "date,ninsee,no2,o3,pm10\n01/02/2014,0,1,2,3\n01/02/2014,0,9,9,9\n01/02/2014,75,4,,6\n")
     write(tmp_path / "Indices 2015.csv", "date,ninsee,o3,no2,pm10\n01/02/2015,75101,2,1,3\n")
     write(tmp_path / "other.csv", "date,ninsee,no2,o3,pm10\n01/02/2016,1,1,1,1\n")
     found = context.indices(tabular.read_indices(spark, str(tmp_path)))
@@ -295,6 +295,6 @@ def test_sinks(spark, tmp_path):
     assert again.columns == schemas.STATION.names
     report = sinks.reconcile({"a": df, "b": df}, {"a": df, "b": df.limit(5)}).orderBy("table").collect()
     assert [(r.n_source, r.n_stored, r.ok) for r in report] == [(300, 300, True), (300, 5, False)]
-    sinks.write_table(df, str(tmp_path / "csv"), "csv")
+    sinks.write_table(df, str(tmp_path / "csv"), "csv", order=["id"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 300
     assert quality.row_counts({"a": df}).first().n_rows == 300
