@@ -260,7 +260,11 @@ def dense_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table with all its keys."""
-    return built_star(spark, sf_dir)["daily_measurement"]
+    return star.fact_rows(
+        proxies.station_daily(spark, sf_dir),
+        star.station_ids(proxies.stations(spark, sf_dir)),
+        star.pollutant_ids(proxies.pollutants(spark, sf_dir)),
+    )
 
 
 @register("star_calendar", f"WITH {STAR} SELECT * FROM calendar")

@@ -57,6 +57,21 @@ def episode_rows(episodes: DataFrame, pollutant: DataFrame, days: DataFrame) ->
     )
 
 
+def fact_rows(
+    daily: DataFrame, station: DataFrame, pollutant: DataFrame, numbered: bool = True
+) -> DataFrame:
+    """Daily values with their keys.
+
+    Identifiers follow the order of insertion: day, station code, pollutant code.
+    """
+    facts = daily
+    if numbered:
+        facts = dense_ids(daily, ["date", "station_code", "pollutant_code"], "measurement_id")
+    facts = lookup_id(facts, station, "station_code", "station_id")
+    facts = lookup_id(facts, pollutant, "pollutant_code", "pollutant_id")
+    return conform(facts, schemas.DAILY_MEASUREMENT)
+
+
 def build_star(
     stations: DataFrame,
     pollutants: DataFrame,
@@ -79,14 +94,8 @@ def build_star(
     events = spark.createDataFrame([], schemas.EPISODE)
     if episodes is not None:
         events = episode_rows(episodes, pollutant, days)
-    facts = daily
-    if number_facts:
-        # Identifiers follow the order of insertion: day, station code, pollutant code.
-        facts = dense_ids(daily, ["date", "station_code", "pollutant_code"], "measurement_id")
-        if episodes is not None:
-            events = dense_ids(events, ["date", "pollutant"], "episode_id")
-    facts = lookup_id(facts, station, "station_code", "station_id")
-    facts = lookup_id(facts, pollutant, "pollutant_code", "pollutant_id")
+    if number_facts and episodes is not None:
+        events = dense_ids(events, ["date", "pollutant"], "episode_id")
     context = spark.createDataFrame([], schemas.WEATHER_DAY)
     if weather is not None:
         context = keep_matching(conform(weather, schemas.WEATHER_DAY), days, "date")
@@ -95,7 +104,7 @@ def build_star(
         "pollutant": pollutant,
         "calendar": days,
         "weather_day": context,
-        "daily_measurement": facts,
+        "daily_measurement": fact_rows(daily, station, pollutant, number_facts),
         "episode": events,
     }
     return {name: conform(tables[name], schemas.STAR[name]) for name in schemas.TABLE_ORDER}
