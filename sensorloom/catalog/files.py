@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom import settings
@@ -45,16 +45,22 @@ def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proxies.stored_table(spark, sf_dir, "wide_lines", built_wide_lines)
 
 
+def hour_text(suffix: str) -> Column:
+    """Day and hour as text, written without a zone in between."""
+    hour = F.lpad(F.col("hour").cast("string"), 2, "0")
+    return F.concat(F.col("day").cast("string"), F.lit(" "), hour, F.lit(f":00:00{suffix}"))
+
+
 def built_wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One wide file per year, as `read_lines` would give it.
 
     A code stands over two columns, a column is empty, some cells are no numbers.
     """
     hours = hourly_sums(spark, sf_dir)
-    clock = F.timestamp_add("HOUR", F.col("hour"), F.col("day").cast("timestamp_ntz"))
     second = F.concat(F.col("N").cast("string"), F.lit(".5"))
     third = F.when(F.col("R") > 70, "n/a").otherwise(F.col("R").cast("string"))
-    cells = [F.date_format(clock, "yyyy-MM-dd HH:mm:ss'Z'"), F.col("A").cast("string"), F.col("N").cast("string"), third, second, F.lit("")]
+    first, other = F.col("A").cast("string"), F.col("N").cast("string")
+    cells = [hour_text("Z"), first, other, third, second, F.lit("")]
     file = F.concat(F.lit("/data/"), F.year("day").cast("string"), F.lit("_QTY.csv"))
     data = hours.select(
         file.alias("file"),
@@ -174,8 +180,7 @@ def wide_file_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segment_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: A5, E2."""
     hours = hourly_sums(spark, sf_dir)
-    clock = F.timestamp_add("HOUR", F.col("hour"), F.col("day").cast("timestamp_ntz"))
-    cells = [F.date_format(clock, "yyyy-MM-dd HH:mm:ss"), F.col("A").cast("string"), F.col("N").cast("string")]
+    cells = [hour_text(""), F.col("A").cast("string"), F.col("N").cast("string")]
     file = F.concat(F.lit("/data/"), F.year("day").cast("string"), F.lit("_qty_boulevard_x.csv"))
     data = hours.select(
         file.alias("file"), F.concat_ws(",", *[F.coalesce(cell, F.lit("")) for cell in cells]).alias("line")

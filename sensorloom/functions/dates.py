@@ -45,6 +45,12 @@ def floor_hour(clock: Column) -> Column:
     return F.timestamp_add("HOUR", F.hour(clock), clock.cast("date").cast("timestamp_ntz"))
 
 
+def clock_seconds(clock: Column) -> Column:
+    """Seconds of a clock time since 1970, as if it were UTC."""
+    days = F.unix_date(clock.cast("date")).cast("bigint")
+    return days * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.second(clock)
+
+
 def day_of(clock: Column) -> Column:
     """The day of a clock time."""
     return clock.cast("date")

@@ -43,8 +43,7 @@ def numbered_cells(cells: DataFrame) -> DataFrame:
 
 def input_order(column: Column, utc: Column) -> Column:
     """File, position and time as one ordering number; an overflow is an error."""
-    seconds = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), utc)
-    return column * F.lit(SECONDS_SPAN) + seconds + F.lit(SECONDS_1900)
+    return column * F.lit(SECONDS_SPAN) + dates.clock_seconds(utc) + F.lit(SECONDS_1900)
 
 
 def clean_hourly(cells: DataFrame, dedup_on: str = "local") -> DataFrame:

@@ -118,6 +118,9 @@ def test_local_time_ignores_the_session_zone(spark, zone):
         clock = ["2024-03-10 02:30:00"]
         floor = column(spark, clock, "string", lambda v: dates.floor_hour(v.cast("timestamp_ntz")).cast("string"))
         assert floor == ["2024-03-10 02:00:00"]
+        seconds = lambda v: dates.clock_seconds(v.cast("timestamp_ntz"))
+        moments = ["1970-01-02 00:00:01", "2024-03-10 02:30:00", "2024-03-10 03:30:00"]
+        assert column(spark, moments, "string", seconds) == [86401, 1710037800, 1710041400]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
