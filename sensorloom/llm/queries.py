@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import secrets
+from sensorloom.llm import bpe, secrets, token_counts
 from sensorloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,8 +31,8 @@ def _secret_spans(kind: str, pattern: str, group: int, least: int) -> str:
     return f"""
     SELECT doc_id, '{kind}' AS kind, begins AS start, begins + length(whole) AS stop FROM (
         SELECT doc_id, whole[i] AS whole, part[i] AS part,
-               list_sum(list_transform(gap[1:i], x -> length(x)))::BIGINT
-               + coalesce(list_sum(list_transform(whole[1:i - 1], x -> length(x))), 0)::BIGINT AS begins
+               list_sum(list_transform(gap[1:i], lambda x: length(x)))::BIGINT
+               + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0)::BIGINT AS begins
         FROM (
             SELECT doc_id, gap, whole, part, unnest(range(1, len(whole) + 1)) AS i FROM (
                 SELECT doc_id, string_split_regex(t, '{quoted}') AS gap, regexp_extract_all(t, '{quoted}') AS whole,
@@ -73,3 +74,16 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text.cast("binary"), 256).alias("base_sha256"),
         text.alias("spans"),
     )
+
+
+@register("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again; tested against the library."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text; tested against the library."""
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
