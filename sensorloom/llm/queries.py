@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, secrets, token_counts
-from sensorloom.llm.common import documents
+from sensorloom.llm import bpe, langid, secrets, token_counts
+from sensorloom.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text; tested against the library."""
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of every text, learned outside the held-out rows; tested by held-out accuracy."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(True))
+    models = langid.learn(docs.filter(~held_out).select("text", "lang"))
+    found = langid.identify(docs.select("doc_id", "text"), models)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
