@@ -38,6 +38,12 @@ SEGMENT = 1024
 #: Bytes of text parsed at once.
 AT_ONCE = 4_000_000
 LETTER = r"\p{L}"
+SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
+
+
+def parsed_bytes(text: str) -> bytes:
+    """What is parsed: lower case, every run of ASCII characters that are no letters as one space."""
+    return b" ".join(text.lower().encode().translate(SPACED).split())
 
 
 def suffix_automaton(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -174,7 +180,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> list[t
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         texts, room = [], allowed
-        candidates = [t.lower().encode() for t in rows.sort_values(["place", "text"])["text"].drop_duplicates()]
+        candidates = [parsed_bytes(t) for t in rows.sort_values(["place", "text"])["text"].drop_duplicates()]
         for one in candidates:
             if len(one) <= room:
                 texts.append(one)
@@ -218,7 +224,7 @@ def identify(docs: DataFrame, models: list, text: str = "text") -> DataFrame:
                     group.append(known[begin])
                     size += len(texts[known[begin]])
                     begin += 1
-                bits = entropies([texts[i].lower().encode() for i in group], tables)
+                bits = entropies([parsed_bytes(texts[i]) for i in group], tables)
                 ranked = np.sort(bits, axis=1)
                 for i, best, low in zip(group, np.argmin(bits, axis=1), ranked):
                     langs[i] = tables[best][0]
