@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, langid, secrets, token_counts
-from sensorloom.llm.common import documents, remainder
+from sensorloom.llm import bpe, langid, quality, secrets, token_counts
+from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,18 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = langid.learn(docs.filter(~held_out).select("text", "lang"))
     found = langid.identify(docs.select("doc_id", "text"), models)
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned outside the held-out rows; tested by held-out accuracy."""
+    rows = written(quality.measured(documents(spark, sf_dir).select("doc_id", "text")), "statistics")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learned = quality.labelled(rows, labels.filter(remainder("doc_id", 3) != 1))
+    scored = quality.score(rows, quality.fit(written(learned, "labelled")))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
