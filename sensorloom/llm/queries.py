@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, langid, quality, secrets, token_counts
+from sensorloom.llm import bpe, langid, pii, quality, secrets, token_counts
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,25 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text; tested against the patterns and by what the field adds."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find(docs, pii.learn(pii.labelled_table(docs)))
+    kinds = F.array(*[F.lit(kind) for kind in pii.KINDS])
+
+    def ranked(spans):
+        return F.array_sort(F.transform(spans, lambda s: F.struct(F.array_position(kinds, s["kind"]).alias("rank"), s["start"], s["end"], s["kind"])))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(secrets.shown(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.shown(ranked(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("bigint").alias("n_added"),
+    )
