@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, langid, pii, quality, secrets, token_counts
+from sensorloom.llm import bpe, decontaminate, langid, pii, quality, secrets, token_counts
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.shown(ranked(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("bigint").alias("n_added"),
     )
+
+
+@register("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents: doc_id, item_id, edits, start, end; tested by brute force."""
+    return decontaminate.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
