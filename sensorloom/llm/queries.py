@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontaminate, langid, pii, quality, secrets, token_counts
+from sensorloom.llm import bpe, decontaminate, embeddings, langid, pii, quality, secrets, token_counts
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in documents: doc_id, item_id, edits, start, end; tested by brute force."""
     return decontaminate.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register("op10_embeddings")
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of a label; its recall is measured against all pairs in the tests."""
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
