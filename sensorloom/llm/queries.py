@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontaminate, embeddings, langid, pii, quality, secrets, token_counts
+from sensorloom.llm import bpe, decontaminate, embeddings, jaccard, langid, pii, quality, secrets, token_counts
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of a label; its recall is measured against all pairs in the tests."""
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
+
+
+@register("op5_jaccard")
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles are 90 % alike; tested by brute force."""
+    return jaccard.join(documents(spark, sf_dir), words=3, percent=90)
