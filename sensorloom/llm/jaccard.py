@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,10 +161,10 @@ def shingled(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """id, n, print, first: each text's set size, the set's fingerprint, and its first shingles."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, words))
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place = shared.value
-        for frame in frames:
-            sets = shingle_sets(frame["text"].tolist(), words)
+        for batch in batches:
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
             first = []
             for members in sets:
                 n = len(members)
@@ -173,10 +174,12 @@ def shingled(texts: DataFrame, words: int, percent: int) -> DataFrame:
                     rank = np.where(known[at] == members, place[at], 0)
                     members = members[np.argsort(rank, kind="stable")]
                 first.append(members[:upto].view(np.int64))
-            yield pd.DataFrame({"id": frame["id"], "n": [len(s) for s in sets], "print": [fingerprint(s) for s in sets], "first": first})
+            columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary())]
+            columns.append(pa.array(first, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "print", "first"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInPandas(cut, f"id {kind}, n bigint, print binary, first array<bigint>")
+    return texts.mapInArrow(cut, f"id {kind}, n bigint, print binary, first array<bigint>")
 
 
 def star_groups(classes: DataFrame, percent: int) -> DataFrame:

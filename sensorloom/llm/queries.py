@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontaminate, embeddings, jaccard, langid, pii, quality, secrets, token_counts
+from sensorloom.llm import bpe, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,11 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles are 90 % alike; tested by brute force."""
     return jaccard.join(documents(spark, sf_dir), words=3, percent=90)
+
+
+@register("op2_licences")
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of documents placed at source/lang/doc_id; tested by brute force."""
+    docs = documents(spark, sf_dir)
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.col("doc_id").cast("string"))
+    return licences.scan(docs.select("doc_id", path.alias("path"), "text"))
