@@ -184,20 +184,34 @@ def score_bin(scores: np.ndarray) -> np.ndarray:
     return np.clip(((scores + 1.0) / 3.0 * BINS).astype(np.int64), 0, BINS - 1)
 
 
+def calibrated(stats: np.ndarray, model: dict) -> np.ndarray:
+    """Probabilities of label 1."""
+    if "constant" in model:
+        return np.full(len(stats), model["constant"])
+    raw = cosines(stats, model) @ model["weights"]
+    return np.clip(np.interp(score_bin(raw), model["bins"], model["values"]), 0.0, 1.0)
+
+
+def accepted(docs: DataFrame, model: dict, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The documents that score at least so much, unchanged."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                stats = np.array([statistics(one.as_py() or "") for one in batch.column(text)])
+                yield batch.filter(pa.array(calibrated(stats, model) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def score(rows: DataFrame, model: dict) -> DataFrame:
     """The measured rows with `score` for `stats`."""
     rest = [name for name in rows.columns if name not in ("stats", "score")]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if "constant" in model:
-                found = np.full(batch.num_rows, model["constant"])
-            elif batch.num_rows:
-                stats = batch.column("stats").values.to_numpy().reshape(batch.num_rows, -1)
-                raw = cosines(stats, model) @ model["weights"]
-                found = np.clip(np.interp(score_bin(raw), model["bins"], model["values"]), 0.0, 1.0)
-            else:
-                found = np.zeros(0)
+            stats = batch.column("stats").flatten().to_numpy().reshape(batch.num_rows, len(FEATURES))
+            found = calibrated(stats, model)
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in rest), pa.array(found)], [*rest, "score"])
 
     schema = T.StructType([rows.schema[name] for name in rest]).add("score", T.DoubleType())
