@@ -221,4 +221,4 @@ def score(rows: DataFrame, model: dict) -> DataFrame:
 def labelled(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
     """The statistics of labelled documents: stats, label."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("double").alias("label")).filter("label IN (0, 1)")
-    return rows.join(known, F.col(key) == F.col("_key")).select("stats", "label")
+    return rows.select(F.col(key).alias("_own"), "stats").join(known, F.col("_own") == F.col("_key")).select("stats", "label")

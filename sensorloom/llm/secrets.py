@@ -6,7 +6,7 @@ applies a rule to a blob only where no ledger row pairs the two, appends what it
 findings back to all paths and versions by blob.
 
 Defined results: a NULL text is the empty text; repeated rows keep a row each; an empty table gives
-an empty result and an empty scan; columns of other names are ignored, so none can clash.
+an empty result and an empty scan; other columns are kept, those called blob or spans are replaced.
 """
 
 from __future__ import annotations
@@ -131,16 +131,16 @@ def findings(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, te
         F.transform("found", lambda s: F.struct(s["start"].alias("start"), F.array_position(current, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
     hits = hits.select(
-        F.col("blob").alias("_blob"),
-        F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("_spans"),
+        F.col("blob").alias("__hit_blob"),
+        F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("__hit_spans"),
     )
     path = scratch_path(versions.sparkSession, "secret-hits")
     hits.write.parquet(path)
     hits = versions.sparkSession.read.schema(hits.schema).parquet(path)
     none = F.array().cast(f"array<{SPAN}>")
     addressed = versions.withColumns({"blob": blob_of(text)})
-    joined = addressed.join(hits, F.col("blob") == F.col("_blob"), "left")
-    return joined.withColumns({"spans": F.coalesce("_spans", none)}).drop("_blob", "_spans")
+    joined = addressed.join(hits, F.col("blob") == F.col("__hit_blob"), "left")
+    return joined.withColumns({"spans": F.coalesce("__hit_spans", none)}).drop("__hit_blob", "__hit_spans")
 
 
 def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
