@@ -2,9 +2,10 @@
 
 A rotation of the principal directions is learned on a bounded sample so that the signs of the
 rotated vectors are balanced binary codes that lose little. Codes are cut into substrings, one table
-each, of about log2 of the largest group's size in bits. Two vectors are candidates if in some table their
-substrings differ in at most `radius` bits, the radius at which vectors right at the threshold are
-expected to be found with probability RECALL. Candidates are reranked by the cosine of the original vectors.
+each; two vectors are candidates if in some table their substrings differ in at most `radius` bits. Length
+and radius follow from the largest group's size: the cheapest choice at which vectors right at the
+threshold are expected to be found with probability RECALL. Pairs whose whole codes differ in more bits than all but a
+millionth of such pairs are left out. Candidates are reranked by the cosine of the original vectors.
 
 Vectors are compared within a label and a length. Equal vectors of a label are one class and stand for all
 their rows; links are between classes, counted with the rows behind them.
@@ -34,6 +35,8 @@ SAMPLE_ROWS = 20_000
 ROUNDS = 30
 BITS = 64
 RECALL = 0.97
+#: What shuffling a row costs beside meeting one.
+SHUFFLED = 3
 SEED = 7
 
 
@@ -54,17 +57,34 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np
 
 
 def tables_for(rows: int, bits: int, threshold: float) -> tuple[int, int, int]:
-    """(tables, bits of a substring, radius) for a largest group of that many vectors."""
-    width = min(16, max(8, math.ceil(math.log2(max(2, rows)))), bits)
-    tables = bits // width
+    """(tables, bits of a substring, radius) for a largest group of that many vectors.
+
+    Of the choices that find a pair at the threshold with probability RECALL, the one with the fewest rows
+    to expect per vector: its entries and probes, which are shuffled, and what the probes meet.
+    """
+    flip = math.acos(threshold) / math.pi
+    best = None
+    for width in range(1, min(24, bits) + 1):
+        tables = bits // width
+        near, probes = 0.0, 0
+        for radius in range(width + 1):
+            near += math.comb(width, radius) * flip**radius * (1 - flip) ** (width - radius)
+            probes += math.comb(width, radius)
+            if 1 - (1 - near) ** tables >= RECALL:
+                cost = tables * (SHUFFLED * (1 + probes) + probes * rows / 2**width)
+                best = min(best or (math.inf,), (cost, tables, width, radius))
+                break
+    return best[1:]
+
+
+def furthest(bits: int, threshold: float) -> int:
+    """The Hamming distance that a pair at the threshold exceeds with probability 10^-6."""
     flip = math.acos(threshold) / math.pi
-    found, radius = 0.0, -1
-    near = 0.0
-    while found < RECALL and radius < width:
-        radius += 1
-        near += math.comb(width, radius) * flip**radius * (1 - flip) ** (width - radius)
-        found = 1 - (1 - near) ** tables
-    return tables, width, radius
+    found, distance = 0.0, -1
+    while found < 1 - 1e-6 and distance < bits:
+        distance += 1
+        found += math.comb(bits, distance) * flip**distance * (1 - flip) ** (bits - distance)
+    return distance
 
 
 def _masks(width: int, radius: int) -> list[int]:
@@ -120,6 +140,7 @@ def candidates(coded: DataFrame, bits: int, threshold: float) -> DataFrame:
     )
     index = tabled.withColumnsRenamed({"number": "b", "code": "code_b"})
     met = probes.join(index, ["label", "size", "slot", "sub"]).filter("a < b")
+    met = met.filter(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= furthest(bits, threshold))
     # A pair that several tables find counts in the first of them.
     earlier = F.lit(False)
     for table in range(tables - 1):
