@@ -5,7 +5,8 @@ once, the ids are joined back and each document's ids are put together by positi
 the ids to the token-byte table, a fixed table of the vocabulary.
 
 Defined results: a NULL text is the empty text, which has no ids; repeated rows and repeated keys
-keep a row each; an empty table gives an empty result; only the named columns are read.
+keep a row each; an empty table gives an empty result; only the named columns are read. The pattern may use
+the classes of letters, numbers and white space, and must match every character.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from sensorloom.llm import words
 
 #: Bytes of a vocabulary file above which it is not sent to the tasks.
 VOCABULARY_BYTES = 64 << 20
+#: From here on versions of Unicode differ in what is a letter.
+RARE = regex.compile("[\u0500-\U0010ffff]")
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -41,6 +44,35 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
         return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=read_ranks(file.read()), special_tokens={})
 
 
+@lru_cache(maxsize=1)
+def _class_probes() -> list[tuple[tiktoken.Encoding, str]]:
+    """Encodings that find only letters, only numbers or only white space, each with one that stands for all."""
+    ranks = {bytes([b]): b for b in range(256)}
+    kinds = ((r"\p{L}", "a"), (r"\p{N}", "1"), (r"\s", "\t"))
+    return [(tiktoken.Encoding("probe", pat_str=kind, mergeable_ranks=ranks, special_tokens={}), one) for kind, one in kinds]
+
+
+def stand_ins(characters: set[str]) -> dict[int, str]:
+    """For each character one of its class that all versions of Unicode agree on, as the library sees it."""
+    found = {ord(c): "!" for c in characters}
+    text = "".join(sorted(characters))
+    for probe, one in _class_probes():
+        found |= {ord(c): one for c in bytes(probe.encode_ordinary(text)).decode()}
+    return found
+
+
+def cut(text: str, pattern: regex.Pattern) -> list[str]:
+    """The pre-tokens of a text; rare characters are cut by their class in the library's own Unicode."""
+    rare = set(RARE.findall(text))
+    if not rare:
+        return pattern.findall(text)
+    pieces, at = [], 0
+    for piece in pattern.findall(text.translate(stand_ins(rare))):
+        pieces.append(text[at : at + len(piece)])
+        at += len(piece)
+    return pieces
+
+
 @lru_cache(maxsize=2)
 def token_bytes(path: str) -> list[bytes]:
     """The token-byte table: the bytes of every id."""
@@ -116,7 +148,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, key: str, text: str, resu
             decoded.append(b"".join([table[i] for i in one.tolist()]))
         return pd.DataFrame(result(keys, ids, decoded))
 
-    stored = words.blocks(docs, key, text, compiled.findall, words.pack_indices, lambda _: 0)
+    stored = words.blocks(docs, key, text, lambda one: cut(one, compiled), words.pack_indices, lambda _: 0)
     return words.rejoined(stored, words.answered(stored, answer), assemble, ddl)
 
 

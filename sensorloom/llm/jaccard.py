@@ -249,6 +249,7 @@ def linked_pairs(sets: list[np.ndarray], percent: int) -> np.ndarray:
             grid = np.zeros((len(sets), COLUMNS), dtype=np.float32)
             grid[owner[a:b], number[a:b] - low] = 1.0
             overlap += grid @ grid.T
+    np.fill_diagonal(overlap, sizes)
     union = sizes[:, None] + sizes[None, :] - overlap
     return 100 * overlap >= percent * union
 
