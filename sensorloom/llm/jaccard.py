@@ -2,9 +2,12 @@
 
 1. Texts with the same set of shingles are one class; a class stands for all its texts.
 2. Sets are ordered with frequent shingles last; two sets that reach the threshold share one of their first
-   n - ceil(t n) + 1 shingles. Lists of classes per such shingle are the index. In every list the
-   smallest class is the pivot; all lists of a pivot together are its star. Any two classes of a list
-   meet in the star of its pivot, so every candidate pair does, and a star has no more rows than lists.
+   n - ceil(t n) + 1 shingles. Lists of classes per such shingle are the index. The position of the shingle
+   in a set bounds its overlap with any other; classes that no other of the list can reach are skipped.
+   In every list the smallest class is the pivot; all lists of a pivot together are its star. Any two
+   classes left in a list meet in the star of its pivot, so every candidate pair does, and stars have no
+   more rows than lists. Lists of frequent shingles, which may be long, are never gathered: they are
+   summed up and joined, with a bound that the sums give.
 3. Large stars are cut into blocks by position, the set's size; blocks whose sizes are too far apart
    for the threshold are skipped, the others meet in pairs, each a group of a bounded number of rows.
 4. In a group the answers of one set against all others are computed; those between the others follow
@@ -39,6 +42,8 @@ AT_ONCE = 1_000_000
 COUNT_AT_ONCE = 2_000_000
 FREQUENT = 4
 MOST_FREQUENT = 1 << 16
+#: Entries of a list that are compared with each other; longer lists are left whole.
+LIST_AT_ONCE = 4096
 #: Rows of a block of a large star.
 BLOCK = 64
 #: Columns of differing shingles multiplied at once.
@@ -158,14 +163,15 @@ def _needed(n: Column | int, percent: int):
 
 
 def shingled(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """id, n, print, first: each text's set size, the set's fingerprint, and its first shingles."""
+    """id, n, print, first, plain: each text's set size, the set's fingerprint, its first shingles, and how
+    many of its shingles are not frequent: these come first."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, words))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, place = shared.value
         for batch in batches:
             sets = shingle_sets(batch.column("text").to_pylist(), words)
-            first = []
+            first, plain = [], []
             for members in sets:
                 n = len(members)
                 upto = n - _needed(n, percent) + 1 if n else 0
@@ -173,21 +179,88 @@ def shingled(texts: DataFrame, words: int, percent: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(known, members), len(known) - 1)
                     rank = np.where(known[at] == members, place[at], 0)
                     members = members[np.argsort(rank, kind="stable")]
+                    plain.append(int((rank == 0).sum()))
+                else:
+                    plain.append(n)
                 first.append(members[:upto].view(np.int64))
             columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary())]
-            columns.append(pa.array(first, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "print", "first"])
+            columns += [pa.array(first, pa.list_(pa.int64())), pa.array(plain, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "print", "first", "plain"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(cut, f"id {kind}, n bigint, print binary, first array<bigint>")
+    return texts.mapInArrow(cut, f"id {kind}, n bigint, print binary, first array<bigint>, plain bigint")
+
+
+def reachable(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Which entries of a list have another that they may link with, this being their first common shingle."""
+    if len(n) > LIST_AT_ONCE:
+        return np.ones(len(n), dtype=bool)
+    both = np.minimum.outer(n - place, n - place)
+    may = both * (100 + percent) >= percent * np.add.outer(n, n)
+    np.fill_diagonal(may, False)
+    return may.any(axis=1)
+
+
+def stars_of_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """star, id of the lists of plain shingles, each list read as one stretch of a sorted partition."""
+    kind = entries.schema["id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if left is None else [left, batch]).combine_chunks()
+            shingle = table.column("shingle").to_numpy()
+            last = int(np.searchsorted(shingle, shingle[-1], side="left")) if len(shingle) else 0
+            yield from answer(table.slice(0, last))
+            # The last list may go on in the next batch.
+            rest = table.slice(last).combine_chunks().to_batches()
+            left = rest[0] if rest else None
+        if left is not None:
+            yield from answer(pa.Table.from_batches([left]))
+
+    def answer(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        stars, ids = [], []
+        if len(table):
+            shingle, n, place = (table.column(c).to_numpy() for c in ("shingle", "n", "place"))
+            bounds = np.append(np.flatnonzero(np.diff(shingle, prepend=~shingle[0])), len(shingle))
+            long = np.flatnonzero(np.diff(bounds) > 1)
+            for low, high in zip(bounds[long].tolist(), bounds[long + 1].tolist()):
+                some = np.flatnonzero(reachable(n[low:high], place[low:high], percent))
+                if len(some):
+                    found = table.column("id").slice(low, high - low).take(pa.array(some)).to_pylist()
+                    stars += [min(found)] * len(found)
+                    ids += found
+        yield pa.RecordBatch.from_arrays([pa.array(stars, table.schema.field("id").type), pa.array(ids, table.schema.field("id").type)], ["star", "id"])
+
+    dealt = entries.select("shingle", "id", "n", "place").repartition("shingle").sortWithinPartitions("shingle")
+    return dealt.mapInArrow(work, f"star {kind}, id {kind}")
+
+
+def stars_of_frequent(entries: DataFrame, percent: int) -> DataFrame:
+    """star, id of the lists of frequent shingles: no list comes together in one place."""
+    # The sizes that a partner may have go up to this; up to its own size means any smaller one counts.
+    upto = (F.col("n") - F.col("place")) * ((100 + percent) / percent) - F.col("n") + 1e-6
+    sized = entries.withColumn("upto", upto).withColumn("small", F.col("upto") >= F.col("n"))
+    lists = sized.groupBy("shingle").agg(
+        F.min("id").alias("star"),
+        F.count_if("small").alias("smalls"),
+        F.min(F.when(F.col("small"), F.col("n"))).alias("least"),
+        F.max(F.when(F.col("small"), F.col("upto"))).alias("reach"),
+        F.max(F.when(~F.col("small"), F.col("upto"))).alias("other_reach"),
+    )
+    lists = written(lists.filter("smalls > 0"), "frequent-lists")
+    met = sized.join(lists, "shingle")
+    as_small = F.col("small") & ((F.col("smalls") > 1) | F.coalesce(F.col("other_reach") >= F.col("n"), F.lit(False)))
+    as_large = ~F.col("small") & (F.col("least") <= F.col("upto")) & (F.col("reach") >= F.col("n"))
+    return met.filter(as_small | as_large).select("star", "id")
 
 
 def star_groups(classes: DataFrame, percent: int) -> DataFrame:
     """id, print and a group: the classes of each star, large stars in pairs of blocks that sizes allow."""
-    lists = classes.select("id", F.explode("first").alias("shingle"))
-    pivots = lists.groupBy("shingle").agg(F.min("id").alias("star"), F.count("*").alias("rows")).filter("rows > 1")
-    pivots = written(pivots.select("shingle", "star"), "pivots")
-    met = lists.join(pivots, "shingle").select("star", "id").distinct()
+    entries = classes.select("id", "n", "plain", F.posexplode("first").alias("place", "shingle"))
+    entries = entries.withColumn("place", F.col("place").cast("bigint"))
+    plain = stars_of_lists(entries.filter("place < plain"), percent)
+    met = plain.unionAll(stars_of_frequent(entries.filter("place >= plain"), percent)).distinct()
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int").alias("at")
     members = written(met.join(classes.select("id", "print", "n", size_class), "id"), "star-members")
     counted = members.groupBy("star", "at").count()
@@ -196,7 +269,7 @@ def star_groups(classes: DataFrame, percent: int) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("at", F.ceil(F.col("count") / BLOCK).cast("int")))).alias("blocks"),
     )
     stars = written(stars, "stars")
-    sized = members.join(stars, "star")
+    sized = members.join(stars.filter("rows > 1"), "star")
     blocks = F.col("blocks")
 
     def many(at: Column) -> Column:
@@ -305,7 +378,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id"
     texts = docs.select(F.col(key).alias("id"), whole_text(text).alias("text"))
     sets = written(shingled(texts, words, percent), "shingled")
     usable = sets.filter("id IS NOT NULL AND print IS NOT NULL")
-    classes = usable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"))
+    classes = usable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("plain").alias("plain"))
     classes = written(classes, "set-classes")
     groups = star_groups(classes, percent)
     members = groups.join(texts.filter("id IS NOT NULL"), "id")
