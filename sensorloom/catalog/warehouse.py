@@ -332,7 +332,8 @@ def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G3 far down: rows are numbered in parallel, nothing is skipped in one task."""
     rows = table(spark, sf_dir, "lineitem")
     order = [F.col(name) for name in DEEP_ORDER.split(", ")]
-    return paging.page_of(rows, order, page=151, per_page=100).select("l_orderkey", "l_linenumber", "l_partkey")
+    page = paging.page_of_numbered(paging.numbered(rows, order), page=151, per_page=100)
+    return page.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @register(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-# Sensors report one or two decimals; four leave room and keep sums far from the bigint limit.
+# Sensors report one or two decimals. More decimals change no result, only how a mean is summed.
 DECIMALS = 4
+# Whole numbers up to here are exact in a double.
+WHOLE = float(2**53)
 
 
 def to_double(text: Column) -> Column:
@@ -24,18 +26,27 @@ def clamp_floor(value: Column, floor: float = 0.0) -> Column:
 
 
 def scaled(value: Column, decimals: int = DECIMALS) -> Column:
-    """The value as a whole number of 10^-decimals."""
-    return F.rint(value * F.lit(float(10**decimals))).cast("bigint")
+    """The value as a whole number of 10^-decimals, NULL where it is none: more decimals, too large, NaN."""
+    scale = F.lit(float(10**decimals))
+    whole = F.rint(value * scale)
+    return F.when((F.abs(whole) <= WHOLE) & (whole / scale == value), whole.cast("bigint"))
 
 
-def exact_sum(value: Column, decimals: int = DECIMALS) -> Column:
-    """A sum over bigint: the same whatever the order of partial sums or a retried task."""
-    return F.sum(scaled(value, decimals)) / F.lit(float(10**decimals))
+def mean_of_parts(total: Column, fitting: Column, plain: Column, count: Column, decimals: int = DECIMALS) -> Column:
+    """A mean from a sum of `scaled` values, if all `count` of them fit, or else from the plain sum."""
+    exact = F.when(fitting == count, total / F.lit(float(10**decimals)))
+    return F.try_divide(F.coalesce(exact, plain), count)
 
 
-def exact_mean(value: Column, decimals: int = DECIMALS) -> Column:
-    """`exact_sum` over the count of non-NULL values; NULL for an empty group."""
-    return F.try_divide(exact_sum(value, decimals), F.count(value))
+def exact_mean(value: Column, decimals: int = DECIMALS, over: WindowSpec | None = None) -> Column:
+    """The mean of the non-NULL values; NULL for an empty group.
+
+    Where every value of the group has at most so many decimals, it is summed over bigint, the same
+    whatever the order of partial sums or a retried task. Other groups have the plain mean of doubles.
+    """
+    whole = scaled(value, decimals)
+    parts = [F.try_sum(whole), F.count(whole), F.sum(value.cast("double")), F.count(value)]
+    return mean_of_parts(*(part if over is None else part.over(over) for part in parts), decimals)
 
 
 def portable_round(value: Column, digits: int, mode: str = "half_up") -> Column:

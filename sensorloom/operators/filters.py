@@ -35,7 +35,7 @@ def parse_day(value: str | datetime.date | None, name: str) -> datetime.date | N
     try:
         return datetime.date.fromisoformat(value)
     except ValueError as error:
-        raise ValueError(f"{name} must be a date in the format YYYY-MM-DD") from error
+        raise ValueError(f"{name}: {value!r} is no ISO day such as 2024-01-31") from error
 
 
 def within_days(

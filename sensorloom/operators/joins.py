@@ -27,9 +27,16 @@ def with_context(fact: DataFrame, *contexts: tuple[DataFrame, str | Sequence[str
     return fact
 
 
-def lookup_id(df: DataFrame, dimension: DataFrame, code: str, identifier: str) -> DataFrame:
-    """Replace a code by its identifier; a code without a match stays as NULL (K3 counts it)."""
-    return df.join(dimension.select(code, identifier), code, "left").drop(code)
+def lookup_id(df: DataFrame, dimension: DataFrame, code: str, identifier: str, strict: bool = True) -> DataFrame:
+    """Replace a code by its identifier; a code that the dimension lacks is an error that names it.
+
+    A NULL code has no identifier, and unless `strict` neither has an unknown one.
+    """
+    missing = F.raise_error(F.concat(F.lit(f"{code} without {identifier}: "), F.col(code).cast("string")))
+    kind = dimension.schema[identifier].dataType
+    found = F.when(F.col(identifier).isNull() & F.col(code).isNotNull(), missing.cast(kind)).otherwise(F.col(identifier))
+    met = df.join(dimension.select(code, identifier), code, "left")
+    return (met.withColumn(identifier, found) if strict else met).drop(code)
 
 
 def keep_matching(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:

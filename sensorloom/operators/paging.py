@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from sensorloom import settings
 from sensorloom.operators.keys import dense_ids
 
-# Up to here a page is the tail of a top-k; beyond, rows are numbered in parallel instead.
-SHALLOW_ROWS = 10_000
-
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """G1: the first k rows of an order that ends in a tie-break."""
@@ -22,19 +19,32 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def page_window(page: int = 1, per_page: int = settings.PER_PAGE, maximum: int = settings.PER_PAGE_MAX) -> tuple[int, int]:
     """A checked page number and a capped page size."""
     if page < 1 or per_page < 1:
-        raise ValueError("page and per_page must be positive integers")
+        raise ValueError(f"pages and their sizes count from 1: page {page}, per_page {per_page}")
     return page, min(per_page, maximum)
 
 
 def page_of(df: DataFrame, order: Sequence[Column], page: int = 1, per_page: int = settings.PER_PAGE) -> DataFrame:
-    """One page of a total order."""
+    """One page of a total order, the tail of a top-k: its cost grows with the page's depth.
+
+    For pages far down, number the rows once with `numbered` and take `page_of_numbered`, or go on
+    from a known row with `page_after`.
+    """
+    page, per_page = page_window(page, per_page)
+    return df.orderBy(*order).offset((page - 1) * per_page).limit(per_page)
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], number: str = "row_number") -> DataFrame:
+    """The rows with their place in a total order, written to the shared folder once."""
+    return dense_ids(df, order, number)
+
+
+def page_of_numbered(
+    rows: DataFrame, page: int = 1, per_page: int = settings.PER_PAGE, number: str = "row_number"
+) -> DataFrame:
+    """One page of numbered rows, at the same cost for any depth."""
     page, per_page = page_window(page, per_page)
-    skipped = (page - 1) * per_page
-    if skipped + per_page <= SHALLOW_ROWS:
-        return df.orderBy(*order).offset(skipped).limit(per_page)
-    numbered = dense_ids(df, order, "_row")
-    wanted = numbered.filter(F.col("_row").between(skipped + 1, skipped + per_page))
-    return wanted.orderBy("_row").drop("_row")
+    first = (page - 1) * per_page + 1
+    return rows.filter(F.col(number).between(first, first + per_page - 1)).orderBy(number).drop(number)
 
 
 def page_after(df: DataFrame, after: Column, order: Sequence[Column], per_page: int = settings.PER_PAGE) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.functions.numeric import exact_mean, portable_round, scaled
+from sensorloom.functions.numeric import exact_mean, portable_round
 from sensorloom.operators import calendar
 
 
@@ -86,8 +86,7 @@ def rolling_mean(
         ordered = Window.partitionBy(*series).orderBy(F.unix_date(F.col(day)))
         window = ordered.rangeBetween(-(days - 1), 0)
     count = F.count(value).over(window)
-    total = F.sum(scaled(value, decimals)).over(window) / F.lit(float(10**decimals))
-    return F.when(count >= min_count, total / count)
+    return F.when(count >= min_count, exact_mean(value, decimals, window))
 
 
 def monthly_mean(

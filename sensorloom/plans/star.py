@@ -48,7 +48,7 @@ def station_ids(stations: DataFrame) -> DataFrame:
 def episode_rows(episodes: DataFrame, pollutant: DataFrame, days: DataFrame) -> DataFrame:
     """Episodes of known pollutants on days of the calendar."""
     coded = episodes.withColumn("pollutant_code", F.replace("pollutant", F.lit("."), F.lit("")))
-    known = lookup_id(coded, pollutant, "pollutant_code", "pollutant_id").filter(
+    known = lookup_id(coded, pollutant, "pollutant_code", "pollutant_id", strict=False).filter(
         F.col("pollutant_id").isNotNull()
     )
     flags = ["forecast", "observed", "criterion_population", "criterion_area"]

@@ -70,6 +70,7 @@ def scan_csv(
             .option("header", "true")
             .option("sep", separator)
             .option("escape", '"')
+            .option("multiLine", "true")
         )
         parts.append(
             reader.csv(files)
@@ -81,14 +82,12 @@ def scan_csv(
     return concatenate(*parts)
 
 
-def resolve_column(df: DataFrame, candidates: Sequence[str], required: bool = True) -> str | None:
-    """The first candidate that is a column."""
-    for name in candidates:
-        if name in df.columns:
-            return name
-    if required:
-        raise KeyError(f"none of the columns {list(candidates)}; columns present: {df.columns}")
-    return None
+def resolve_column(df: DataFrame, spellings: Sequence[str], required: bool = True) -> str | None:
+    """The column under the spelling listed first of those that the table has."""
+    present = sorted(set(spellings) & set(df.columns), key=spellings.index)
+    if required and not present:
+        raise KeyError(f"no column is spelled like any of {', '.join(spellings)}")
+    return present[0] if present else None
 
 
 def read_school_calendar(spark: SparkSession, path: str) -> DataFrame:
@@ -103,8 +102,12 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The alert history."""
-    return scan_csv(spark, path)
+    """The alert history, the CSV file of the folder whose name comes first."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+    first = names.agg(F.min(decoded(F.col("path"))).alias("path")).first()["path"]
+    if first is None:
+        raise FileNotFoundError(f"no CSV file in {path}")
+    return scan_csv(spark, path).filter(F.col("_file") == first)
 
 
 def read_indices(spark: SparkSession, path: str, pattern: str | None = INDEX_FILE) -> DataFrame:

@@ -19,6 +19,9 @@ STATION_FILE = r"(?i)(\d{4})[ _-]([A-Z0-9]+)\.csv$"
 SEGMENT_FILE = r"(?i)(\d{4})[ _-]([A-Z0-9]+)[ _-]boulevard.*\.csv$"
 DATA_LINE = r"^\d{4}-\d{2}-\d{2}"
 
+# Stands for a comma that ends a cell; a control character that no text holds.
+BREAK = "\x1f"
+
 HEADER_FIELDS = {
     2: "station_name",
     3: "station_code",
@@ -48,20 +51,27 @@ def read_lines(spark: SparkSession, folder: str, name_pattern: str) -> DataFrame
 
 
 def split_row(line: Column) -> Column:
-    """The cells of a header row; a quoted cell may hold commas and doubled quotes."""
-    cells = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    return F.transform(
-        cells,
+    """The cells of a row; a quoted cell may hold commas and doubled quotes.
+
+    Between quotes every second piece is outside of them; only commas there end a cell. One pass, so a
+    row may be of any length.
+    """
+    pieces = F.split(line, '"', -1)
+    marked = F.transform(pieces, lambda piece, at: F.when(at % 2 == 0, F.translate(piece, ",", BREAK)).otherwise(piece))
+    quoted = F.transform(
+        F.split(F.array_join(marked, '"'), BREAK, -1),
         lambda cell: F.trim(
-            F.replace(F.regexp_replace(F.trim(cell), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))
+            F.replace(F.regexp_replace(F.trim(cell), '(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))
         ),
     )
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.transform(F.split(line, ",", -1), lambda cell: F.trim(cell)))
 
 
 def read_layout(lines: DataFrame) -> DataFrame:
     """The header lines of every file and where its data starts, from one scan.
 
-    A row per header line, and one row per file whose `line` is NULL for its first data line.
+    A row per header line, and one row per file whose `line` is NULL for its first data line and the
+    number of data lines with an impossible time.
     Data lines meet in one partial aggregate per task, so nothing but that leaves it.
     """
     is_header = ~F.col("line").rlike(DATA_LINE)
@@ -69,29 +79,37 @@ def read_layout(lines: DataFrame) -> DataFrame:
         "file",
         F.when(is_header, F.col("line_id")).alias("header_id"),
         F.when(is_header, F.col("line")).alias("line"),
-    ).agg(F.min("line_id").alias("line_id"))
+    ).agg(F.min("line_id").alias("line_id"), F.count_if(~is_header & line_time().isNull()).alias("bad_times"))
 
 
 def header_report(layout: DataFrame, header_lines: int = settings.HEADER_LINES) -> DataFrame:
-    """A2: per file, whether exactly the expected header stands before the first data line."""
+    """A2: per file, whether exactly the expected header stands before the first data line, and whether
+    every data line has a time."""
     is_header = F.col("line").isNotNull()
     report = layout.groupBy("file").agg(
         F.count_if(is_header).alias("header_lines"),
         F.max(F.when(is_header, F.col("line_id"))).alias("last_header"),
         F.min(F.when(~is_header, F.col("line_id"))).alias("first_data"),
+        F.sum("bad_times").alias("bad_times"),
+    )
+    good = (
+        (F.col("header_lines") == header_lines)
+        & (F.col("last_header") < F.col("first_data"))
+        & (F.col("bad_times") == 0)
     )
-    good = (F.col("header_lines") == header_lines) & (F.col("last_header") < F.col("first_data"))
     return report.select("file", F.coalesce(good, F.lit(False)).alias("well_formed"))
 
 
 def require_headers(
     layout: DataFrame, header_lines: int = settings.HEADER_LINES, shown: int = 5
 ) -> None:
-    """A2: stop, naming files, when any file has another layout."""
+    """A2: stop when any file has another layout or impossible times, with their number and the first names."""
     bad = header_report(layout, header_lines).filter(~F.col("well_formed"))
-    names = [row.file for row in bad.orderBy("file").limit(shown).collect()]
-    if names:
-        raise ValueError(f"unexpected format, line {header_lines + 1} is not a date: {names}")
+    count = bad.count()
+    if count:
+        names = [row.file for row in bad.orderBy("file").limit(shown).collect()]
+        rest = f" and {count - len(names)} more" if count > len(names) else ""
+        raise ValueError(f"{count} files without {header_lines} header lines above timed data lines: {', '.join(names)}{rest}")
 
 
 def column_metadata(layout: DataFrame, header_lines: int = settings.HEADER_LINES) -> DataFrame:
@@ -132,12 +150,14 @@ def column_metadata(layout: DataFrame, header_lines: int = settings.HEADER_LINES
     )
 
 
+def line_time() -> Column:
+    """The time that a data line begins with; NULL if there is no such time."""
+    return dates.iso_utc(F.replace(F.substring_index("line", ",", 1), F.lit('"'), F.lit("")))
+
+
 def timed_cells() -> list[Column]:
     """The time and the cells of a data line, as columns of their own below the explode."""
-    return [
-        dates.iso_utc(F.substring_index("line", ",", 1)).alias("time"),
-        F.split("line", ",", -1).alias("cells"),
-    ]
+    return [line_time().alias("time"), split_row(F.col("line")).alias("cells")]
 
 
 def data_cells(lines: DataFrame, files: DataFrame, zone: str = settings.ZONE) -> DataFrame:
@@ -150,7 +170,7 @@ def data_cells(lines: DataFrame, files: DataFrame, zone: str = settings.ZONE) ->
     parsed = data.select("first_column", *timed_cells()).withColumn(
         "timestamp", dates.hour_start_local(F.col("time"), zone)
     )
-    cells = parsed.select(
+    cells = parsed.filter(F.col("time").isNotNull()).select(
         "first_column", "time", "timestamp", F.posexplode("cells").alias("pos", "cell")
     )
     return cells.filter((F.col("pos") > 0) & (F.trim("cell") != "")).select(
@@ -183,15 +203,16 @@ def segment_cells(lines: DataFrame) -> DataFrame:
         lines.filter(F.col("line").rlike(DATA_LINE))
         .join(header, "file")
         .select("segments", pollutant.alias("pollutant_code"), *timed_cells())
-        .select("segments", "pollutant_code", "time", F.posexplode("cells").alias("pos", "cell"))
+        # Cells meet their names before the explode, so a cell carries its own name only.
+        .select("pollutant_code", "time", F.posexplode(F.arrays_zip("cells", "segments")).alias("pos", "at"))
     )
     return (
-        cells.filter(F.col("pos") > 0)
+        cells.filter((F.col("pos") > 0) & F.col("time").isNotNull())
         .select(
             "time",
-            F.get("segments", F.col("pos")).alias("segment"),
+            F.col("at.segments").alias("segment"),
             "pollutant_code",
-            to_double(F.col("cell")).alias("value"),
+            to_double(F.col("at.cells")).alias("value"),
         )
         .filter(F.col("value").isNotNull())
     )

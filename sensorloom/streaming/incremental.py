@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sensorloom.functions.numeric import portable_round, scaled
+from sensorloom.functions.numeric import mean_of_parts, portable_round, scaled
 from sensorloom.operators.completeness import at_least
 
 
@@ -42,11 +42,13 @@ def daily_stream(
         .agg(F.min(value).alias("value"))
     )
     daily = hourly.groupBy(F.window("hour", "1 day").alias("day"), *keys).agg(
-        F.sum(scaled(F.col("value"), decimals)).alias("total"),
+        F.try_sum(scaled(F.col("value"), decimals)).alias("total"),
+        F.count(scaled(F.col("value"), decimals)).alias("fitting"),
+        F.sum(F.col("value").cast("double")).alias("plain"),
         F.max("value").alias("max"),
         F.count("value").alias("n_hours"),
     )
-    mean = F.col("total") / F.lit(float(10**decimals)) / F.col("n_hours")
+    mean = mean_of_parts(F.col("total"), F.col("fitting"), F.col("plain"), F.col("n_hours"), decimals)
     return at_least(daily, "n_hours", min_hours).select(
         F.col("day.start").cast("date").alias("date"),
         *keys,

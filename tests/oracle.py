@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import math
 import os
+from collections import Counter
 
 import duckdb
 
@@ -47,7 +48,7 @@ def differences(df, connection, sql: str, shown: int = 5) -> list[str]:
     if len(found) != len(wanted):
         report.append(f"{len(found)} rows != {len(wanted)}")
     # repr also tells 1 from 1.0, so types are compared as well.
-    left, right = set(map(repr, found)), set(map(repr, wanted))
-    report += [f"only spark: {row}" for row in sorted(left - right)[:shown]]
-    report += [f"only sql:   {row}" for row in sorted(right - left)[:shown]]
+    left, right = Counter(map(repr, found)), Counter(map(repr, wanted))
+    report += [f"more often in spark: {row}" for row in sorted(left - right)[:shown]]
+    report += [f"more often in sql:   {row}" for row in sorted(right - left)[:shown]]
     return report

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,25 @@ def test_exact_mean_does_not_depend_on_order(spark):
     assert up.filter("v > 1e12").agg(numeric.exact_mean(F.col("v"))).first()[0] is None
 
 
+def test_means_are_not_cut(spark):
+    """Values of many decimals, very large ones and NaN have their plain mean and stop nothing."""
+    groups = {
+        "small": [0.00004, 0.00002],
+        "six": [1.123457, 2.000001, 3.5],
+        "large": [1e16, 3.0],
+        "huge": [1e300, -1e300],
+        "two": [0.1, 0.2, 0.3],
+        "empty": [None],
+    }
+    rows = [(name, v) for name, values in groups.items() for v in values] + [("nan", float("nan")), ("nan", 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for decimals in (2, 4):
+        found = {r.k: r.m for r in df.groupBy("k").agg(numeric.exact_mean(F.col("v"), decimals).alias("m")).collect()}
+        for name, values in groups.items():
+            assert found[name] == (None if name == "empty" else pytest.approx(sum(values) / len(values), rel=1e-15))
+        assert math.isnan(found["nan"]) and found["two"] == 0.6 / 3
+
+
 def test_iso_text_to_utc(spark):
     values = [
         "2026-01-01 01:00:00Z",

@@ -94,7 +94,7 @@ def test_filters(spark):
     assert (kept.count(), rejected.count()) == (1, 2)
     assert filters.complete_rows(df, ["c"]).count() == 2
     assert rows(filters.lookup(df, "c", "b", upper=True)) == [("B", 2)]
-    with pytest.raises(ValueError, match="start must be a date"):
+    with pytest.raises(ValueError, match="start: .* is no ISO day"):
         filters.within_days(F.col("d"), "2024-13-01", None)
     with pytest.raises(ValueError, match="type must be one of"):
         filters.one_of(F.col("c"), "z", ["x"], "type")
@@ -114,6 +114,15 @@ def test_joins(spark):
     assert rows(days, "date") == [(day(1), "p"), (day(2), "p")]
 
 
+def test_an_unknown_code_is_an_error_that_names_it(spark):
+    known = spark.createDataFrame([("A", 1)], "code string, id int")
+    facts = spark.createDataFrame([("A",), ("B",), (None,)], "code string")
+    with pytest.raises(Exception, match="code without id: B"):
+        joins.lookup_id(facts, known, "code", "id").collect()
+    assert [r.id for r in joins.lookup_id(facts.filter("code <> 'B'"), known, "code", "id").collect()] == [1]
+    assert sorted(str(r.id) for r in joins.lookup_id(facts, known, "code", "id", strict=False).collect()) == ["1", "None", "None"]
+
+
 def test_conform_and_concatenate(spark):
     a = spark.createDataFrame([("2024-01-01", 1)], "d string, x int")
     b = spark.createDataFrame([("2024-01-02", "u")], "d string, y string")
@@ -196,16 +205,19 @@ def test_dense_ids_are_dense(spark):
     assert numbered.columns == ["number", "k", "id", "hot"] and "BroadcastHashJoin" in plan
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(250).withColumn("v", F.col("id") * 2)
     with pytest.raises(ValueError):
         paging.page_window(0, 10)
     assert paging.page_window(1, 500) == (1, 100)
     page = paging.page_of(df, [F.desc("id")], 2, 10)
     assert [r.id for r in page.collect()] == list(range(239, 229, -1))
-    monkeypatch.setattr(paging, "SHALLOW_ROWS", 50)
     deep = paging.page_of(df, [F.desc("id")], 20, 10)
     assert [r.id for r in deep.collect()] == list(range(59, 49, -1))
+    numbered = paging.numbered(df, [F.desc("id")])
+    assert numbered.count() == 250
+    assert [r.id for r in paging.page_of_numbered(numbered, 20, 10).collect()] == list(range(59, 49, -1))
+    assert paging.page_of_numbered(numbered, 26, 10).columns == df.columns
     assert paging.page_of(df, [F.desc("id")], 26, 10).count() == 0
     assert rows(paging.page_info(df, 25, 10)) == [(25, 10, 250, 25, None, 24)]
     assert rows(paging.page_info(df.limit(0))) == [(1, 20, 0, 1, None, None)]

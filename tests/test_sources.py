@@ -100,6 +100,27 @@ def test_both_autumn_hours_on_request(spark, station_folder):
         measurements.load_measurements(spark, station_folder, dedup_on="x")
 
 
+def test_quoted_cells_stay_in_their_column(spark, tmp_path):
+    lines = ['2024-01-01 01:00:00Z,"1,5",7,9', '"2024-01-01 02:00:00Z","2.5", 8 ,"a ""b"", c"']
+    write(tmp_path / "2024_NO2.csv", wide_file(["A", "B", "C"], ["a", "b", "c"], "NO2", lines[:1] + ["2024-01-01 02:00:00Z," + lines[1].split(",", 1)[1]]))
+    found = measurements.load_measurements(spark, str(tmp_path)).hourly.collect()
+    assert sorted((r.timestamp.hour, r.station_code, r.value) for r in found) == [(1, "B", 7.0), (1, "C", 9.0), (2, "A", 2.5), (2, "B", 8.0)]
+
+
+def test_header_rows_of_any_length(spark):
+    line = ",".join(f'"name, {n} ""x"""' for n in range(10_000))
+    row = spark.createDataFrame([(line,), ("a, b ,,",), ("",)], "line string").select(wide_csv.split_row(F.col("line")).alias("cells")).collect()
+    assert len(row[0].cells) == 10_000 and row[0].cells[9_999] == 'name, 9999 "x"'
+    assert row[1].cells == ["a", "b", "", ""] and row[2].cells == [""]
+
+
+def test_impossible_times_stop_the_run(spark, tmp_path):
+    for n in range(7):
+        write(tmp_path / f"200{n}_NO2.csv", wide_file(["A"], ["a"], "NO2", ["2024-01-01 01:00:00Z,1", "2024-13-45 02:00:00Z,5"]))
+    with pytest.raises(ValueError, match="^7 files without .* and 2 more$"):
+        measurements.load_measurements(spark, str(tmp_path))
+
+
 def test_another_layout_stops_the_run(spark, tmp_path):
     write(tmp_path / "2020_O3.csv", "a,b\n1,2\n" * 4)
     write(tmp_path / "2021_O3.csv", wide_file(["S"], ["s"], "O3", ["2021-01-01 01:00:00Z,1"]))
