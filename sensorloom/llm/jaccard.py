@@ -8,8 +8,9 @@
    classes left in a list meet in the star of its pivot, so every candidate pair does, and stars have no
    more rows than lists. Lists of frequent shingles, which may be long, are never gathered: they are
    summed up and joined, with a bound that the sums give.
-3. Large stars are cut into blocks by position, the set's size; blocks whose sizes are too far apart
-   for the threshold are skipped, the others meet in pairs, each a group of a bounded number of rows.
+3. Classes that a smaller star has as well are compared there, so of a star only pairs with a class of its
+   own are left. Large stars are cut into blocks by position, the set's size; blocks whose sizes are
+   too far apart for the threshold are skipped, the others meet in pairs, each a group of bounded size.
 4. In a group the answers of one set against all others are computed; those between the others follow
    from them and from the few shingles in which each differs:
    |y n z| = |r| - |r-y| - |r-z| + |(r-y) n (r-z)| + |(y-r) n (z-r)|.
@@ -45,7 +46,7 @@ MOST_FREQUENT = 1 << 16
 #: Entries of a list that are compared with each other; longer lists are left whole.
 LIST_AT_ONCE = 4096
 #: Rows of a block of a large star.
-BLOCK = 64
+BLOCK = 128
 #: Columns of differing shingles multiplied at once.
 COLUMNS = 4096
 
@@ -261,19 +262,26 @@ def star_groups(classes: DataFrame, percent: int) -> DataFrame:
     entries = entries.withColumn("place", F.col("place").cast("bigint"))
     plain = stars_of_lists(entries.filter("place < plain"), percent)
     met = plain.unionAll(stars_of_frequent(entries.filter("place >= plain"), percent)).distinct()
+    met = written(met, "star-pairs")
+    # A star whose pivot is in a smaller star: what both have, the smaller one compares.
+    smaller = met.filter("id <> star").groupBy(F.col("id").alias("star")).agg(F.min("star").alias("smaller"))
+    there = met.select(F.col("star").alias("smaller"), "id", F.lit(1).alias("side"))
+    sided = met.join(written(smaller, "smaller-stars"), "star", "left").join(there, ["smaller", "id"], "left")
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int").alias("at")
-    members = written(met.join(classes.select("id", "print", "n", size_class), "id"), "star-members")
-    counted = members.groupBy("star", "at").count()
+    members = sided.select("star", "id", F.coalesce("side", F.lit(0)).alias("side"))
+    members = written(members.join(classes.select("id", "print", "n", size_class), "id"), "star-members")
+    counted = members.groupBy("star", "at", "side").count()
+    place = F.col("at") * 2 + F.col("side")
     stars = counted.groupBy("star").agg(
         F.sum("count").alias("rows"),
-        F.map_from_entries(F.collect_list(F.struct("at", F.ceil(F.col("count") / BLOCK).cast("int")))).alias("blocks"),
+        F.sum(F.when(F.col("side") == 0, F.col("count"))).alias("own"),
+        F.map_from_entries(F.collect_list(F.struct(place, F.ceil(F.col("count") / BLOCK).cast("int")))).alias("blocks"),
     )
-    stars = written(stars, "stars")
-    sized = members.join(stars.filter("rows > 1"), "star")
-    blocks = F.col("blocks")
+    stars = written(stars.filter("rows > 1 AND own > 0"), "stars")
+    sized = members.join(stars, "star")
 
-    def many(at: Column) -> Column:
-        return F.coalesce(F.element_at(blocks, at), F.lit(0))
+    def many(at: Column, side: int) -> Column:
+        return F.coalesce(F.element_at("blocks", at * 2 + side), F.lit(0))
 
     def pairs(low: Column, low_block, high: Column, high_block, count: Column) -> Column:
         """A group for each block of the other side; none if there is none."""
@@ -282,15 +290,19 @@ def star_groups(classes: DataFrame, percent: int) -> DataFrame:
             every, lambda o: F.struct(low.alias("low"), low_block(o).alias("i"), high.alias("high"), high_block(o).alias("j"))
         )
 
-    at = F.col("at")
-    own = F.pmod(F.xxhash64("id"), F.greatest(many(at), F.lit(1))).cast("int")
+    at, side = F.col("at"), F.col("side")
+    count = F.when(side == 0, many(at, 0)).otherwise(many(at, 1))
+    own = F.pmod(F.xxhash64("id"), F.greatest(count, F.lit(1))).cast("int")
+    # Blocks of the star's own rows meet each other and those that a smaller star has too (below zero).
+    fresh = [
+        pairs(at, lambda o: F.least(own, o), at, lambda o: F.greatest(own, o), many(at, 0)),
+        pairs(at, lambda o: own, at + 1, lambda o: o, many(at + 1, 0)),
+        pairs(at - 1, lambda o: o, at, lambda o: own, many(at - 1, 0)),
+        *[pairs(at, lambda o: own, at + step, lambda o: -o - 1, many(at + step, 1)) for step in (-1, 0, 1)],
+    ]
+    known = [pairs(at + step, lambda o: o, at, lambda o: -own - 1, many(at + step, 0)) for step in (-1, 0, 1)]
     whole = F.array(F.struct(F.lit(-1).alias("low"), F.lit(0).alias("i"), F.lit(-1).alias("high"), F.lit(0).alias("j")))
-    cut = F.concat(
-        pairs(at, lambda o: F.least(own, o), at, lambda o: F.greatest(own, o), many(at)),
-        pairs(at, lambda o: own, at + 1, lambda o: o, many(at + 1)),
-        pairs(at - 1, lambda o: o, at, lambda o: own, many(at - 1)),
-    )
-    groups = F.when(F.col("rows") <= BLOCK, whole).otherwise(cut)
+    groups = F.when(F.col("rows") <= BLOCK, whole).when(side == 0, F.concat(*fresh)).otherwise(F.concat(*known))
     return sized.select("id", "print", "star", F.explode(groups).alias("block")).select("id", "print", "star", "block.*")
 
 
