@@ -407,17 +407,17 @@ def semi_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT date, s_suppkey FROM (
         SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, s_suppkey
-        FROM orders JOIN supplier ON o_custkey = s_suppkey
+        FROM (SELECT o_orderdate, l_suppkey AS s_suppkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
     ) t WHERE NOT EXISTS (
         SELECT 1 FROM lineitem l WHERE CAST(l.l_shipdate AS DATE) = t.date AND l.l_suppkey = t.s_suppkey)""",
 )
 def anti_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected (day, station) pairs without any measurement."""
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("o_custkey"))
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
     expected = (
         table(spark, sf_dir, "orders")
-        .join(suppliers, "o_custkey")
-        .select(proxies.order_day().alias("date"), F.col("o_custkey").alias("s_suppkey"))
+        .join(items, "o_orderkey")
+        .select(proxies.order_day().alias("date"), F.col("l_suppkey").alias("s_suppkey"))
         .distinct()
     )
     found = table(spark, sf_dir, "lineitem").select(
@@ -429,18 +429,16 @@ def anti_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "known_values",
     """
-    SELECT CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) AS kept, COUNT(*) AS n
-    FROM orders GROUP BY 1""",
+    SELECT o_orderkey, o_orderpriority, CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) AS kept
+    FROM orders""",
 )
 def known_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of known values, and the rest reported."""
     kept, rejected = filters.split_known(
         table(spark, sf_dir, "orders"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     )
-    count = F.count("*").alias("n")
-    return reshape.concatenate(
-        kept.agg(F.lit(1).alias("kept"), count), rejected.agg(F.lit(0).alias("kept"), count)
-    )
+    both = [rows.select("o_orderkey", "o_orderpriority", F.lit(flag).alias("kept")) for flag, rows in ((1, kept), (0, rejected))]
+    return reshape.concatenate(*both)
 
 
 @register(

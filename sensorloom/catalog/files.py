@@ -9,7 +9,7 @@ from sensorloom import settings
 from sensorloom.catalog import proxies
 from sensorloom.catalog.proxies import order_day, ship_day, table
 from sensorloom.catalog.registry import exact_mean, half_even, register
-from sensorloom.operators import calendar, statistics
+from sensorloom.operators import calendar
 from sensorloom.plans import context, measurements
 from sensorloom.session import scratch_path
 from sensorloom.sources import pages, tabular, wide_csv
@@ -470,7 +470,7 @@ def line_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     words = F.concat_ws(" ", "p_type", "p_brand")
     both = characters(F.col("p_name"), 10.2).union(characters(words, 24.0))
-    return pages.rebuild_lines(both.sort(F.xxhash64("text", "seq")), ["p_partkey"], stretch=35.0)
+    return pages.rebuild_lines(both, ["p_partkey"], stretch=35.0)
 
 
 MERGED = f"""
@@ -519,14 +519,12 @@ def scraped_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT DISTINCT CAST(o_orderdate AS DATE) + 1 AS date, 'PM10' AS pollutant FROM orders
         WHERE o_orderpriority = '1-URGENT'
     )
-    SELECT source, COUNT(*) AS n_rows FROM (
-        SELECT source FROM scraped
-        UNION ALL SELECT 'opendata_csv' FROM alerts a
-        WHERE NOT EXISTS (SELECT 1 FROM scraped s WHERE s.date = a.date AND s.pollutant = a.pollutant)
-    ) GROUP BY 1""",
+    SELECT date, pollutant, source FROM scraped
+    UNION ALL SELECT date, pollutant, 'opendata_csv' FROM alerts a
+    WHERE NOT EXISTS (SELECT 1 FROM scraped s WHERE s.date = a.date AND s.pollutant = a.pollutant)""",
 )
 def merged_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per source after the merge of both origins."""
+    """M8: the episodes of both origins."""
     urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     alerts = urgent.select(
         F.date_add(order_day(), 1).alias("date"),
@@ -534,4 +532,4 @@ def merged_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("information").alias("level"),
         F.lit("opendata_csv").alias("source"),
     )
-    return statistics.value_counts(context.merge_episodes(scraped(spark, sf_dir), alerts), "source")
+    return context.merge_episodes(scraped(spark, sf_dir), alerts).select("date", "pollutant", "source")

@@ -44,7 +44,7 @@ def _of_types(facts: DataFrame, tables: Tables, types: Sequence[str]) -> DataFra
 def yearly_mean_by_type(
     tables: Tables, pollutant: str = "PM25", types: Sequence[str] = (BACKGROUND, TRAFFIC)
 ) -> DataFrame:
-    """Q1 (D1, E3): is pollution going down? Yearly mean and number of stations per type."""
+    """Q1 (D1, E3): per year and type of station, the mean and how many stations it comes from."""
     facts = _of_types(_facts_of(tables, pollutant), tables, types)
     dated = joins.star(facts, (tables["calendar"].select("date", "year"), "date"))
     return dated.groupBy("year", "station_type").agg(

@@ -18,6 +18,7 @@ from sensorloom.operators import filters, scoring, timeseries
 from sensorloom.operators.keys import dense_ids
 from sensorloom.operators.reshape import concatenate
 
+# The names of the features, in the order of the published table.
 NEXT_DAY_WEATHER = {
     "temp_mean_c": "temp_next",
     "wind_mean_ms": "wind_next",

@@ -30,7 +30,8 @@ class Measurements(NamedTuple):
     audit: DataFrame
 
 
-# A column number and a second since 1900 in one bigint: 30 and 33 bits, good until 2172.
+# A column number and a second since 1900 in one bigint: 30 and 33 bits. Times that are compared, those of one
+# key, are an hour apart at most, so the order also holds for seconds that need more bits.
 SECONDS_1900 = 2_208_988_800
 SECONDS_SPAN = 1 << 33
 
