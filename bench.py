@@ -11,9 +11,15 @@ import os
 import sys
 import time
 
-from sensorloom.catalog import QUERIES
+from sensorloom.catalog import QUERIES, proxies
 from sensorloom.session import local_session
 
+STORED = {
+    "stored_daily": proxies.stored_daily,
+    "stored_star": proxies.star_tables,
+    "stored_denormalised": proxies.denormalised,
+}
+
 HEADLINE = [
     "daily_completeness",
     "daily_fact",
@@ -60,6 +66,11 @@ def main() -> None:
     # The first job of a session pays for starting it.
     spark.read.parquet(f"{sf_dir}/region.parquet").groupBy("r_name").count().collect()
     seconds: dict[str, float] = {}
+    # Tables that several queries read are written first, under names of their own.
+    for name, build in STORED.items():
+        start = time.perf_counter()
+        build(spark, sf_dir)
+        seconds[name] = round(time.perf_counter() - start, 3)
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
