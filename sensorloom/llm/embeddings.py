@@ -3,7 +3,7 @@
 A rotation of the principal directions is learned on a bounded sample so that the signs of the
 rotated vectors are balanced binary codes that lose little. Codes are cut into substrings, one table
 each; two vectors are candidates if in some table their substrings differ in at most `radius` bits. Length
-and radius follow from the largest group's size: the cheapest choice at which vectors right at the
+and radius follow, for each length of vectors, from the largest group's size: the cheapest choice at which vectors right at the
 threshold are expected to be found with probability RECALL. Pairs whose whole codes differ in more bits than all but a
 millionth of such pairs are left out. Candidates are reranked by the cosine of the original vectors.
 
@@ -128,9 +128,8 @@ def _near(a: Column, b: Column, table: int, width: int, radius: int) -> Column:
     return F.bit_count(differing) <= radius
 
 
-def candidates(coded: DataFrame, bits: int, threshold: float) -> DataFrame:
-    """a, b: pairs of classes that some table brings together, each pair once."""
-    largest = coded.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 0
+def candidates(coded: DataFrame, largest: int, bits: int, threshold: float) -> DataFrame:
+    """a, b: pairs of classes of one length that some table brings together, each pair once."""
     tables, width, radius = tables_for(largest, bits, threshold)
     sub = F.expr(f"shiftrightunsigned(code, slot * {width}) & {(1 << width) - 1}L")
     tabled = coded.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))).withColumn("sub", sub)
@@ -152,9 +151,10 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     """key, n_links, component_id, kept for every row."""
     found = written(classes(vectors, key, vector, label), "vector-classes")
     found = written(found.withColumn("number", F.monotonically_increasing_id()), "vector-numbers")
-    lengths = [r[0] for r in found.select(F.size("vector")).distinct().collect()]
+    groups = found.groupBy("label", F.size("vector").alias("size")).count()
+    largest_groups = {r.size: r.largest for r in groups.groupBy("size").agg(F.max("count").alias("largest")).collect()}
     models = {}
-    for length in lengths:
+    for length in largest_groups:
         same = found.filter(F.size("vector") == length)
         share = SAMPLE_ROWS / max(same.count(), SAMPLE_ROWS)
         sample = same.filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_003)) <= share * 1_000_003).select("vector")
@@ -165,8 +165,11 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
         rows = rows / largest
         models[length] = learn_rotation(rows / np.linalg.norm(rows, axis=1, keepdims=True))
     coded = written(_coded(found, models), "codes")
-    bits = min([BITS, *lengths])
-    pairs = written(candidates(coded, bits, threshold), "candidates")
+    # Codes have as many bits as their length gives, so each length has its own tables and bound.
+    pairs = coded.select(F.col("number").alias("a"), F.col("number").alias("b")).limit(0)
+    for length, group in largest_groups.items():
+        pairs = pairs.unionAll(candidates(coded.filter(F.col("size") == length), group, min(BITS, length), threshold))
+    pairs = written(pairs, "candidates")
     links = written(reranked(pairs, found, threshold), "links")
     ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = found.select(F.col("number").alias("b"), "rows")

@@ -73,3 +73,31 @@ def test_rotation_keeps_neighbours_together():
     mean, projection = embeddings.learn_rotation(sample / np.linalg.norm(sample, axis=1, keepdims=True), 16)
     assert np.allclose(projection.T @ projection, np.eye(16), atol=1e-8)
     assert abs((((sample / np.linalg.norm(sample, axis=1, keepdims=True)) - mean) @ projection >= 0).mean() - 0.5) < 0.05
+
+
+def near_pairs(rng, base, least=0.93, most=0.97):
+    """For every unit vector another one at a cosine between the two given."""
+    aside = rng.normal(size=base.shape)
+    aside -= (aside * base).sum(1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = rng.uniform(least, most, size=(len(base), 1))
+    return cosine * base + np.sqrt(1 - cosine**2) * aside
+
+
+def recall(spark, vectors, threshold=0.93):
+    """The share of all links that are found, none of which may be wrong."""
+    rows = [(n, [float(x) for x in v], 1) for n, v in enumerate(vectors)]
+    truth = all_pairs(rows, threshold)
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"), threshold).collect()
+    assert len(found) == len(rows) and all(r.n_links <= len(truth.get(r.vec_id, ())) for r in found)
+    return sum(r.n_links for r in found) / sum(len(v) for v in truth.values())
+
+
+def test_a_short_vector_among_long_ones(spark):
+    """Each length has tables, radius and distance bound of its own."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(300, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    long = [*base, *near_pairs(rng, base)]
+    assert recall(spark, [*long, [1.0, 0.5]]) >= 0.9
+    assert recall(spark, [*long, rng.normal(size=8)]) >= 0.9
