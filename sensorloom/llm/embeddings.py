@@ -7,6 +7,11 @@ and radius follow, for each length of vectors, from the largest group's size: th
 threshold are expected to be found with probability RECALL. Pairs whose whole codes differ in more bits than all but a
 millionth of such pairs are left out. Candidates are reranked by the cosine of the original vectors.
 
+How often a bit differs follows from the angle as seen from the point that codes are taken around. Around the
+mean, bits are balanced, but where vectors share a direction the angles of near pairs are wider there: the widest
+in the sample counts. Around zero the angle is that of the cosine itself, and bits are less balanced. The
+cheaper of the two is taken for each length.
+
 Vectors are compared within a label and a length. Equal vectors of a label are one class and stand for all
 their rows; links are between classes, counted with the rows behind them.
 
@@ -40,9 +45,9 @@ SHUFFLED = 3
 SEED = 7
 
 
-def learn_rotation(sample: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection) of iterative quantisation on unit vectors."""
-    mean = sample.mean(axis=0)
+def learn_rotation(sample: np.ndarray, bits: int = BITS, centre: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, projection) of iterative quantisation on unit vectors; without `centre` the mean is taken as zero."""
+    mean = sample.mean(axis=0) if centre else np.zeros(sample.shape[1])
     centred = sample - mean
     bits = min(bits, sample.shape[1])
     _, directions = np.linalg.eigh(centred.T @ centred)
@@ -56,13 +61,30 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np
     return mean, principal @ rotation
 
 
-def tables_for(rows: int, bits: int, threshold: float) -> tuple[int, int, int]:
-    """(tables, bits of a substring, radius) for a largest group of that many vectors.
+def flip_rate(sample: np.ndarray, mean: np.ndarray, projection: np.ndarray, threshold: float) -> float:
+    """How often a bit differs between unit vectors at the threshold.
 
-    Of the choices that find a pair at the threshold with probability RECALL, the one with the fewest rows
-    to expect per vector: its entries and probes, which are shuffled, and what the probes meet.
+    From the widest angle around the mean that such a pair can have, which is where both are as near to it as any
+    vector of the sample; no less than measured on the sample with a partner at the threshold for each vector.
+    """
+    centred = sample - mean
+    nearest = (centred * centred).sum(axis=1).min()
+    cosine = 1 - (1 - threshold) / nearest if nearest > 0 else -1.0
+    aside = np.random.default_rng(SEED).normal(size=sample.shape)
+    aside -= (aside * sample).sum(axis=1, keepdims=True) * sample
+    aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-300)
+    partners = threshold * sample + math.sqrt(max(0.0, 1 - threshold**2)) * aside - mean
+    measured = ((centred @ projection >= 0) != (partners @ projection >= 0)).mean()
+    return max(math.acos(min(1.0, max(-1.0, cosine))) / math.pi, float(measured))
+
+
+def tables_for(rows: int, bits: int, flip: float, alike: float = 0.5) -> tuple[float, int, int, int]:
+    """(cost, tables, bits of a substring, radius) for a largest group of that many vectors.
+
+    Of the choices that find a pair at the threshold, whose bits differ at the rate `flip`, with probability RECALL,
+    the one with the fewest rows to expect per vector: its entries and probes, which are shuffled, and what the
+    probes meet where any two vectors have a bit alike at the rate `alike`.
     """
-    flip = math.acos(threshold) / math.pi
     best = None
     for width in range(1, min(24, bits) + 1):
         tables = bits // width
@@ -71,15 +93,30 @@ def tables_for(rows: int, bits: int, threshold: float) -> tuple[int, int, int]:
             near += math.comb(width, radius) * flip**radius * (1 - flip) ** (width - radius)
             probes += math.comb(width, radius)
             if 1 - (1 - near) ** tables >= RECALL:
-                cost = tables * (SHUFFLED * (1 + probes) + probes * rows / 2**width)
+                cost = tables * (SHUFFLED * (1 + probes) + probes * rows * alike**width)
                 best = min(best or (math.inf,), (cost, tables, width, radius))
                 break
-    return best[1:]
+    return best
+
 
+def plan(sample: np.ndarray, largest: int, threshold: float) -> tuple[tuple[np.ndarray, np.ndarray], float, tuple[int, int, int]]:
+    """((mean, projection), flip rate, (tables, bits of a substring, radius)) for unit vectors of one length.
 
-def furthest(bits: int, threshold: float) -> int:
-    """The Hamming distance that a pair at the threshold exceeds with probability 10^-6."""
-    flip = math.acos(threshold) / math.pi
+    Codes are taken around the mean or around zero, whichever has the lower cost.
+    """
+    found = []
+    for centre in (True, False):
+        mean, projection = learn_rotation(sample, centre=centre)
+        flip = flip_rate(sample, mean, projection, threshold)
+        positive = ((sample - mean) @ projection >= 0).mean(axis=0)
+        alike = float((positive**2 + (1 - positive) ** 2).mean())
+        cost, *tables = tables_for(largest, projection.shape[1], flip, alike)
+        found.append((cost, (mean, projection), flip, tuple(tables)))
+    return min(found, key=lambda one: one[0])[1:]
+
+
+def furthest(bits: int, flip: float) -> int:
+    """The Hamming distance that a pair at the threshold, whose bits differ at that rate, exceeds with probability 10^-6."""
     found, distance = 0.0, -1
     while found < 1 - 1e-6 and distance < bits:
         distance += 1
@@ -128,9 +165,8 @@ def _near(a: Column, b: Column, table: int, width: int, radius: int) -> Column:
     return F.bit_count(differing) <= radius
 
 
-def candidates(coded: DataFrame, largest: int, bits: int, threshold: float) -> DataFrame:
+def candidates(coded: DataFrame, bits: int, flip: float, tables: int, width: int, radius: int) -> DataFrame:
     """a, b: pairs of classes of one length that some table brings together, each pair once."""
-    tables, width, radius = tables_for(largest, bits, threshold)
     sub = F.expr(f"shiftrightunsigned(code, slot * {width}) & {(1 << width) - 1}L")
     tabled = coded.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))).withColumn("sub", sub)
     flips = F.explode(F.array(*[F.lit(m).cast("bigint") for m in _masks(width, radius)]))
@@ -139,7 +175,7 @@ def candidates(coded: DataFrame, largest: int, bits: int, threshold: float) -> D
     )
     index = tabled.withColumnsRenamed({"number": "b", "code": "code_b"})
     met = probes.join(index, ["label", "size", "slot", "sub"]).filter("a < b")
-    met = met.filter(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= furthest(bits, threshold))
+    met = met.filter(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= furthest(bits, flip))
     # A pair that several tables find counts in the first of them.
     earlier = F.lit(False)
     for table in range(tables - 1):
@@ -153,8 +189,8 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     found = written(found.withColumn("number", F.monotonically_increasing_id()), "vector-numbers")
     groups = found.groupBy("label", F.size("vector").alias("size")).count()
     largest_groups = {r.size: r.largest for r in groups.groupBy("size").agg(F.max("count").alias("largest")).collect()}
-    models = {}
-    for length in largest_groups:
+    plans = {}
+    for length, group in largest_groups.items():
         same = found.filter(F.size("vector") == length)
         share = SAMPLE_ROWS / max(same.count(), SAMPLE_ROWS)
         sample = same.filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_003)) <= share * 1_000_003).select("vector")
@@ -163,12 +199,12 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
             rows = np.array([r[0] for r in same.select("vector").limit(SAMPLE_ROWS).collect()]).reshape(-1, length)
         largest = np.abs(rows).max(axis=1, keepdims=True)
         rows = rows / largest
-        models[length] = learn_rotation(rows / np.linalg.norm(rows, axis=1, keepdims=True))
-    coded = written(_coded(found, models), "codes")
+        plans[length] = plan(rows / np.linalg.norm(rows, axis=1, keepdims=True), group, threshold)
+    coded = written(_coded(found, {length: model for length, (model, _, _) in plans.items()}), "codes")
     # Codes have as many bits as their length gives, so each length has its own tables and bound.
     pairs = coded.select(F.col("number").alias("a"), F.col("number").alias("b")).limit(0)
-    for length, group in largest_groups.items():
-        pairs = pairs.unionAll(candidates(coded.filter(F.col("size") == length), group, min(BITS, length), threshold))
+    for length, (_, flip, tables) in plans.items():
+        pairs = pairs.unionAll(candidates(coded.filter(F.col("size") == length), min(BITS, length), flip, *tables))
     pairs = written(pairs, "candidates")
     links = written(reranked(pairs, found, threshold), "links")
     ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -101,3 +101,13 @@ def test_a_short_vector_among_long_ones(spark):
     long = [*base, *near_pairs(rng, base)]
     assert recall(spark, [*long, [1.0, 0.5]]) >= 0.9
     assert recall(spark, [*long, rng.normal(size=8)]) >= 0.9
+
+
+def test_vectors_with_a_common_direction(spark):
+    """Pairs right above the threshold whose angle around the mean is much wider than their own."""
+    for shared in (0.8, 0.9):
+        rng = np.random.default_rng(12)
+        own = rng.normal(size=(300, 63))
+        own *= math.sqrt(1 - shared**2) / np.linalg.norm(own, axis=1, keepdims=True)
+        base = np.concatenate([np.full((300, 1), shared), own], axis=1)
+        assert recall(spark, [*base, *near_pairs(rng, base, 0.931, 0.94)]) >= 0.9
