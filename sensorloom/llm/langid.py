@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 #: Bytes of labelled text per language, and of all languages together: the bound of the sample.
 SAMPLE_BYTES = 48_000
 ALL_SAMPLES = 2_000_000
-#: Documents per language among which the sample is chosen, by a hash of their text.
+#: Different texts per language among which the sample is chosen, by a hash of their text.
 SAMPLE_ROWS = 400
 #: Languages above which labels are taken for something else.
 MOST_LANGUAGES = 1_000
@@ -162,25 +162,28 @@ def entropies(texts: list[bytes], models) -> np.ndarray:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, int, tuple]]:
     """(language, sample bytes, transitions) per language: a model of bounded size.
 
-    The sample is chosen by a hash of the text: about SAMPLE_ROWS documents per language, of
-    these different whole texts in hash order as long as they fit into the bytes allowed.
+    The sample is chosen by a hash of the text: about SAMPLE_ROWS different texts per language, all if there are
+    fewer, of these whole texts in hash order as long as they fit into the bytes allowed. Copies count once.
     """
     known = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(LETTER)
     )
-    counts = {row["lang"]: row["count"] for row in known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    place = F.xxhash64("text")
+    different = known.select("lang", place.alias("place")).distinct()
+    counts = {row["lang"]: row["count"] for row in different.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} different languages are labelled")
     if not counts:
         return []
     allowed = min(SAMPLE_BYTES, ALL_SAMPLES // len(counts))
     share = F.create_map(*[F.lit(x) for one, n in counts.items() for x in (one, min(1.0, SAMPLE_ROWS / n))])
-    place = F.xxhash64("text")
-    chosen = known.withColumn("place", place).filter(F.pmod(place, F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
+    chosen = known.filter(F.pmod(place, F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
+    # Copies end before the shuffle, so that a group is as large as its different texts.
+    chosen = chosen.select("lang", "text").distinct().withColumn("place", place)
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         texts, room = [], allowed
-        candidates = [parsed_bytes(t) for t in rows.sort_values(["place", "text"])["text"].drop_duplicates()]
+        candidates = [parsed_bytes(t) for t in rows.sort_values(["place", "text"])["text"]]
         for one in candidates:
             if len(one) <= room:
                 texts.append(one)

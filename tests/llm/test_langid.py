@@ -66,3 +66,16 @@ def test_odd_rows_and_no_rows(odd, none):
     assert {r.lang_pred for r in rows if r.doc_id == 5} == {"de"}
     assert langid.identify(none, models).collect() == []
     assert {r.lang_pred for r in langid.identify(odd, langid.learn(none)).collect()} == {"und"}
+
+
+def test_copies_of_few_texts(spark):
+    """A language of many copies is learned like one without copies."""
+    texts = {"de": "Der schnelle braune Fuchs springt über den faulen Hund", "en": "The quick brown fox jumps over the lazy dog", "it": "La volpe veloce salta sopra il cane pigro"}
+    once = [(text, lang) for lang, text in texts.items()]
+    many = spark.createDataFrame(once, "text string, lang string").selectExpr("text", "lang", "explode(sequence(1, 5000)) AS n")
+    models = langid.learn(many)
+    assert [m[0] for m in models] == ["de", "en", "it"]
+    plain = langid.learn(spark.createDataFrame(once, "text string, lang string"))
+    assert [(m[0], m[1], m[2][3]) for m in models] == [(m[0], m[1], m[2][3]) for m in plain]
+    found = langid.identify(spark.createDataFrame(once, "text string, truth string"), models).collect()
+    assert all(r.lang_pred == r.truth for r in found)
