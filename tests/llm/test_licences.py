@@ -62,3 +62,15 @@ def test_odd_rows_and_no_rows(odd, none):
     found = licences.scan(odd).collect()
     assert len(found) == 10 and all(r.effective is None and r.key == 7 for r in found)
     assert licences.scan(none).collect() == []
+
+
+def test_a_common_word_in_the_notice_at_any_size(spark):
+    """A word of half of all files weighs little, however many files there are."""
+    cosines = []
+    for files in (200, 10_000):
+        text = f"CASE WHEN id % 10 = 0 THEN '{MIT} Example' WHEN id % 2 = 0 THEN 'one example of words' ELSE 'other words' END"
+        table = spark.range(files).selectExpr("id", "concat('d', id, '/x') AS path", f"{text} AS text")
+        found = licences.scan(table).collect()
+        assert len(found) == files and all((r.licence == "MIT") == (r.id % 10 == 0) for r in found)
+        cosines.append(min(r.cosine for r in found if r.licence))
+    assert cosines[0] == pytest.approx(cosines[1], abs=0.01) and cosines[1] > 0.95
