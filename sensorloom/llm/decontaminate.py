@@ -35,8 +35,10 @@ HITS_AT_ONCE = 2_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
-_LOWER = np.arange(0x600, dtype=np.uint32)
-for _code in range(0x600):
+#: No letter with a case and no white space lies beyond.
+_FOLDED = 0x20000
+_LOWER = np.arange(_FOLDED, dtype=np.uint32)
+for _code in range(_FOLDED):
     _folded = chr(_code).lower()
     _LOWER[_code] = ord(_folded) if len(_folded) == 1 else _code
     if chr(_code).isspace():
@@ -54,7 +56,7 @@ class Match(NamedTuple):
 def codes(text: str) -> np.ndarray:
     """The characters as numbers, folded one to one."""
     found = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    return np.where(found < 0x600, _LOWER[np.minimum(found, 0x5FF)], found)
+    return np.where(found < _FOLDED, _LOWER[np.minimum(found, _FOLDED - 1)], found)
 
 
 def qgrams(found: np.ndarray) -> np.ndarray:

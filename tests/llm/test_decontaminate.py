@@ -94,3 +94,11 @@ def test_qgrams_are_equal_only_where_the_text_is():
     text = decontaminate.codes("abcdefghijXabcdefghij")
     hashes = decontaminate.qgrams(text)
     assert hashes[0] == hashes[11] and len(np.unique(hashes)) == len(hashes) - 1
+
+
+def test_every_letter_is_folded():
+    """Vietnamese, Greek with accents, Deseret; wide and thin spaces."""
+    assert decontaminate.codes("TIẾNG VIỆT ἈΡΧῊ 𐐀\u3000\u2009").tolist() == decontaminate.codes("tiếng việt ἀρχὴ 𐐨  ").tolist()
+    every = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if len(c.lower()) == 1]
+    wanted = [32 if c.isspace() else ord(c.lower()) for c in every]
+    assert decontaminate.codes("".join(every)).tolist() == wanted
