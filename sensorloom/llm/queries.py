@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts
+from sensorloom.llm import bpe, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts, urls
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,39 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.col("doc_id").cast("string"))
     return licences.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+# The rules as (host, path, verdict).
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+# The listed sites: junk under each of the tables' domains.
+JUNK_SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+DOMAINS = ("example.com", "example.net", "example.org")
+URLS_SQL = f"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), ruled AS (
+    SELECT *, CASE
+        WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN starts_with(path, '/') AND regexp_matches(host, '(^|[.])({"|".join(JUNK_SITES)})[.]example[.](com|net|org)$') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
+@register("op13_urls", URLS_SQL)
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL: four rules, then the listed junk sites."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    listed = urls.entries(spark, [(f"{site}.{domain}", "/", "block") for site in JUNK_SITES for domain in DOMAINS])
+    return urls.judge(pages, urls.entries(spark, URL_RULES), listed).drop("url")
