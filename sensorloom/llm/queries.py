@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts, urls
+from sensorloom.llm import bpe, codebooks, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts, urls
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +197,58 @@ def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     listed = urls.entries(spark, [(f"{site}.{domain}", "/", "block") for site in JUNK_SITES for domain in DOMAINS])
     return urls.judge(pages, urls.entries(spark, URL_RULES), listed).drop("url")
+
+
+ENTRIES, PARTS, ROUNDS = 16, 8, 6
+
+
+def _codebook_sql() -> str:
+    """The rounds one after another; a mean is floored with integers only."""
+
+    def nearest(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+    SELECT r, p, arg_min(e, ord) AS e, min(dist) AS dist FROM (
+        SELECT r, p, e, dist, dist::HUGEINT * {ENTRIES} + e AS ord FROM (
+            SELECT x.r, x.p, c.e, list_sum(list_transform(range(1, len(x.part) + 1), lambda i: (x.part[i] - c.part[i]) * (x.part[i] - c.part[i])))::BIGINT AS dist
+            FROM parts x JOIN c{n} c ON x.p = c.p
+        )
+    ) GROUP BY r, p
+)"""
+
+    def update(n: int) -> str:
+        return f"""m{n} AS (
+    SELECT p, e, list(((s - (s % k + k) % k) // k)::BIGINT ORDER BY i) AS part FROM (
+        SELECT p, e, i, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS k FROM (
+            SELECT x.p, a.e, unnest(x.part) AS x, unnest(range(len(x.part))) AS i FROM parts x JOIN a{n} a ON x.r = a.r AND x.p = a.p
+        ) GROUP BY p, e, i
+    ) GROUP BY p, e
+), c{n + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.part, c.part) AS part FROM c{n} c LEFT JOIN m{n} m ON c.p = m.p AND c.e = m.e)"""
+
+    steps = [f"{nearest(n)}, {update(n)}" for n in range(ROUNDS)] + [nearest(ROUNDS)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({4096} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT r, vec_id, p, v[p * (len(v) // {PARTS}) + 1 : (p + 1) * (len(v) // {PARTS})] AS part FROM kept, unnest(range({PARTS})) AS u(p)
+), c0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, part FROM parts
+    WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {ENTRIES})
+), {", ".join(steps)}, coded AS (
+    SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM a{ROUNDS} GROUP BY r
+)
+SELECT k.vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       sha256((SELECT string_agg(array_to_string(part, ','), ',' ORDER BY p, e) FROM c{ROUNDS})) AS codebooks_sha256
+FROM kept k JOIN coded d ON k.r = d.r"""
+
+
+@register("op12_codebooks", _codebook_sql())
+def op12_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sound vector's code and error, errors by label, and the digest of the codebooks."""
+    found = codebooks.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"), "embedding", "vec_id", PARTS, ENTRIES, ROUNDS)
+    codes = written(found.codes.select("vec_id", "label", "code", "error"), "codes")
+    whole = F.sum(F.col("error").cast("decimal(38,0)"))
+    sums = codes.groupBy("label").agg(F.least(whole, F.lit(codebooks.LONGEST)).cast("bigint").alias("label_error"))
+    digest = sha256(",".join(str(x) for x in found.codebooks.ravel().tolist()).encode()).hexdigest()
+    joined = codes.join(sums.withColumnRenamed("label", "of"), F.col("label").eqNullSafe(F.col("of")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
