@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, codebooks, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts, urls
+from sensorloom.llm import bpe, codebooks, conversations, decontaminate, embeddings, jaccard, langid, licences, pii, quality, secrets, token_counts, urls
 from sensorloom.llm.common import documents, remainder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,3 +252,34 @@ def op12_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = sha256(",".join(str(x) for x in found.codebooks.ravel().tolist()).encode()).hexdigest()
     joined = codes.join(sums.withColumnRenamed("label", "of"), F.col("label").eqNullSafe(F.col("of")))
     return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that the check asks for, by the remainder of conversation and turn."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    code = F.crc32(name.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return rows.filter(code != 0).select(
+        "conv_id",
+        "turn",
+        F.when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code == 1, "").when(code == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(code == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+@register("op11_conversations")
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults, the cheapest repair and the digest of what it gives."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = conversations.repair(damaged(rows))
+    digests = conversations.digests(found.rows).withColumnRenamed("conv_id", "of")
+    joined = found.conversations.join(digests, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    return every.join(joined, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
