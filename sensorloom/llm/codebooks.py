@@ -23,7 +23,6 @@ are replaced.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from decimal import Decimal
 from functools import reduce
 from typing import NamedTuple
 
@@ -41,16 +40,9 @@ SMALL = 1 << 27
 # Differences held at once by a task.
 AT_ONCE = 1 << 21
 LONGEST = (1 << 63) - 1
-# A member has a part, a sum of `n` members has totals.
-LAYER = "position int, entry int, salt int, n bigint, part array<bigint>, total array<decimal(38,0)>"
-LAYER_ARROW = [
-    pa.field("position", pa.int32()),
-    pa.field("entry", pa.int32()),
-    pa.field("salt", pa.int32()),
-    pa.field("n", pa.int64()),
-    pa.field("part", pa.list_(pa.int64())),
-    pa.field("total", pa.list_(pa.decimal128(38, 0))),
-]
+# A member has its part, as the bytes of 64-bit integers; a row of `n` members has their sums, comma-joined.
+LAYER = "position int, entry int, salt int, n bigint, part binary, total string"
+LAYER_ARROW = pa.schema([("position", pa.int32()), ("entry", pa.int32()), ("salt", pa.int32()), ("n", pa.int64()), ("part", pa.binary()), ("total", pa.string())])
 
 # [position, entry, component]; every position has as many entries.
 Codebooks = np.ndarray
@@ -105,14 +97,13 @@ def by_position(parts: np.ndarray, position: np.ndarray, books: Codebooks) -> np
 def layer_batch(columns: dict[str, np.ndarray], parts: np.ndarray | None = None, totals: np.ndarray | None = None) -> pa.RecordBatch:
     """Rows of a layer: members with their part, or sums of `n` members."""
     rows = len(columns["position"])
-    arrays = [pa.array(columns.get(f.name), f.type) if f.name in columns else pa.nulls(rows, f.type) for f in LAYER_ARROW[:4]]
+    found = {name: pa.array(values, LAYER_ARROW.field(name).type) for name, values in columns.items()}
     if parts is not None:
-        offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * parts.shape[1])
-        arrays += [pa.ListArray.from_arrays(offsets, pa.array(parts.ravel(), pa.int64())), pa.nulls(rows, LAYER_ARROW[5].type)]
+        offsets = np.arange(rows + 1, dtype=np.int32) * parts.shape[1] * parts.itemsize
+        found["part"] = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(parts))])
     else:
-        lists = [[Decimal(int(x)) for x in row] for row in totals]
-        arrays += [pa.nulls(rows, LAYER_ARROW[4].type), pa.array(lists, LAYER_ARROW[5].type)]
-    return pa.record_batch(arrays, schema=pa.schema(LAYER_ARROW))
+        found["total"] = pa.array([",".join(map(str, row)) for row in totals.tolist()], pa.string())
+    return pa.record_batch([found.get(f.name, pa.nulls(rows, f.type)) for f in LAYER_ARROW], schema=LAYER_ARROW)
 
 
 class Sums:
@@ -157,7 +148,11 @@ def place(width: int, scale: int, books: Codebooks, salts: int) -> Callable:
 def members(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """position, entry, salt and part of the members in a batch."""
     columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("position", "entry", "salt")]
-    return *columns, batch.column("part").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), size)
+    part = batch.column("part")
+    start = part.offset
+    offsets = np.frombuffer(part.buffers()[1], np.int32, len(part) + start + 1)[start:]
+    bytes_ = memoryview(part.buffers()[2])[offsets[0] : offsets[-1]] if len(part) else b""
+    return *columns, np.frombuffer(bytes_, np.int64).reshape(len(part), size)
 
 
 def settle(since: list[Codebooks], now: Codebooks) -> Callable:
@@ -200,8 +195,8 @@ def owners_sums(books: Codebooks) -> Callable:
 def updated(layer: DataFrame, books: Codebooks) -> Codebooks:
     """The floor of the mean of each entry's members, from those that came and the sums of those that stayed."""
     came = layer.filter("n IS NULL").mapInArrow(owners_sums(books), LAYER)
-    sums = layer.filter("n IS NOT NULL").unionByName(came).select("position", "entry", "n", F.posexplode("total").alias("at", "x"))
-    means = sums.groupBy("position", "entry", "at").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+    sums = layer.filter("n IS NOT NULL").unionByName(came).select("position", "entry", "n", F.posexplode(F.split("total", ",")).alias("at", "x"))
+    means = sums.groupBy("position", "entry", "at").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x"), F.sum("n").alias("n"))
     new = books.copy()
     for row in means.collect():
         new[row.position, row.entry, row.at] = int(row.x) // row.n
