@@ -40,9 +40,31 @@ def hourly_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_files(spark: SparkSession, lines: DataFrame, label: str) -> str:
+    """The folder of text files of the given names, their lines in order.
+
+    A file is written by one task; then the driver gives each its name.
+    """
+    folder = scratch_path(spark, label)
+    ordered = lines.repartition("file").sortWithinPartitions("file", "line_id")
+    ordered.select("file", "line").write.partitionBy("file").text(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(path(f"{folder}/file=*/part-*")):
+        name = status.getPath().getParent().getName().removeprefix("file=")
+        system.rename(status.getPath(), path(f"{folder}/{name}"))
+    return folder
+
+
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored lines of the yearly wide files."""
-    return proxies.stored_table(spark, sf_dir, "wide_lines", built_wide_lines)
+    """A4: the lines of the yearly wide files, found by their names."""
+    folder = proxies.stored_folder(spark, sf_dir, "wide_files", lambda: named_files(spark, built_wide_lines(spark, sf_dir), "wide-files"))
+    return wide_csv.read_lines(spark, folder, wide_csv.STATION_FILE)
+
+
+def file_name() -> Column:
+    """The name in a path."""
+    return F.substring_index("file", "/", -1)
 
 
 def hour_text(suffix: str) -> Column:
@@ -52,16 +74,16 @@ def hour_text(suffix: str) -> Column:
 
 
 def built_wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One wide file per year, as `read_lines` would give it.
+    """The lines of one wide file per year.
 
-    A code stands over two columns, a column is empty, some cells are no numbers.
+    A code stands over two columns, a column is empty, some cells are quoted or no numbers.
     """
     hours = hourly_sums(spark, sf_dir)
-    second = F.concat(F.col("N").cast("string"), F.lit(".5"))
-    third = F.when(F.col("R") > 70, "n/a").otherwise(F.col("R").cast("string"))
+    second = F.concat(F.lit('"'), F.col("N").cast("string"), F.lit('.5"'))
+    third = F.when(F.col("R") > 70, '"n/a, ""x"""').otherwise(F.col("R").cast("string"))
     first, other = F.col("A").cast("string"), F.col("N").cast("string")
     cells = [hour_text("Z"), first, other, third, second, F.lit("")]
-    file = F.concat(F.lit("/data/"), F.year("day").cast("string"), F.lit("_QTY.csv"))
+    file = F.concat(F.year("day").cast("string"), F.lit("_QTY.csv"))
     data = hours.select(
         file.alias("file"),
         (F.unix_date("day").cast("bigint") * 24 + F.col("hour")).alias("line_id"),
@@ -133,11 +155,11 @@ def wide_file_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "wide_file_empty",
     """
-    SELECT DISTINCT '/data/' || YEAR(l_shipdate) || '_QTY.csv' AS file, 'FLAG_Z' AS station_code FROM lineitem""",
+    SELECT DISTINCT YEAR(l_shipdate) || '_QTY.csv' AS file, 'FLAG_Z' AS station_code FROM lineitem""",
 )
 def wide_file_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations without any measurement, per file."""
-    return measurements.from_lines(wide_lines(spark, sf_dir)).empty_stations
+    return measurements.from_lines(wide_lines(spark, sf_dir)).empty_stations.withColumn("file", file_name())
 
 
 @register(
@@ -158,11 +180,11 @@ def wide_file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "wide_file_guard",
     """
-    SELECT DISTINCT '/data/' || YEAR(l_shipdate) || '_QTY.csv' AS file, TRUE AS well_formed FROM lineitem""",
+    SELECT DISTINCT YEAR(l_shipdate) || '_QTY.csv' AS file, TRUE AS well_formed FROM lineitem""",
 )
 def wide_file_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: does the data start right below the header of every file?"""
-    return wide_csv.header_report(wide_csv.read_layout(wide_lines(spark, sf_dir)))
+    return wide_csv.header_report(wide_csv.read_layout(wide_lines(spark, sf_dir))).withColumn("file", file_name())
 
 
 @register(
@@ -181,12 +203,15 @@ def segment_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: A5, E2."""
     hours = hourly_sums(spark, sf_dir)
     cells = [hour_text(""), F.col("A").cast("string"), F.col("N").cast("string")]
-    file = F.concat(F.lit("/data/"), F.year("day").cast("string"), F.lit("_qty_boulevard_x.csv"))
+    file = F.concat(F.year("day").cast("string"), F.lit("_qty_boulevard_x.csv"))
     data = hours.select(
-        file.alias("file"), F.concat_ws(",", *[F.coalesce(cell, F.lit("")) for cell in cells]).alias("line")
+        file.alias("file"),
+        (F.unix_date("day").cast("bigint") * 24 + F.col("hour")).alias("line_id"),
+        F.concat_ws(",", *[F.coalesce(cell, F.lit("")) for cell in cells]).alias("line"),
     )
-    heads = data.select("file").distinct().withColumn("line", F.lit('time,A-N,"N, R"'))
-    return measurements.segment_daily(wide_csv.segment_cells(heads.union(data)), min_hours=4)
+    heads = data.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("line_id"), F.lit('time,A-N,"N, R"').alias("line"))
+    folder = named_files(spark, heads.unionByName(data), "segment-files")
+    return measurements.segment_daily(wide_csv.read_segments(spark, folder), min_hours=4)
 
 
 # --- CSV sources (A6-A11, M3-M6) --------------------------------------------------------------------

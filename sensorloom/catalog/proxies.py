@@ -6,6 +6,8 @@ for a day and pollutant, a supplier for a station, the orders of a day for its w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -282,6 +284,14 @@ def _stored(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     return _STORED[key]
 
 
+def stored_folder(spark: SparkSession, sf_dir: str, label: str, write: Callable[[], str]) -> str:
+    """The folder that `write` fills and names, filled once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _STORED:
+        _STORED[key] = write()
+    return _STORED[key]
+
+
 def stored_table(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
     """A derived table, written once per session and read by the queries that follow from it."""
     path = _stored(spark, sf_dir, label, lambda path: sinks.write_table(build(spark, sf_dir), path))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,7 @@ class Measurements(NamedTuple):
     daily: DataFrame
     empty_stations: DataFrame
     audit: DataFrame
+    counts: Mapping[str, float | int | None]
 
 
 # A column number and a second since 1900 in one bigint: 30 and 33 bits. Times that are compared, those of one
@@ -36,12 +38,6 @@ SECONDS_1900 = 2_208_988_800
 SECONDS_SPAN = 1 << 33
 
 
-def numbered_cells(cells: DataFrame) -> DataFrame:
-    """Cells with their number; what is no number is dropped."""
-    numbers = cells.withColumn("raw_value", numeric.to_double(F.col("cell"))).drop("cell")
-    return numbers.filter(F.col("raw_value").isNotNull())
-
-
 def input_order(column: Column, utc: Column) -> Column:
     """File, position and time as one ordering number; an overflow is an error."""
     return column * F.lit(SECONDS_SPAN) + dates.clock_seconds(utc) + F.lit(SECONDS_1900)
@@ -69,36 +65,30 @@ def clean_hourly(cells: DataFrame, dedup_on: str = "local") -> DataFrame:
     return first.select(*HOURLY_KEY, "value")
 
 
-def cleaning_audit(cells: DataFrame, hourly: DataFrame, min_hours: int = settings.MIN_HOURS) -> DataFrame:
-    """K7: negatives set to 0, the lowest value, duplicates removed and days rejected."""
-    before = cells.agg(
-        F.count("*").alias("n_values"),
-        F.count_if(F.col("raw_value") < 0).alias("n_negative"),
-        F.min("raw_value").alias("lowest_value"),
-    )
+def cleaning_audit(counts: Mapping[str, float | int | None], hourly: DataFrame, min_hours: int = settings.MIN_HOURS) -> DataFrame:
+    """K7: negatives set to 0, the lowest value, duplicates removed and days rejected.
+
+    `counts` of the values before cleaning come from the raw pass; hours are read where they are.
+    """
     days = hourly.groupBy(dates.day_of(F.col("timestamp")), "station_code", "pollutant_code").agg(
         F.count("value").alias("n_hours")
     )
-    after = days.agg(
-        F.struct(
-            F.coalesce(F.sum("n_hours"), F.lit(0)).alias("n_kept"),
-            F.count("*").alias("n_days"),
-            F.count_if(F.col("n_hours") < min_hours).alias("n_days_rejected"),
-        ).alias("after")
-    )
-    return before.withColumn("after", after.scalar()).select(
-        *before.columns,
-        (F.col("n_values") - F.col("after.n_kept")).alias("n_duplicates"),
-        "after.n_days",
-        "after.n_days_rejected",
+    n_values = F.lit(counts["n_values"]).cast("bigint")
+    return days.agg(
+        n_values.alias("n_values"),
+        F.lit(counts["n_negative"]).cast("bigint").alias("n_negative"),
+        F.lit(counts["lowest_value"]).cast("double").alias("lowest_value"),
+        (n_values - F.coalesce(F.sum("n_hours"), F.lit(0))).alias("n_duplicates"),
+        F.count("*").alias("n_days"),
+        F.count_if(F.col("n_hours") < min_hours).alias("n_days_rejected"),
     )
 
 
-def station_dimension(metadata: DataFrame, hourly: DataFrame) -> DataFrame:
+def station_dimension(columns: DataFrame) -> DataFrame:
     """Stations with at least one measurement, named as in the first file."""
-    stations = first_seen(metadata, "station_code", ["station_name"], [F.col("column")])
+    stations = first_seen(columns, "station_code", ["station_name"], [F.col("column")])
     typed = stations.withColumn("station_type", text.station_type(F.col("station_name")))
-    return keep_matching(typed, hourly, "station_code")
+    return keep_matching(typed, columns.filter(F.col("n_numbers") > 0), "station_code")
 
 
 def pollutant_dimension(metadata: DataFrame) -> DataFrame:
@@ -125,25 +115,25 @@ def from_lines(
 ) -> Measurements:
     """M1 from the lines of wide files; a file of another layout stops the run.
 
-    The header is read and stored first: the join with the cells then knows its size, so it is
-    broadcast when it fits and the cells are not shuffled for it.
+    The lines are scanned once, into a stored pass (see `wide_csv`). The columns and what each of them
+    holds are a small stored table, so joins with the cells know its size: it is broadcast when it fits
+    and the cells are not shuffled for it. Writes both to the shared folder before it returns.
     """
-    layout = stored(wide_csv.read_layout(lines), "layout")
+    rows, counts = wide_csv.store_pass(lines, zone)
+    layout = stored(wide_csv.layout_of(rows), "layout")
     wide_csv.require_headers(layout)
-    metadata = stored(wide_csv.column_metadata(layout), "columns")
-    cells = wide_csv.read_wide(lines, metadata, zone)
-    numbered = numbered_cells(cells)
-    hourly = clean_hourly(numbered, dedup_on)
-    with_data = cells.select("column").distinct().join(metadata.select("column", "file", "station_code"), "column")
+    columns = stored(wide_csv.filled_columns(rows, wide_csv.column_metadata(layout)), "columns")
+    hourly = clean_hourly(wide_csv.read_wide(rows, columns), dedup_on)
     return Measurements(
-        stations=station_dimension(metadata, hourly),
-        pollutants=pollutant_dimension(metadata),
+        stations=station_dimension(columns),
+        pollutants=pollutant_dimension(columns),
         hourly=hourly,
         daily=daily_from_hourly(hourly, min_hours),
         empty_stations=keep_missing(
-            metadata.select("file", "station_code").distinct(), with_data, ["file", "station_code"]
+            columns.select("file", "station_code").distinct(), columns.filter(F.col("n_filled") > 0), ["file", "station_code"]
         ),
-        audit=cleaning_audit(numbered, hourly, min_hours),
+        audit=cleaning_audit(counts, hourly, min_hours),
+        counts=counts,
     )
 
 
@@ -153,15 +143,17 @@ def load_measurements(spark: SparkSession, folder: str, **options) -> Measuremen
 
 
 def store_measurements(found: Measurements, folder: str, min_hours: int = settings.MIN_HOURS) -> None:
-    """The cleaned hours are written once, and what follows from them is read from there."""
+    """The cleaned hours are written once; the daily means and the audit are read from there."""
     spark = found.hourly.sparkSession
     write_partitioned(
         found.hourly, f"{folder}/hourly_measurements", "pollutant_code", ("station_code", "timestamp")
     )
     hourly = spark.read.schema(schemas.HOURLY).parquet(f"{folder}/hourly_measurements")
-    write_table(keep_matching(found.stations, hourly, "station_code"), f"{folder}/stations")
+    write_table(found.stations, f"{folder}/stations")
     write_table(found.pollutants, f"{folder}/pollutants")
+    write_table(found.empty_stations, f"{folder}/empty_stations")
     write_table(daily_from_hourly(hourly, min_hours), f"{folder}/daily_measurements")
+    write_table(cleaning_audit(found.counts, hourly, min_hours), f"{folder}/audit")
 
 
 def segment_daily(segments: DataFrame, min_hours: int = settings.MIN_HOURS, **options) -> DataFrame:

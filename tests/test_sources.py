@@ -142,6 +142,39 @@ def test_measurements_are_stored(spark, station_folder, tmp_path):
     assert spark.read.parquet(f"{out}/stations").count() == 2
     daily = spark.read.parquet(f"{out}/daily_measurements")
     assert daily.columns == ["date", "station_code", "pollutant_code", "mean", "max", "n_hours"]
+    audit = spark.read.parquet(f"{out}/audit").first()
+    assert (audit.n_negative, audit.lowest_value, audit.n_duplicates) == (1, -2.5, 3)
+    assert [r.station_code for r in spark.read.parquet(f"{out}/empty_stations").collect()] == ["VIDE"]
+
+
+def test_raw_lines_are_scanned_once(spark, station_folder, monkeypatch):
+    labels = []
+    for module in (measurements, wide_csv):
+        store = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, label, store=store: labels.append((label, scans(df))) or store(df, label))
+
+    def scans(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("] text\n")
+
+    found = measurements.load_measurements(spark, station_folder)
+    assert labels == [("raw-pass", 1), ("layout", 0), ("columns", 0)]
+    tables = [found.stations, found.pollutants, found.hourly, found.daily, found.empty_stations, found.audit]
+    assert [scans(table) for table in tables] == [0] * 6
+    plan = found.hourly._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_pass_keeps_what_is_no_number(spark):
+    lines = [("f", 0, "x,a,b,c"), ("f", 1, '2024-01-01 01:00:00Z,1,"x, y", '), ("f", 2, "2024-13-01,7"), ("f", 3, "2024-01-01 02:00:00Z"), ("g", 9, "only a header")]
+    df = spark.createDataFrame(lines, "file string, line_id bigint, line string")
+    rows = {(r.pos, r.line_id, r.value, r.time is not None) for r in wide_csv.raw_rows(df).collect()}
+    assert rows == {(-1, 0, None, False), (0, 1, None, True), (1, None, 1.0, True), (2, None, None, True), (0, 2, None, False), (0, 3, None, True), (-1, 9, None, False)}
+    kept = wide_csv.store_pass(df)
+    assert kept.counts == {"n_values": 1, "n_negative": 0, "lowest_value": 1.0}
+    report = {r.file: r.well_formed for r in wide_csv.header_report(wide_csv.layout_of(kept.rows), 1).collect()}
+    assert report == {"f": False, "g": False}
+    nothing = wide_csv.store_pass(df.limit(0))
+    assert nothing.rows.count() == 0 and nothing.counts == {"n_values": 0, "n_negative": 0, "lowest_value": None}
 
 
 def test_indices(spark, tmp_path):
