@@ -34,6 +34,45 @@ def rows(df, *order):
     return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
 
 
+def test_keep_first_sorts_ties_only(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("o"), F.col("id").cast("string").alias("v"))
+    for kept in (
+        dedup.keep_first(df, ["k"], [F.col("o")]),
+        dedup.keep_first(df, ["k"], [F.col("o")], unique_order=True),
+        dedup.first_seen(df, "k", ["v"], [F.col("o")]),
+        dedup.keep_preferred(df, ["k"], "v", {"8": 0}, 1, [F.col("o")]),
+        dedup.splice(df, ["k"], "v", ["8", "9"], "source"),
+    ):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        scans = plan.split("Exchange")
+        assert all("SortAggregate" not in part for part in scans[2:]), plan
+        assert "ObjectHashAggregate" not in plan and "HashAggregate" in plan
+
+
+KINDS = {
+    "boolean": [True, False, None],
+    "tinyint": [-128, 127, 0, None],
+    "int": [-(2**31), 2**31 - 1, 0, None],
+    "bigint": [-(2**63), 2**63 - 1, 0, None],
+    "date": [dt.date(1, 1, 1), dt.date(9999, 12, 31), dt.date(1970, 1, 1), None],
+    "timestamp_ntz": [dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59, 999999), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), None],
+    "double": [float("-inf"), float("nan"), -0.5, None],
+    "string": ["", "a", "é", None],
+}
+
+
+@pytest.mark.parametrize("kinds", [("bigint",), ("double", "int"), ("string", "int"), ("date", "bigint", "string"), ("timestamp_ntz", "bigint", "boolean"), ("tinyint", "bigint", "boolean", "int"), ("bigint", "bigint")])
+def test_keep_first_of_any_order(spark, kinds):
+    rng = random.Random(str(kinds))
+    names = [f"o{i}" for i in range(len(kinds))]
+    data = [(rng.choice([1, 2, 3, None]), *[rng.choice(KINDS[k]) for k in kinds], rng.choice("xyz")) for _ in range(60)]
+    df = spark.createDataFrame(data, "k int, " + ", ".join(f"{n} {k}" for n, k in zip(names, kinds)) + ", v string").repartition(3)
+    found = dedup.keep_first(df, ["k"], [F.col(n) for n in names])
+    expected = dedup.least_row(df, ["k"], [F.col(n) for n in names])
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert found.count() == 4
+
+
 def test_keep_first_ignores_physical_order(spark):
     data = [("a", 3, "x"), ("a", 1, "y"), ("a", 1, "b"), ("b", 2, None), (None, 5, "n"), (None, 4, "m")]
     for n in (1, 4):
