@@ -6,14 +6,16 @@ import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sensorloom.functions.dates import french_day
 from sensorloom.functions.text import normalise_header
 from sensorloom.operators.reshape import concatenate
-from sensorloom.sources.paths import decoded
+from sensorloom.session import stored
+from sensorloom.sources import records
+from sensorloom.sources.paths import decoded, path_order
 
 # Which files of a folder hold municipality indices.
 INDEX_FILE = r"(?i)^indices.*\.csv$"
@@ -27,23 +29,6 @@ def text_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(name, StringType(), True) for name in names])
 
 
-def headers(spark: SparkSession, path: str, pattern: str | None = None) -> dict[str, list[str]]:
-    """The distinct header lines below a path and the files that have each: metadata only."""
-    text = spark.read.option("recursiveFileLookup", "true").text(path)
-    if pattern is not None:
-        text = text.filter(decoded(F.col("_metadata.file_name")).rlike(pattern))
-    lines = text.select(
-        decoded(F.col("_metadata.file_path")).alias("file"),
-        F.regexp_replace("value", "[\\r\\ufeff]", "").alias("line"),
-        F.monotonically_increasing_id().alias("line_id"),
-    )
-    first = lines.groupBy("file").agg(F.min_by("line", "line_id").alias("line"))
-    found: dict[str, list[str]] = {}
-    for row in first.orderBy("file").collect():
-        found.setdefault(row.line, []).append(row.file)
-    return found
-
-
 def cells_of(line: str, delimiter: str) -> list[str]:
     """The names in a header line, stripped and unquoted."""
     return [name.strip() for name in next(csv.reader([line], delimiter=delimiter))]
@@ -59,26 +44,34 @@ def scan_csv(
 ) -> DataFrame:
     """CSV files by header name, all text; files with other columns are united by name.
 
-    Without a delimiter the header line decides. `_file` and `_row` keep the input order for the
-    keep-first rules.
+    Without a delimiter the header line decides. `_file`, the file's rank by path, and `_row` keep the
+    input order for the keep-first rules. The files are scanned once and their lines stored (see
+    `records`); what comes to the driver are different header lines, not files.
     """
-    parts = []
-    for line, files in headers(spark, path, pattern).items():
-        separator = delimiter or sniff_delimiter(line)
-        reader = (
-            spark.read.schema(text_schema(cells_of(line, separator)))
-            .option("header", "true")
-            .option("sep", separator)
-            .option("escape", '"')
-            .option("multiLine", "true")
-        )
-        parts.append(
-            reader.csv(files)
-            .withColumn("_file", decoded(F.col("_metadata.file_path")))
-            .withColumn("_row", F.monotonically_increasing_id())
-        )
-    if not parts:
+    return parsed(records.raw_lines(spark, path, pattern), path, delimiter)
+
+
+def parsed(lines: DataFrame, path: str, delimiter: str | None = ",") -> DataFrame:
+    """`scan_csv` of the raw lines of some files."""
+    found = records.records(records.store_lines(lines))
+    heads = found.filter("first").select(F.col("file").alias("of"), F.col("record").alias("header"))
+    # One row per file: the driver has listed as many.
+    by_path = Window.orderBy(path_order(F.col("of")))
+    files = stored(heads.select("of", "header", F.row_number().over(by_path).alias("_file")), "files")
+    layouts = sorted(row.header for row in files.select("header").distinct().collect())
+    if not layouts:
         raise FileNotFoundError(f"no matching file below {path}")
+    rows = found.filter(~F.col("first")).join(files, F.col("file") == F.col("of"))
+    parts = []
+    for header in layouts:
+        separator = delimiter or sniff_delimiter(header)
+        names = cells_of(header, separator)
+        options = {"sep": separator, "escape": '"'}
+        cells = F.from_csv("record", text_schema([f"c{n}" for n in range(len(names))]).simpleString()[7:-1].replace(":", " "), options)
+        own = rows.filter(F.col("header") == header).select(cells.alias("cells"), "_file", F.col("row").alias("_row"))
+        # A name that a header repeats stands for its first column.
+        chosen = [(n, name) for n, name in enumerate(names) if name not in names[:n]]
+        parts.append(own.select(*[F.col(f"cells.c{n}").alias(name) for n, name in chosen], *INPUT_ORDER))
     return concatenate(*parts)
 
 
@@ -102,12 +95,13 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The alert history, the CSV file of the folder whose name comes first."""
+    """The alert history, the CSV file of the folder whose name comes first; the others are not read."""
     names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
     first = names.agg(F.min(decoded(F.col("path"))).alias("path")).first()["path"]
     if first is None:
         raise FileNotFoundError(f"no CSV file in {path}")
-    return scan_csv(spark, path).filter(F.col("_file") == first)
+    # A condition on the path prunes files before any is opened.
+    return parsed(records.raw_lines(spark, path).filter(F.col("file") == first), path)
 
 
 def read_indices(spark: SparkSession, path: str, pattern: str | None = INDEX_FILE) -> DataFrame:

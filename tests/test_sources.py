@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,6 +190,63 @@ def test_indices(spark, tmp_path):
     ]
 
 
+@pytest.fixture()
+def small_splits(spark):
+    sizes = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {name: spark.conf.get(name, None) for name in sizes}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    yield
+    for name, size in before.items():
+        spark.conf.unset(name) if size is None else spark.conf.set(name, size)
+
+
+def quoted_csv(rng, rows, end="\n"):
+    """A CSV file whose cells hold line breaks, doubled quotes and delimiters, and its rows."""
+    pieces = ["a", "é", ",", '""', "\n", "\n\n", " ", "word,", "id,x,y\n"]
+    lines, expected = ["id,x,y"], []
+    for n in range(rows):
+        long = rng.random() < 0.05
+        cells = ["".join(rng.choices(pieces, k=400 if long else rng.randint(0, 6))) for _ in range(2)]
+        quoted = [f'"{c}"' if rng.random() < 0.5 or set(c) & set(',"\n') else c for c in cells]
+        lines.append(",".join([str(n), *quoted]))
+        if rng.random() < 0.1:
+            lines.append("")
+        expected.append((str(n), *[c.replace('""', '"') if len(q) > 2 and q.startswith('"') else c or None for c, q in zip(cells, quoted)]))
+    return end.join(lines).replace("\n", end) + end, expected
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_quoted_file_is_read_by_several_tasks(spark, tmp_path, small_splits, end):
+    rng = random.Random(end)
+    expected = []
+    for name in ("b.csv", "a.csv"):
+        text, rows = quoted_csv(rng, 250, end)
+        (tmp_path / name).write_bytes(("\ufeff" * (name == "a.csv") + text).encode())
+        expected = rows + expected
+    found = tabular.scan_csv(spark, str(tmp_path)).orderBy("_file", "_row")
+    assert [tuple(r)[:3] for r in found.collect()] == expected
+    reader = spark.read.schema("id string, x string, y string").option("header", True).option("escape", '"').option("multiLine", True)
+    # Spark's own reader, one task a file, reads a break of two characters as two breaks.
+    assert end != "\n" or sorted(map(str, reader.csv(str(tmp_path)).collect())) == sorted(map(str, found.drop("_file", "_row").collect()))
+    lines = tabular.records.store_lines(tabular.records.raw_lines(spark, str(tmp_path))).rows
+    blocks = {r.file: r.n for r in lines.groupBy("file").agg(F.count_distinct("block").alias("n")).collect()}
+    assert len(blocks) == 2 and min(blocks.values()) > 4
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "] text" not in plan and "] csv" not in plan
+
+
+def test_headers_are_read_without_a_file_list(spark, tmp_path):
+    for n in range(40):
+        write(tmp_path / f"{n:02d}.csv", ["k,v\n1,2\n", "v,k,z\n3,4,5\n6,7,8\n", "v;k\n"][n % 3])
+    found = tabular.scan_csv(spark, str(tmp_path))
+    assert found.columns[:2] == ["k", "v"] and found.filter("k = '4' AND v = '3' AND z = '5'").count() == 13
+    assert found.filter("k = '1'").count() == 14 and found.select("_file").distinct().count() == 27
+    write(tmp_path / "empty" / "e.csv", "")
+    with pytest.raises(FileNotFoundError):
+        tabular.scan_csv(spark, str(tmp_path / "empty"))
+
+
 def test_alerts(spark, tmp_path):
     write(
         tmp_path / "alerts.csv",
