@@ -251,7 +251,22 @@ def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact quartiles of all line items per flag, no group gathered anywhere."""
     items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
-    return statistics.compare_groups(items, "l_returnflag", "l_extendedprice", 50000.0, decimals=2, width=100.0)
+    return statistics.compare_groups(items, "l_returnflag", "l_extendedprice", 50000.0, decimals=2)
+
+
+@register(
+    "group_compare_discount",
+    f"""
+    SELECT l_returnflag, COUNT(l_discount) AS n, {half_up(exact_mean("l_discount"), 4)} AS mean,
+           {half_up("COUNT(*) FILTER (l_discount > 0.05)::DOUBLE / COUNT(l_discount)", 4)} AS share_above,
+           {half_up("QUANTILE_CONT(l_discount, 0.25)", 4)} AS q1, {half_up("QUANTILE_CONT(l_discount, 0.5)", 4)} AS median,
+           {half_up("QUANTILE_CONT(l_discount, 0.75)", 4)} AS q3
+    FROM lineitem GROUP BY 1""",
+)
+def group_compare_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E26 on values of another scale, with many ties."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_discount")
+    return statistics.compare_groups(items, "l_returnflag", "l_discount", 0.05, decimals=2)
 
 
 @register(

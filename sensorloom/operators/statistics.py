@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.numeric import exact_mean, portable_round
 
+# Of the sketches behind exact quantiles: their ranks are right to one part in so many.
+ACCURACY = 100_000
+
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value."""
@@ -59,63 +62,59 @@ def exceedance_memory(df: DataFrame, today: str, tomorrow: str, threshold: float
     )
 
 
-def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], width: float = 1.0
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group without gathering a group in one task.
+def brackets(measured: DataFrame, keys: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Per group its size `_n`, and for every share two values that the wanted ranks lie between.
 
-    Equal values collapse to counts, a histogram with buckets of `width` finds the buckets that
-    hold the wanted ranks, and only the values of those buckets are ordered.
+    A quantile sketch per group, combined on the map side, is right to 1 / ACCURACY of the ranks; values
+    are taken three times as far off. A group of up to ACCURACY rows is its own bracket.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_value"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / F.lit(float(width))))
-    )
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    histogram = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_size"))
-        .withColumn("_below", F.sum("_size").over(by_bucket) - F.col("_size"))
-        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
+    margin = 3 / ACCURACY
+    low, high = [max(0.0, s - margin) for s in shares], [min(1.0, s + margin) for s in shares]
+    sketch = measured.groupBy(*keys).agg(
+        F.count("*").alias("_n"),
+        F.min("_value").alias("_min"),
+        F.max("_value").alias("_max"),
+        F.percentile_approx("_value", [*low, *high], ACCURACY).alias("_edges"),
     )
-    places = []
-    for share in shares:
-        position = F.lit(float(share)) * (F.col("_total") - 1)
-        low = F.floor(position)
-        for rank, weight in (
-            (low, F.lit(1.0) - (position - low)),
-            (low + 1, position - low),
-        ):
-            places.append(
-                F.struct(
-                    F.lit(float(share)).alias("share"), rank.alias("rank"), weight.alias("weight")
-                )
-            )
-    wanted = (
-        histogram.withColumn("_place", F.explode(F.array(*places)))
-        .filter(F.col("_place.weight") > 0)
-        .filter(
-            (F.col("_place.rank") >= F.col("_below"))
-            & (F.col("_place.rank") < F.col("_below") + F.col("_size"))
+    small = F.col("_n") <= ACCURACY
+
+    def bracket(i: int, share: float) -> Column:
+        position = F.lit(float(share)) * (F.col("_n") - 1)
+        return F.struct(
+            F.lit(float(share)).alias("share"),
+            F.floor(position).alias("rank"),
+            (position - F.floor(position)).alias("weight"),
+            F.when(small, F.col("_min")).otherwise(F.col("_edges")[i]).alias("low"),
+            F.when(small, F.col("_max")).otherwise(F.col("_edges")[len(shares) + i]).alias("high"),
         )
-        .groupBy(*keys, "_bucket", "_below")
-        .agg(F.collect_list("_place").alias("_places"))
-    )
-    by_value = Window.partitionBy(*keys, "_bucket").orderBy("_value")
-    running = (
-        counts.join(wanted, [*keys, "_bucket"])
-        .withColumn("_upto", F.col("_below") + F.sum("_n").over(by_value))
-        .withColumn("_place", F.explode("_places"))
-        .filter(
-            (F.col("_place.rank") < F.col("_upto"))
-            & (F.col("_place.rank") >= F.col("_upto") - F.col("_n"))
-        )
-    )
-    return running.groupBy(*keys, F.col("_place.share").alias("share")).agg(
-        F.sum(F.col("_value") * F.col("_place.weight")).alias("quantile")
-    )
+
+    return sketch.select(*keys, F.array(*[bracket(i, share) for i, share in enumerate(shares)]).alias("_brackets"))
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles per group without gathering a group in one task.
+
+    Sketches give each share a bracket of values around its ranks (see `brackets`). One more pass counts
+    exactly: what lies below a bracket is a number, and only the values in it, equal ones together, are
+    ordered: at most 6 / ACCURACY of a group's rows and its ties. Any scale of values will do.
+    """
+    measured = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
+    edges = brackets(measured, keys, shares).withColumnsRenamed({key: f"_key_{key}" for key in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+    near = F.filter("_brackets", lambda b: F.col("_value") <= b["high"])
+    placed = measured.join(edges, same).select(*keys, "_value", F.explode(near).alias("_at"))
+    inside = F.when(F.col("_value") >= F.col("_at.low"), F.col("_value")).alias("_value")
+    counts = placed.groupBy(*keys, "_at.share", "_at.rank", "_at.weight", inside).agg(F.count("*").alias("_n"))
+    # What lies below has no value and comes first.
+    by_value = Window.partitionBy(*keys, "share").orderBy("_value")
+    upto = counts.withColumn("_upto", F.sum("_n").over(by_value)).filter(F.col("_value").isNotNull())
+    first = (F.col("_upto") - F.col("_n") <= F.col("rank")) & (F.col("rank") < F.col("_upto"))
+    after = F.col("rank") + 1
+    second = (F.col("_upto") - F.col("_n") <= after) & (after < F.col("_upto")) & (F.col("weight") > 0)
+    part = F.when(first, F.col("_value") * (1 - F.col("weight"))).otherwise(0.0) + F.when(second, F.col("_value") * F.col("weight")).otherwise(0.0)
+    return upto.filter(first | second).groupBy(*keys, "share").agg(F.sum(part).alias("quantile"))
 
 
 def compare_groups(
@@ -125,9 +124,8 @@ def compare_groups(
     threshold: float,
     digits: int = 4,
     decimals: int = 4,
-    width: float = 1.0,
 ) -> DataFrame:
-    """Count, mean, share above and quartiles per group; `width` as in `quantiles`."""
+    """Count, mean, share above and exact quartiles per group."""
     measured = df.filter(F.col(value).isNotNull())
     summary = measured.groupBy(group).agg(
         F.count(value).alias("n"),
@@ -136,7 +134,7 @@ def compare_groups(
             "share_above"
         ),
     )
-    quartile = quantiles(measured, [group], value, [0.25, 0.5, 0.75], width)
+    quartile = quantiles(measured, [group], value, [0.25, 0.5, 0.75])
     wide = quartile.groupBy(group).agg(
         *[
             portable_round(F.max(F.when(F.col("share") == share, F.col("quantile"))), digits).alias(name)

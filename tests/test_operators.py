@@ -228,6 +228,27 @@ def test_quantiles_match_a_sort(spark):
     assert found["one", 0.5] == 5.0
 
 
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e9])
+def test_quantiles_of_large_groups_order_a_bracket_only(spark, monkeypatch, scale):
+    monkeypatch.setattr(statistics, "ACCURACY", 100)
+    rng = random.Random(8)
+    values = [rng.gauss(0, 1) * scale for _ in range(4000)] + [0.25 * scale] * 3000
+    data = [("hot", v) for v in values] + [(None, v) for v in values[:99]] + [("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    shares = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    found = {(r.g, r.share): r.quantile for r in statistics.quantiles(df, ["g"], "v", shares).collect()}
+    assert len(found) == 18
+    for group in ("hot", None, "two"):
+        own = sorted(v for g, v in data if g == group)
+        for share in shares:
+            at = share * (len(own) - 1)
+            low = int(at)
+            expected = own[low] * (1 - (at - low)) + own[min(low + 1, len(own) - 1)] * (at - low)
+            assert found[group, share] == pytest.approx(expected, rel=1e-12)
+    edges = statistics.brackets(df.filter("g = 'hot'").select("g", F.col("v").alias("_value")), ["g"], [0.9]).first()._brackets[0]
+    assert sum(edges.low <= v <= edges.high for v in values) < 700
+
+
 def test_memory_and_crosstab(spark):
     df = spark.createDataFrame([(20.0, 20.0), (20.0, 1.0), (1.0, 20.0), (1.0, 1.0), (1.0, None)], "a double, b double")
     assert rows(statistics.exceedance_memory(df, "a", "b", 15.0)) == [(4, 0.5, 0.5)]
