@@ -55,7 +55,6 @@ HEADLINE = [
     "feature_matrix",
     "threshold_curve",
     "linear_fit",
-    "forest_fit",
 ]
 
 

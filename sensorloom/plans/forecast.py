@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from sensorloom.functions.numeric import either_flag, portable_round
 from sensorloom.operators import filters, scoring, timeseries
 from sensorloom.operators.keys import dense_ids
 from sensorloom.operators.reshape import concatenate
+from sensorloom.session import stored
 
 # The names of the features, in the order of the published table.
 NEXT_DAY_WEATHER = {
@@ -42,6 +46,9 @@ FEATURES = [
 ]
 TARGET = "target"
 
+# Forests that are fitted side by side; each holds a group of nodes of up to 256 MB a task.
+FITS_AT_ONCE = 6
+
 
 def feature_rows(
     dataset: DataFrame,
@@ -146,27 +153,52 @@ def fit_forest(
     ).fit(train)
 
 
-def grid_search(
+class Tuned(NamedTuple):
+    """The grid, best first, its best point and the forest that was fitted there."""
+
+    grid: DataFrame
+    best: dict[str, float | int | None]
+    model: RandomForestRegressionModel
+
+
+def tune(
     train: DataFrame,
     valid: DataFrame,
     depths: Sequence[int | None] = tuple(settings.GRID_DEPTH),
     leaves: Sequence[int] = tuple(settings.GRID_LEAF),
     shares: Sequence[float] = tuple(settings.GRID_FEATURES),
+    at_once: int = FITS_AT_ONCE,
     **options,
-) -> DataFrame:
-    """Validation error of every combination on a fixed later year, best first."""
-    train, valid = train.persist(), valid.persist()
-    found = []
-    for depth, leaf, share in product(depths, leaves, shares):
+) -> Tuned:
+    """Fit every combination and measure it on a fixed later year.
+
+    Both sets are stored first. The fits are jobs side by side, each in a scheduler pool of its own, so that a
+    level of one forest does not wait for another forest; ties go to an unlimited depth first, then to
+    the smaller combination.
+    """
+    spark = train.sparkSession
+    train, valid = stored(train, "train"), stored(valid, "validation")
+
+    def measured(point):
+        depth, leaf, share = point
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{depth}-{leaf}-{share}")
         model = fit_forest(train, max_depth=depth, min_leaf=leaf, max_features=share, **options)
-        error = model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
-        found.append((depth, leaf, share, error))
-    train.unpersist()
-    valid.unpersist()
+        return model, model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
+
+    points = list(product(depths, leaves, shares))
+    with ThreadPoolExecutor(min(at_once, len(points))) as pool:
+        fitted = list(pool.map(inheritable_thread_target(spark)(measured), points))
+    order = sorted(range(len(points)), key=lambda n: (fitted[n][1] is None, fitted[n][1] or 0.0, points[n][0] is not None, points[n]))
     layout = "max_depth int, min_samples_leaf int, max_features double, valid_MAE double"
-    return train.sparkSession.createDataFrame(found, layout).orderBy(
-        "valid_MAE", "max_depth", "min_samples_leaf", "max_features"
-    )
+    found = [(*points[n], fitted[n][1]) for n in order]
+    depth, leaf, share = points[order[0]]
+    best = {"max_depth": depth, "min_leaf": leaf, "max_features": share}
+    return Tuned(spark.createDataFrame(found, layout), best, fitted[order[0]][0])
+
+
+def grid_search(train: DataFrame, valid: DataFrame, **options) -> DataFrame:
+    """Validation error of every combination, best first."""
+    return tune(train, valid, **options).grid
 
 
 def importance(
@@ -179,28 +211,26 @@ def importance(
 ) -> DataFrame:
     """How much the mean absolute error grows when one feature is shuffled.
 
-    Each repeat puts the rows in a random order and gives every row the feature value of the row
-    `k` places on, with another `k` per feature. That is a permutation, found by one parallel
-    numbering and one equi-join on places instead of a sort per feature.
+    The rows are numbered once, in a random order; in a repeat each row takes the feature's value from the
+    row so many places on, another number per repeat. That is a permutation, found by one equi-join of the
+    rows' repeats with the rows; the features multiply the rows only after it.
     """
     n = rows.count()
     vector = vector_to_array("features").alias("inputs")
-    copies = rows.select(*key, TARGET, vector).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    shuffled = F.xxhash64(*key, "repeat", F.lit(seed))
-    placed = dense_ids(
-        copies.withColumn("_at", shuffled), ["repeat", "_at", *key], "place"
-    ).withColumn("place", F.col("place") - 1 - F.col("repeat") * n)
-    feature = F.explode(F.sequence(F.lit(0), F.lit(len(inputs) - 1)))
-    step = F.pmod(F.xxhash64("repeat", "feature", F.lit(seed)), F.lit(max(n - 1, 1))) + 1
-    wanted = placed.withColumn("feature", feature).withColumn("from", F.pmod(F.col("place") + step, F.lit(n)))
-    donors = placed.select("repeat", F.col("place").alias("from"), F.col("inputs").alias("donor"))
+    shuffled = rows.select(*key, TARGET, vector).withColumn("_at", F.xxhash64(*key, F.lit(seed)))
+    placed = dense_ids(shuffled, ["_at", *key], "place").withColumn("place", F.col("place") - 1)
+    repeat = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+    # Shifts that differ while there are as many places as repeats.
+    start = F.pmod(F.xxhash64(F.lit(seed)), F.lit(max(n - 1, 1)))
+    step = F.pmod(start + F.col("repeat") * max(n // (repeats + 1), 1), F.lit(max(n - 1, 1))) + 1
+    wanted = placed.withColumn("repeat", repeat).withColumn("from", F.pmod(F.col("place") + step, F.lit(n)))
+    donors = placed.select(F.col("place").alias("from"), F.col("inputs").alias("donor"))
+    given = wanted.join(donors, "from").withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(len(inputs) - 1))))
     swapped = F.transform(
         "inputs",
         lambda value, i: F.when(i == F.col("feature"), F.get(F.col("donor"), i)).otherwise(value),
     )
-    tried = wanted.join(donors, ["repeat", "from"]).select(
-        "feature", "repeat", TARGET, array_to_vector(swapped).alias("features")
-    )
+    tried = given.select("feature", TARGET, array_to_vector(swapped).alias("features"))
     error = F.avg(F.abs(F.col(TARGET) - F.col("forecast")))
     names = F.array(*[F.lit(name) for name in inputs])
     base = model.transform(rows).agg(error.alias("base"))
@@ -211,21 +241,24 @@ def importance(
     )
 
 
+def forecasts(rows: DataFrame, linear, forest) -> DataFrame:
+    """The rows with the forecast of both models, without their vectors."""
+    both = forest.transform(linear.transform(rows).withColumnRenamed("forecast", "linear"))
+    return both.withColumnRenamed("forecast", "forest").drop("features")
+
+
 def evaluate_models(
-    rows: DataFrame,
-    final_linear,
-    final_forest,
+    predicted: DataFrame,
     alert_threshold: float,
     threshold: float = settings.GUIDELINE,
 ) -> DataFrame:
     """Baseline, linear model and forest, the forest also with its chosen threshold."""
-    linear, forest = final_linear.transform(rows), final_forest.transform(rows)
     return concatenate(
-        scoring.metrics(rows, "persistence", TARGET, "pm25_d", threshold),
-        scoring.metrics(linear, "linear regression", TARGET, "forecast", threshold),
-        scoring.metrics(forest, "random forest", TARGET, "forecast", threshold),
+        scoring.metrics(predicted, "persistence", TARGET, "pm25_d", threshold),
+        scoring.metrics(predicted, "linear regression", TARGET, "linear", threshold),
+        scoring.metrics(predicted, "random forest", TARGET, "forest", threshold),
         scoring.metrics(
-            forest, "random forest, chosen threshold", TARGET, "forecast", threshold, alert_threshold
+            predicted, "random forest, chosen threshold", TARGET, "forest", threshold, alert_threshold
         ),
     )
 
@@ -246,36 +279,42 @@ def run(
     leaves: Sequence[int] = tuple(settings.GRID_LEAF),
     shares: Sequence[float] = tuple(settings.GRID_FEATURES),
     trees: int = settings.TREES,
+    guideline: float = settings.GUIDELINE,
+    thresholds: Sequence[float] = tuple(settings.THRESHOLDS),
     **columns: str,
 ) -> dict[str, object]:
-    """Tune on the validation year, choose the threshold there, refit, test once."""
-    rows = assembled(features(dataset, **columns)).withColumn("split", split_name(**(years or {})))
-    rows = rows.persist()
-    train, valid, test, demo = (
-        rows.filter(F.col("split") == name) for name in ("train", "validation", "test", "demo")
-    )
-    grid = grid_search(train, valid, depths, leaves, shares, trees=trees)
-    best = grid.first()
-    chosen = {
-        "max_depth": best.max_depth,
-        "min_leaf": best.min_samples_leaf,
-        "max_features": best.max_features,
-        "trees": trees,
-    }
-    tuned = fit_forest(train, **chosen)
-    curve = scoring.threshold_curve(tuned.transform(valid), TARGET, "forecast")
-    alert_threshold = scoring.choose_threshold(curve).first().alert_threshold
-    alert_above = settings.GUIDELINE if alert_threshold is None else alert_threshold
+    """Tune on the validation year, choose the threshold there, refit, test once, show a new year.
+
+    The forecasts behind all tables are stored: on the validation year those of the models fitted before it, on
+    the test and demo years those of the final ones. Runs the fits.
+    """
+    rows = stored(assembled(features(dataset, **columns)).withColumn("split", split_name(**(years or {}))), "features")
+    train, valid = (rows.filter(F.col("split") == name) for name in ("train", "validation"))
+    tuned = tune(train, valid, depths, leaves, shares, trees=trees)
     full = rows.filter(F.col("split").isin("train", "validation"))
-    linear, forest = fit_linear(full), fit_forest(full, **chosen)
+    linear, forest = fit_linear(full), fit_forest(full, trees=trees, **tuned.best)
+    before = forecasts(valid, fit_linear(train), tuned.model)
+    after = forecasts(rows.filter(F.col("split").isin("test", "demo")), linear, forest)
+    predicted = stored(before.unionByName(after), "forecasts")
+    valid_, test, demo = (predicted.filter(F.col("split") == name) for name in ("validation", "test", "demo"))
+    curve = scoring.threshold_curve(valid_, TARGET, "forest", thresholds, guideline)
+    alert_threshold = scoring.choose_threshold(curve).first().alert_threshold
+    alert_above = guideline if alert_threshold is None else alert_threshold
+    compared = evaluate_models(test, alert_above, guideline)
     return {
-        "grid": grid,
+        "grid": tuned.grid,
+        "validation": evaluate_models(valid_, alert_above, guideline),
         "curve": curve,
         "alert_threshold": alert_threshold,
-        "test": evaluate_models(test, linear, forest, alert_above),
-        "confusion": scoring.confusion(forest.transform(test), TARGET, "forecast", alert_above=alert_above),
-        "importance": importance(tuned, valid),
-        "demo": scoring.published(forest.transform(demo), "pm25_d", TARGET, "forecast", alert_above),
+        "forecasts": predicted,
+        "test": compared,
+        "gain": relative_gain(compared),
+        "confusion": scoring.confusion(test, TARGET, "forest", guideline, alert_above),
+        "importance": importance(tuned.model, valid),
+        "demo": scoring.published(demo, "pm25_d", TARGET, "forest", alert_above),
+        "demo_metrics": evaluate_models(demo, alert_above, guideline).filter(
+            F.col("model").isin("persistence", "random forest, chosen threshold")
+        ),
         "model": PipelineModel(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]),
     }
 

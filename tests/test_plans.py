@@ -7,12 +7,13 @@ import json
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from oracle import connect, differences
-from sensorloom import schemas
+from sensorloom import schemas, settings
 from sensorloom.operators import keys, nested
 from sensorloom.plans import analysis, dataset, forecast, reads, star
 from sensorloom.session import scratch_path
@@ -216,11 +217,27 @@ def test_split_follows_the_day_of_the_forecast(daily_series):
 
 
 def test_forecast_pipeline(spark, daily_series):
-    result = forecast.run(daily_series, YEARS, depths=[5], leaves=[5], shares=[1.0], trees=10)
+    result = forecast.run(daily_series, YEARS, depths=[5, None], leaves=[5], shares=[1.0, 0.5], trees=10)
+    assert result["grid"].count() == 4 and result["grid"].first().valid_MAE == min(r.valid_MAE for r in result["grid"].collect())
     test = {r.model: r for r in result["test"].collect()}
     assert test["linear regression"].MAE < test["persistence"].MAE
     assert test["random forest"].MAE < test["persistence"].MAE
-    assert 0 < forecast.relative_gain(result["test"]).first().gain < 1
+    assert result["gain"].first().gain == pytest.approx(1 - test["random forest"].MAE / test["persistence"].MAE)
+    assert 0 < result["gain"].first().gain < 1
+    # The metrics of every set, by SQL from the stored forecasts.
+    predicted = result["forecasts"].toPandas()
+    alert = settings.GUIDELINE if result["alert_threshold"] is None else result["alert_threshold"]
+    for split, table in (("validation", "validation"), ("test", "test"), ("demo", "demo_metrics")):
+        for row in result[table].collect():
+            column = {"persistence": "pm25_d", "linear regression": "linear"}.get(row.model, "forest")
+            limit = alert if "chosen" in row.model else settings.GUIDELINE
+            wanted = duckdb.sql(f"""
+                SELECT COUNT(*), AVG(ABS(target - {column})), SQRT(AVG((target - {column})**2)),
+                       COALESCE(COUNT(*) FILTER (target > {settings.GUIDELINE} AND {column} > {limit})
+                                / NULLIF(COUNT(*) FILTER (target > {settings.GUIDELINE}), 0), 0)
+                FROM predicted WHERE split = '{split}'""").fetchall()[0]
+            assert (row.n, row.MAE, row.RMSE, row.recall) == pytest.approx(wanted, abs=1e-6), (split, row.model)
+    assert len(result["validation"].collect()) == 4
     assert sum(r.n for r in result["confusion"].collect()) == test["persistence"].n
     ranked = [r.feature for r in result["importance"].orderBy(F.desc("mae_increase")).collect()]
     assert len(ranked) == 16 and ranked[0] in ("wind_next", "pm25_d")
@@ -237,6 +254,10 @@ def test_importance_permutes_within_repeats(spark):
     found = {r.feature: r.mae_increase for r in forecast.importance(model, vectors, ["id"], ["a", "b"], repeats=4).collect()}
     # The target is b itself: shuffling b hurts by its mean distance, shuffling a not at all.
     assert found["a"] == pytest.approx(0, abs=1e-6) and 10 < found["b"] < 40
+    # Rows meet their donors before the features multiply them.
+    plan = forecast.importance(model, vectors, ["id"], ["a", "b"], repeats=4)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join Inner", 1)
+    assert "[feature#" in above and "feature#" not in below and "repeat#" not in above
 
 
 def test_no_single_task_on_facts(spark):
