@@ -329,13 +329,29 @@ DEEP_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quan
     SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY {DEEP_ORDER} LIMIT 100 OFFSET 15000""",
 )
 def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G3 far down: rows are numbered in parallel, nothing is skipped in one task."""
-    rows = table(spark, sf_dir, "lineitem")
-    order = [F.col(name) for name in DEEP_ORDER.split(", ")]
-    page = paging.page_of_numbered(paging.numbered(rows, order), page=151, per_page=100)
+    """G3 far down: rows are numbered in parallel, nothing is skipped in one task, one or two files are read."""
+    page = paging.page_of_numbered(numbered_items(spark, sf_dir), page=151, per_page=100)
     return page.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+def numbered_items(spark: SparkSession, sf_dir: str) -> paging.Numbered:
+    """All line items in the order of the deep pages."""
+    order = [F.col(name) for name in DEEP_ORDER.split(", ")]
+    return paging.numbered(table(spark, sf_dir, "lineitem"), order)
+
+
+@register(
+    "deep_page_info",
+    """
+    SELECT 151 AS page, 100 AS per_page, COUNT(*) AS total_items, CAST(CEIL(COUNT(*) / 100.0) AS INTEGER) AS total_pages,
+           CASE WHEN 151 < CEIL(COUNT(*) / 100.0) THEN 152 END AS next_page, 150 AS previous_page
+    FROM lineitem""",
+)
+def deep_page_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the numbered rows, from their index."""
+    return paging.page_info(numbered_items(spark, sf_dir), 151, 100)
+
+
 @register(
     "page_after",
     """

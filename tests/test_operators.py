@@ -275,9 +275,17 @@ def test_pages(spark):
     deep = paging.page_of(df, [F.desc("id")], 20, 10)
     assert [r.id for r in deep.collect()] == list(range(59, 49, -1))
     numbered = paging.numbered(df, [F.desc("id")])
-    assert numbered.count() == 250
+    assert numbered.rows.count() == 250 and paging.page_info(numbered, 3, 20).first().total_items == 250
     assert [r.id for r in paging.page_of_numbered(numbered, 20, 10).collect()] == list(range(59, 49, -1))
-    assert paging.page_of_numbered(numbered, 26, 10).columns == df.columns
+    beyond = paging.page_of_numbered(numbered, 26, 10)
+    assert beyond.columns == df.columns and beyond.count() == 0
+    pages = [[r.id for r in paging.page_of_numbered(numbered, n, 37).collect()] for n in range(1, 8)]
+    assert sum(pages, []) == list(range(249, -1, -1))
+    plan = paging.page_of_numbered(numbered, 20, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_part" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "_slot" in plan.split("PushedFilters: [")[1].split("]")[0]
+    none = paging.numbered(df.limit(0), ["id"])
+    assert paging.page_of_numbered(none).count() == 0 and paging.page_info(none).first().total_pages == 1
     assert paging.page_of(df, [F.desc("id")], 26, 10).count() == 0
     assert rows(paging.page_info(df, 25, 10)) == [(25, 10, 250, 25, None, 24)]
     assert rows(paging.page_info(df.limit(0))) == [(1, 20, 0, 1, None, None)]

@@ -403,10 +403,47 @@ def test_sinks(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and stored.count() == 100
     tables = {"station": df.limit(0).select(F.lit(1).alias("station_id"), F.lit("extra").alias("unlisted"))}
     sinks.write_star(tables, str(tmp_path / "star"))
-    again = spark.read.parquet(str(tmp_path / "star" / "station"))
-    assert again.columns == schemas.STATION.names
+    again = sinks.read_star(spark, str(tmp_path / "star"))
+    assert list(again) == ["station"] and again["station"].columns == schemas.STATION.names
     report = sinks.reconcile({"a": df, "b": df}, {"a": df, "b": df.limit(5)}).orderBy("table").collect()
     assert [(r.n_source, r.n_stored, r.ok) for r in report] == [(300, 300, True), (300, 5, False)]
     sinks.write_table(df, str(tmp_path / "csv"), "csv", order=["id"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 300
     assert quality.row_counts({"a": df}).first().n_rows == 300
+
+
+def test_a_star_that_is_half_written_is_not_seen(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "star")
+
+    def tables(n):
+        return {name: spark.range(n).select(F.col("id").cast("int").alias(schemas.STAR[name].names[0])) for name in ("station", "pollutant", "episode")}
+
+    def sizes(**options):
+        return {name: df.count() for name, df in sinks.read_star(spark, folder, **options).items()}
+
+    with pytest.raises(FileNotFoundError):
+        sinks.read_star(spark, folder)
+    assert sinks.write_star(tables(1), folder) == "000000000000"
+    write = sinks.write_table
+    written = []
+
+    def stops(df, path, *rest, **options):
+        if written:
+            raise OSError("lost")
+        written.append(write(df, path, *rest, **options))
+
+    monkeypatch.setattr(sinks, "write_table", stops)
+    with pytest.raises(OSError):
+        sinks.write_star(tables(2), folder)
+    monkeypatch.setattr(sinks, "write_table", write)
+    assert len(written) == 1 and sizes() == dict.fromkeys(("station", "pollutant", "episode"), 1)
+    before = sinks.read_star(spark, folder)["station"]
+    sinks.write_star(tables(3), folder)
+    assert set(sizes().values()) == {3} and set(sizes(version="000000000000").values()) == {1}
+    assert before.count() == 1  # a reader that began before goes on with its version
+    sinks.write_star(tables(4), folder)
+    assert sinks.versions(spark, folder) == ["000000000001", "000000000002"] and set(sizes().values()) == {4}
+    # Another writer took the number in between.
+    monkeypatch.setattr(sinks, "versions", lambda *_: ["000000000001"])
+    with pytest.raises(FileExistsError):
+        sinks.write_star(tables(5), folder)
