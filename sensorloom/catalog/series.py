@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom import settings
 from sensorloom.catalog import proxies
 from sensorloom.catalog.proxies import DAILY_FACT, GUIDELINE, STAR, WEATHER, daily_fact, star_tables, table
 from sensorloom.catalog.registry import exact_mean, half_up, register
 from sensorloom.functions import dates
-from sensorloom.functions.text import contains_ignoring_case
-from sensorloom.operators import calendar, quality, reshape, statistics, timeseries
+from sensorloom.functions.text import contains_ignoring_case, contains_text
+from sensorloom.operators import calendar, joins, keys, quality, reshape, statistics, timeseries
 from sensorloom.operators.dedup import keep_first
 from sensorloom.operators.joins import flag_matching
 from sensorloom.plans import context
@@ -336,6 +337,58 @@ def missing_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_share(wide, ["date", "a", "n", "r"])
 
 
+@register(
+    "collated_search",
+    """
+    SELECT doc_id, lang FROM documents WHERE contains(strip_accents(lower(text)), 'etionle')""",
+)
+def collated_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts that hold a word, whatever its case and accents."""
+    found = table(spark, sf_dir, "documents").filter(contains_text(F.col("text"), "ÉTIONLE"))
+    return found.select("doc_id", "lang")
+
+
+def spelt_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brand of each part, spelt in three ways."""
+    way = F.col("p_partkey") % 3
+    code = F.when(way == 0, F.lower("p_brand")).when(way == 1, F.replace("p_brand", F.lit("a"), F.lit("á"))).otherwise(F.col("p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", code.alias("code"))
+
+
+SPELT = """
+spelt AS (
+    SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN lower(p_brand) WHEN 1 THEN replace(p_brand, 'a', 'á') ELSE p_brand END AS code
+    FROM part
+)"""
+
+
+@register(
+    "duplicate_spellings",
+    f"""
+    WITH {SPELT}
+    SELECT MIN(code) AS code, COUNT(DISTINCT code) AS n_spellings, COUNT(*) AS n_rows
+    FROM spelt GROUP BY strip_accents(lower(code)) HAVING COUNT(*) > 1""",
+)
+def duplicate_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes that the database would take for one."""
+    return quality.duplicate_spellings(spelt_brands(spark, sf_dir), "code")
+
+
+@register(
+    "collated_lookup",
+    f"""
+    WITH {SPELT}, ids AS (SELECT code, ROW_NUMBER() OVER (ORDER BY code) AS id FROM (SELECT DISTINCT p_brand AS code FROM part))
+    SELECT id AS brand_id, COUNT(*) AS n_parts FROM spelt s JOIN ids i ON strip_accents(lower(s.code)) = strip_accents(lower(i.code))
+    GROUP BY 1""",
+)
+def collated_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers of codes however they are spelt."""
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("code")).distinct()
+    ids = keys.dense_ids(brands, ["code"], "brand_id")
+    found = joins.lookup_id(spelt_brands(spark, sf_dir), ids, "code", "brand_id", collation=settings.COLLATION)
+    return found.groupBy("brand_id").agg(F.count("*").alias("n_parts"))
+
+
 @register(
     "duplicate_keys",
     """

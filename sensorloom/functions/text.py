@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sensorloom import settings
+
 # What a station name tells about its surroundings, first match wins.
 RURAL_WORDS = ["rural", "rambouillet"]
 OBSERVATION_WORDS = ["tour eiffel"]
@@ -75,5 +77,18 @@ def geo_level(code: Column) -> Column:
 
 
 def contains_ignoring_case(text: Column, part: str) -> Column:
-    """Literal substring, case ignored."""
+    """C5 on plain codes: literal substring, case ignored."""
     return F.lower(text).contains(part.lower())
+
+
+def collated(text: Column, collation: str = settings.COLLATION) -> Column:
+    """The text under a collation; equality, grouping, joins, order and substrings then follow it.
+
+    The default ignores case and accents, as the database's does.
+    """
+    return F.collate(text, collation)
+
+
+def contains_text(text: Column, part: str, collation: str = settings.COLLATION) -> Column:
+    """Literal substring under the collation; the empty text is in every text."""
+    return F.contains(collated(text, collation), collated(F.lit(part), collation))

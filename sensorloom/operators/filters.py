@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom import settings
+from sensorloom.functions.text import collated
+
 
 def all_of(conditions: Iterable[Column | None]) -> Column:
     """The conjunction of the conditions that were given; none means everything."""
@@ -21,6 +24,11 @@ def equals_code(column: Column, code: str | None) -> Column | None:
     return column == code.upper() if code else None
 
 
+def equals_text(column: Column, value: str | None, collation: str = settings.COLLATION) -> Column | None:
+    """Equality under a collation, for text as people type it; an empty text filters nothing."""
+    return collated(column, collation) == collated(F.lit(value), collation) if value else None
+
+
 def one_of(column: Column, value: str | None, allowed: Sequence[str], name: str) -> Column | None:
     """Equality with a member of an enumeration, anything else is an error."""
     if value is not None and value not in allowed:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.functions.text import collated
+
 
 def star(fact: DataFrame, *dimensions: tuple[DataFrame, str | Sequence[str]]) -> DataFrame:
     """Inner equi-joins of a fact with its dimensions."""
@@ -27,15 +29,21 @@ def with_context(fact: DataFrame, *contexts: tuple[DataFrame, str | Sequence[str
     return fact
 
 
-def lookup_id(df: DataFrame, dimension: DataFrame, code: str, identifier: str, strict: bool = True) -> DataFrame:
+def lookup_id(
+    df: DataFrame, dimension: DataFrame, code: str, identifier: str, strict: bool = True, collation: str | None = None
+) -> DataFrame:
     """Replace a code by its identifier; a code that the dimension lacks is an error that names it.
 
-    A NULL code has no identifier, and unless `strict` neither has an unknown one.
+    A NULL code has no identifier, and unless `strict` neither has an unknown one. Under a collation (T16) codes
+    meet whatever their spelling; the dimension must have each once (K1 `duplicate_spellings`).
     """
     missing = F.raise_error(F.concat(F.lit(f"{code} without {identifier}: "), F.col(code).cast("string")))
     kind = dimension.schema[identifier].dataType
     found = F.when(F.col(identifier).isNull() & F.col(code).isNotNull(), missing.cast(kind)).otherwise(F.col(identifier))
-    met = df.join(dimension.select(code, identifier), code, "left")
+    keys = dimension.select(code, identifier)
+    if collation is not None:
+        df, keys = (t.withColumn(code, collated(F.col(code), collation)) for t in (df, keys))
+    met = df.join(keys, code, "left")
     return (met.withColumn(identifier, found) if strict else met).drop(code)
 
 

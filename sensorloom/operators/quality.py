@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sensorloom import settings
+from sensorloom.functions.text import collated
 from sensorloom.operators.reshape import concatenate
 
 
@@ -16,6 +18,19 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
+def duplicate_spellings(df: DataFrame, key: str, collation: str = settings.COLLATION) -> DataFrame:
+    """Keys that are one under a collation but spelt in several ways, or that occur more than once.
+
+    Equal spellings are counted first, in a hash aggregate, so only different ones are compared under the
+    collation. The key is shown as its first spelling in binary order; NULL is no key.
+    """
+    spelt = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    same = spelt.groupBy(collated(F.col(key), collation).alias("_same")).agg(
+        F.min(key).alias(key), F.count("*").alias("n_spellings"), F.sum("_n").alias("n_rows")
+    )
+    return same.filter(F.col("n_rows") > 1).drop("_same")
+
+
 def key_check(df: DataFrame, name: str, key: Sequence[str]) -> DataFrame:
     """K1: rows, distinct keys and surplus rows of a declared key, as one row."""
     groups = df.groupBy(*key).agg(F.count("*").alias("n"))

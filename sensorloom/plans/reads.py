@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sensorloom import settings
 from sensorloom.functions.numeric import portable_round
-from sensorloom.functions.text import contains_ignoring_case
+from sensorloom.functions.text import contains_text
 from sensorloom.operators import filters, joins, nested, paging
 
 Tables = Mapping[str, DataFrame]
@@ -29,7 +29,7 @@ class StationFilter:
         return filters.all_of(
             [
                 filters.one_of(F.col("station_type"), self.type, self.types, "type"),
-                contains_ignoring_case(F.col("station_name"), self.name) if self.name else None,
+                contains_text(F.col("station_name"), self.name) if self.name else None,
             ]
         )
 

@@ -68,6 +68,9 @@ WIND_LABELS = [
 WIND_BINS = [0.0, 2.0, 3.0, 4.0, 5.0, 20.0]
 WIND_BIN_LABELS = ["(0, 2]", "(2, 3]", "(3, 4]", "(4, 5]", "(5, 20]"]
 
+# Text compares as in the database: without case and accents.
+COLLATION = "UNICODE_CI_AI"
+
 PER_PAGE = 20
 PER_PAGE_MAX = 100
 

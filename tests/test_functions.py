@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.functions import dates, numeric, text
+from sensorloom.operators import filters, joins, quality
 
 
 def column(spark, values, kind, expression):
@@ -182,3 +183,21 @@ def test_names_labels_and_levels(spark):
     assert column(spark, [0, 75, 75101], "int", text.geo_level) == ["region", "department", "municipality"]
     literal = lambda v: text.contains_ignoring_case(v, "50%")
     assert column(spark, ["Rue 50% X", "Rue 500"], "string", literal) == [True, False]
+
+
+def test_collated_text(spark):
+    names = ["Champs-Élysées", "CHAMPS-ELYSEES", "Quai", None, "champs-elysées 50%"]
+    df = spark.createDataFrame([(n, s) for n, s in enumerate(names)], "n int, s string")
+    found = lambda condition: [r.n for r in df.filter(condition).orderBy("n").collect()]
+    assert found(text.contains_text(F.col("s"), "elysee")) == [0, 1, 4]
+    assert found(text.contains_text(F.col("s"), "ÉLYSÉES 50%")) == [4]
+    assert found(text.contains_text(F.col("s"), "")) == [0, 1, 2, 4]
+    assert found(filters.equals_text(F.col("s"), "champs-élysées")) == [0, 1] and filters.equals_text(F.col("s"), "") is None
+    codes = spark.createDataFrame([("a1",), ("A1",), ("Á1",), ("b",), ("c",), ("c",), (None,), (None,)], "code string")
+    rows = {tuple(r) for r in quality.duplicate_spellings(codes, "code").collect()}
+    assert rows == {("A1", 3, 3), ("c", 1, 2)}
+    ids = spark.createDataFrame([("A1", 7), ("B", 8), ("C", 9)], "code string, id int")
+    looked = joins.lookup_id(codes, ids, "code", "id", collation="UNICODE_CI_AI")
+    assert sorted(r.id or 0 for r in looked.collect()) == [0, 0, 7, 7, 7, 8, 9, 9]
+    with pytest.raises(Exception, match="code without id"):
+        joins.lookup_id(codes, ids, "code", "id").collect()
