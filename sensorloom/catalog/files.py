@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom import settings
 from sensorloom.catalog import proxies
@@ -364,6 +365,23 @@ def holidays_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tabular.read_holidays(spark, path)
 
 
+@register(
+    "optional_sources",
+    """
+    SELECT CAST(o_orderdate AS DATE) AS date, COUNT(*) AS n_orders, CAST(NULL AS INTEGER) AS n_absent, TRUE AS there, FALSE AS absent
+    FROM orders GROUP BY 1""",
+)
+def optional_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that is there and one that is not, joined as context of the days."""
+    counts = table(spark, sf_dir, "orders").groupBy(order_day().alias("date")).agg(F.count("*").alias("n_orders"))
+    path = scratch_path(spark, "optional")
+    counts.write.parquet(f"{path}/there")
+    found, there = tabular.read_optional(spark, f"{path}/there", counts.schema)
+    none, absent = tabular.read_optional(spark, f"{path}/absent", T.StructType.fromDDL("date date, n_absent int"))
+    both = found.join(none, "date", "left")
+    return both.withColumns({"there": F.lit(there), "absent": F.lit(absent)})
+
+
 @register(
     "map_rows",
     "SELECT event_id, 'k' AS name, json_extract_string(props, '$.k') AS value FROM events",

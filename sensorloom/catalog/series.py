@@ -169,16 +169,15 @@ def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     "empty_years",
     f"""
     WITH {STAR}
-    SELECT c.year FROM calendar c
-    LEFT JOIN (SELECT * FROM fact WHERE MONTH(date) = 2 AND DAY(date) = 29) f ON f.date = c.date
-    GROUP BY 1 HAVING COUNT(f.mean) = 0""",
+    SELECT station_code, pollutant_code, CAST(YEAR(date) AS INTEGER) AS year FROM fact
+    GROUP BY 1, 2, 3 HAVING COUNT(CASE WHEN n_hours >= 2 THEN mean END) = 0""",
 )
 def empty_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """years without a value on the 29th of February."""
+    """years of each station and pollutant without a day of two values or more, on all facts."""
     tables = star_tables(spark, sf_dir)
-    leap_day = (F.month("date") == 2) & (F.dayofmonth("date") == 29)
-    values = tables["daily_measurement"].filter(leap_day).select("date", "mean")
-    return timeseries.empty_years(calendar.on_spine(values, tables["calendar"].select("date")), "mean")
+    facts = tables["daily_measurement"].join(tables["station"], "station_id").join(tables["pollutant"], "pollutant_id")
+    complete = facts.withColumn("value", F.when(F.col("n_hours") >= 2, F.col("mean")))
+    return timeseries.empty_years(complete, "value", series=["station_code", "pollutant_code"])
 
 
 # --- statistics -----------------------------------------------------------------------------------

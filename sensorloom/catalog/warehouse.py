@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorloom import schemas
@@ -25,6 +25,8 @@ from sensorloom.catalog.registry import exact_mean, half_up, register
 from sensorloom.functions.numeric import classes_right_closed
 from sensorloom.operators import filters, keys, nested, paging, quality
 from sensorloom.plans import analysis, dataset, reads, star
+from sensorloom.session import scratch_path
+from sensorloom.sources import sinks
 
 STATION_LIST = ", ".join(f"'{code}'" for code in STATIONS)
 
@@ -451,27 +453,31 @@ def measurement_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    "document_json",
-    f"""
-    WITH {STAR}
-    SELECT station_code, COUNT(DISTINCT pollutant_code) AS n_entries,
-           COUNT(DISTINCT pollutant_code) FILTER (pollutant_code = '{FLAG}') AS n_flagged
-    FROM fact GROUP BY 1""",
-)
+@register("document_json", f"WITH {STAR} {SUMMARY}")
 def document_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H1 as JSON text: the exceedance count stands in the flagged entry only."""
+    """H1 as JSON text, every field of every document read back from it."""
     documents = reads.station_documents(star_tables(spark, sf_dir), FLAG, GUIDELINE)
-    text = nested.as_json(documents)
+    again = nested.as_json(documents).select(F.from_json("document", documents.schema).alias("d"))
+    unfolded = again.select("d.*").select("station_code", "station_name", "station_type", F.explode("pollutants").alias("p"))
+    return unfolded.select("station_code", "station_name", "station_type", "p.*")
 
-    def times(part):
-        return F.regexp_count("document", F.lit(part)).cast("bigint")
 
-    return text.select(
-        F.get_json_object("document", "$.station_code").alias("station_code"),
-        times('"pollutant_code"').alias("n_entries"),
-        times('"days_above_who_pm25"').alias("n_flagged"),
-    )
+@register("sorted_export", f"WITH {DENORMALISED} SELECT date, station_code, pollutant_code, daily_mean, n_hours FROM denormalised")
+def sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV export in order, read back by header; every file begins where the one before ends, or the run stops."""
+    keys = ["date", "station_code", "pollutant_code"]
+    path = scratch_path(spark, "export")
+    rows = proxies.denormalised(spark, sf_dir).select(*keys, "daily_mean", "n_hours")
+    sinks.write_table(rows, path, "csv", order=keys)
+    back = spark.read.schema(rows.schema).option("header", "true").csv(path)
+    file = F.col("_metadata.file_name").alias("file")
+    ends = back.select(file, F.struct(*keys).alias("key")).groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    # One row per file.
+    before = F.lag("high").over(Window.orderBy("file"))
+    disorder = ends.withColumn("before", before).filter(F.col("before") > F.col("low")).count()
+    if disorder:
+        raise ValueError(f"{disorder} files out of order")
+    return back
 
 
 # --- the daily dataset ----------------------------------------------------------------------------
@@ -607,7 +613,8 @@ def wind_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
            COUNT(*) FILTER (today > {GUIDELINE} AND tomorrow > {GUIDELINE})::DOUBLE
                / COUNT(*) FILTER (today > {GUIDELINE}) AS p_above_after_above,
            COUNT(*) FILTER (today <= {GUIDELINE} AND tomorrow > {GUIDELINE})::DOUBLE
-               / COUNT(*) FILTER (today <= {GUIDELINE}) AS p_above_after_below
+               / COUNT(*) FILTER (today <= {GUIDELINE}) AS p_above_after_below,
+           {half_up("CORR(tomorrow, today)", 6)} AS r
     FROM pairs WHERE today IS NOT NULL AND tomorrow IS NOT NULL""",
 )
 def conditional_prob(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,8 +47,8 @@ def correlations(df: DataFrame, variables: Sequence[str], target: str, digits: i
     )
 
 
-def exceedance_memory(df: DataFrame, today: str, tomorrow: str, threshold: float) -> DataFrame:
-    """How often tomorrow is above, given today above and given today not above."""
+def exceedance_memory(df: DataFrame, today: str, tomorrow: str, threshold: float, digits: int = 6) -> DataFrame:
+    """How often tomorrow is above, given today above and given today not above, and their correlation `r`."""
     pairs = df.filter(F.col(today).isNotNull() & F.col(tomorrow).isNotNull())
     above, next_above = F.col(today) > threshold, F.col(tomorrow) > threshold
 
@@ -59,6 +59,7 @@ def exceedance_memory(df: DataFrame, today: str, tomorrow: str, threshold: float
         F.count("*").alias("pairs"),
         share(above).alias("p_above_after_above"),
         share(~above).alias("p_above_after_below"),
+        portable_round(F.corr(today, tomorrow), digits).alias("r"),
     )
 
 

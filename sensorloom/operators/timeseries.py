@@ -110,7 +110,7 @@ def gap_report(df: DataFrame, series: Sequence[str], day: str = "date") -> DataF
     return report.withColumn("missing_days", (expected - F.col("days")).cast("bigint"))
 
 
-def empty_years(df: DataFrame, value: str, day: str = "date") -> DataFrame:
-    """years of a dense table in which a column has no value at all."""
-    counts = df.groupBy(F.year(day).alias("year")).agg(F.count(value).alias("n"))
-    return counts.filter(F.col("n") == 0).select("year")
+def empty_years(df: DataFrame, value: str, day: str = "date", series: Sequence[str] = ()) -> DataFrame:
+    """years of a dense table, per series, in which a column has no value at all."""
+    counts = df.groupBy(*series, F.year(day).alias("year")).agg(F.count(value).alias("n"))
+    return counts.filter(F.col("n") == 0).select(*series, "year")

@@ -249,9 +249,18 @@ def test_quantiles_of_large_groups_order_a_bracket_only(spark, monkeypatch, scal
     assert sum(edges.low <= v <= edges.high for v in values) < 700
 
 
+def test_years_without_a_value_per_series(spark):
+    data = [("a", dt.date(2023, 5, 1), None), ("a", dt.date(2024, 5, 1), 1.0), ("b", dt.date(2024, 1, 1), None), ("b", dt.date(2024, 1, 2), None)]
+    df = spark.createDataFrame(data, "s string, date date, v double")
+    assert rows(timeseries.empty_years(df, "v", series=["s"]), "s") == [("a", 2023), ("b", 2024)]
+    assert rows(timeseries.empty_years(df, "v")) == [(2023,)]
+
+
 def test_memory_and_crosstab(spark):
     df = spark.createDataFrame([(20.0, 20.0), (20.0, 1.0), (1.0, 20.0), (1.0, 1.0), (1.0, None)], "a double, b double")
-    assert rows(statistics.exceedance_memory(df, "a", "b", 15.0)) == [(4, 0.5, 0.5)]
+    assert rows(statistics.exceedance_memory(df, "a", "b", 15.0)) == [(4, 0.5, 0.5, 0.0)]
+    rising = spark.createDataFrame([(float(n), 2.0 * n + 1) for n in range(9)], "a double, b double")
+    assert statistics.exceedance_memory(rising, "a", "b", 4.0).first().r == 1.0
     assert rows(statistics.crosstab(df, F.col("a"), "a", "b", ["1.0", "7.0"]), "a") == [(1.0, 1, 0), (20.0, 1, 0)]
 
 

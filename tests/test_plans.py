@@ -5,7 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import os
 import random
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from oracle import connect, differences
 from sensorloom import schemas, settings
+from sensorloom.catalog import ORACLES, QUERIES
 from sensorloom.operators import keys, nested
 from sensorloom.plans import analysis, dataset, forecast, reads, star
 from sensorloom.session import scratch_path
@@ -307,3 +311,12 @@ def test_ids_survive_a_hot_first_column(spark):
     df = spark.range(1000).select(F.lit(1).alias("hot"), F.col("id").alias("x"))
     numbered = keys.dense_ids(df, ["hot", "x"], "n")
     assert numbered.filter("n <> x + 1").count() == 0
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "public_tokenizers", "sensorloom.llm", "corpus_pipeline"])
+def test_entry_without_a_part(missing):
+    """In a process of its own, as modules that are loaded already would hide what is missing."""
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(contract.__file__)
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
