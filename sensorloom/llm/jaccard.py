@@ -11,10 +11,13 @@
 3. Classes that a smaller star has as well are compared there, so of a star only pairs with a class of its
    own are left. Large stars are cut into blocks by position, the set's size; blocks whose sizes are
    too far apart for the threshold are skipped, the others meet in pairs, each a group of bounded size.
-4. In a group the answers of one set against all others are computed; those between the others follow
+4. Sets carry a sketch: every shingle flips one of about as many bits as the set has shingles. Two sketches differ in
+   no more bits than their sets do in shingles, so a pair whose sketches differ in more than a link allows has
+   none. Groups are first formed with sketches, and only rows with a possible partner come with their text.
+5. In a group the answers of one set against all others are computed; those between the others follow
    from them and from the few shingles in which each differs:
    |y n z| = |r| - |r-y| - |r-z| + |(r-y) n (r-z)| + |(y-r) n (z-r)|.
-5. Links that span each group, and links of copies to their class, give the components.
+6. Links that span each group, and links of copies to their class, give the components.
 
 Shingles are 64-bit hashes of their words. Defined results: NULL and empty texts, or texts without a word, have an
 empty set and link with nothing; rows that repeat an id are one node with several texts; rows without
@@ -128,6 +131,43 @@ def fingerprint(members: np.ndarray) -> bytes | None:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """The parity of the shingles on each bit; bits are a power of two, 64 or the first from the set's size on."""
+    bits = max(64, 1 << (len(members) - 1).bit_length()) if len(members) else 64
+    parity = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(sizes: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """Which sets of a group have another that they may link with, by sizes and sketches.
+
+    The parts of a wider sketch, added up, are the sketch of a smaller width. Sets that may link are within a factor of
+    100 / percent in size, and their sketches within twice that, rounded up to a power of two.
+    """
+    widest = 2 << (-(-100 // percent) - 1).bit_length()
+    alive = np.zeros(len(sizes), dtype=bool)
+    width = np.array([len(s) for s in sketches])
+    for bytes_ in np.unique(width):
+        own = np.flatnonzero(width == bytes_)
+        ids, parts, times = [], [], 1
+        while times <= widest:
+            some = np.flatnonzero(width == times * bytes_)
+            folded = np.frombuffer(b"".join(sketches[n] for n in some), np.uint64).reshape(len(some), times, bytes_ // 8)
+            ids.append(some)
+            parts.append(np.bitwise_xor.reduce(folded, axis=1))
+            times *= 2
+        ids, rows = np.concatenate(ids), np.concatenate(parts)
+        for at in range(len(own)):
+            others = ids[at + 1 :]
+            differ = np.bitwise_count(rows[at + 1 :] ^ rows[at]).sum(axis=1, dtype=np.int64)
+            both = sizes[others] + sizes[own[at]]
+            may = (differ * (100 + percent) <= both * (100 - percent)) & (100 * np.minimum(sizes[others], sizes[own[at]]) >= percent * np.maximum(sizes[others], sizes[own[at]]))
+            if may.any():
+                alive[own[at]] = True
+                alive[others[may]] = True
+    return alive
+
+
 def frequent_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that many texts share, sorted, and their place among them by count: a table of fixed size."""
 
@@ -164,8 +204,8 @@ def _needed(n: Column | int, percent: int):
 
 
 def shingled(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """id, n, print, first, plain: each text's set size, the set's fingerprint, its first shingles, and how
-    many of its shingles are not frequent: these come first."""
+    """id, n, print, first, plain, sketch: each text's set size, the set's fingerprint, its first shingles, how
+    many of its shingles are not frequent: these come first, and the set's sketch."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, words))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,11 +225,11 @@ def shingled(texts: DataFrame, words: int, percent: int) -> DataFrame:
                     plain.append(n)
                 first.append(members[:upto].view(np.int64))
             columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary())]
-            columns += [pa.array(first, pa.list_(pa.int64())), pa.array(plain, pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "print", "first", "plain"])
+            columns += [pa.array(first, pa.list_(pa.int64())), pa.array(plain, pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "print", "first", "plain", "sketch"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(cut, f"id {kind}, n bigint, print binary, first array<bigint>, plain bigint")
+    return texts.mapInArrow(cut, f"id {kind}, n bigint, print binary, first array<bigint>, plain bigint, sketch binary")
 
 
 def reachable(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
@@ -357,9 +397,44 @@ def spanning_links(links: np.ndarray, ids: list) -> list[tuple]:
     return out
 
 
+GROUP = ["star", "low", "i", "high", "j"]
+
+
+def possible(groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The rows of each group that have a possible partner there, from sizes and sketches alone."""
+    kind = groups.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, print binary, star {groups.schema['star'].dataType.simpleString()}, low int, i int, high int, j int"
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The last group of a batch may go on in the next one.
+        left = None
+        for frame in frames:
+            frame = frame if left is None else pd.concat([left, frame], ignore_index=True)
+            if not len(frame):
+                continue
+            change = (frame[GROUP] != frame[GROUP].shift()).any(axis=1).to_numpy()
+            begins = np.append(np.flatnonzero(change), len(frame))
+            left = frame.iloc[begins[-2] :]
+            yield answer(frame, begins[:-1])
+        if left is not None:
+            yield answer(left, np.array([0, len(left)]))
+
+    def answer(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        alive = np.zeros(len(frame), dtype=bool)
+        sizes, sketches = frame["n"].to_numpy(), frame["sketch"].tolist()
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            if high - low > 1:
+                alive[low:high] = may_link(sizes[low:high], sketches[low:high], percent)
+        return frame.loc[alive, ["id", "print", *GROUP]]
+
+    sized = groups.join(classes.select("id", "n", "sketch"), "id")
+    dealt = sized.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return dealt.mapInPandas(work, schema)
+
+
 def group_links(members: DataFrame, words: int, percent: int) -> DataFrame:
     """a, b: spanning links of every group of rows id, print, text sorted by group."""
-    keys = ["star", "low", "i", "high", "j"]
+    keys = GROUP
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def answer(ids: list, sets: list) -> list[tuple]:
@@ -390,9 +465,9 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id"
     texts = docs.select(F.col(key).alias("id"), whole_text(text).alias("text"))
     sets = written(shingled(texts, words, percent), "shingled")
     usable = sets.filter("id IS NOT NULL AND print IS NOT NULL")
-    classes = usable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("plain").alias("plain"))
+    classes = usable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("plain").alias("plain"), F.first("sketch").alias("sketch"))
     classes = written(classes, "set-classes")
-    groups = star_groups(classes, percent)
+    groups = written(possible(star_groups(classes, percent), classes, percent), "possible")
     members = groups.join(texts.filter("id IS NOT NULL"), "id")
     links = group_links(members, words, percent).distinct()
     copies = usable.select("id", "print").join(classes.select("print", F.col("id").alias("least")), "print")

@@ -119,3 +119,24 @@ def test_components(spark):
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert found_ == {n: least[n] for n in linked}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_sketches_rule_out_no_link():
+    rng = np.random.default_rng(3)
+    for percent in (30, 80, 90):
+        sets = []
+        for size in (1, 2, 5, 40, 63, 64, 65, 130, 1000):
+            base = rng.integers(0, 2**63, size, dtype=np.uint64)
+            for share in (0.0, 0.05, 0.1, 0.15, 0.3):
+                kept = base[rng.random(size) >= share]
+                sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**63, int(share * size / 2), dtype=np.uint64)])))
+        sets = [s for s in sets if len(s)]
+        sizes = np.array([len(s) for s in sets])
+        alive = jaccard.may_link(sizes, [jaccard.sketch(s) for s in sets], percent)
+        linked = np.zeros(len(sets), bool)
+        for a in range(len(sets)):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= percent * (sizes[a] + sizes[b] - both):
+                    linked[[a, b]] = True
+        assert linked.any() and not (linked & ~alive).any() and (percent < 50 or not alive.all())
