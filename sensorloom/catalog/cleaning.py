@@ -166,7 +166,7 @@ def audit_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
         [F.col("event_id")],
         unique_order=False,
     )
-    return measurements.cleaning_audit(cells, hourly, min_hours=22)
+    return measurements.cleaning_audit(measurements.count_values(cells), hourly, min_hours=22)
 
 
 @register(

@@ -65,6 +65,15 @@ def clean_hourly(cells: DataFrame, dedup_on: str = "local") -> DataFrame:
     return first.select(*HOURLY_KEY, "value")
 
 
+def count_values(cells: DataFrame) -> dict[str, float | int | None]:
+    """The counts of a raw pass for cells that came another way: `raw_value` before cleaning. Runs a job."""
+    return cells.agg(
+        F.count("raw_value").alias("n_values"),
+        F.count_if(F.col("raw_value") < 0).alias("n_negative"),
+        F.min("raw_value").alias("lowest_value"),
+    ).first().asDict()
+
+
 def cleaning_audit(counts: Mapping[str, float | int | None], hourly: DataFrame, min_hours: int = settings.MIN_HOURS) -> DataFrame:
     """K7: negatives set to 0, the lowest value, duplicates removed and days rejected.
 
