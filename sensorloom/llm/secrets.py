@@ -11,14 +11,19 @@ an empty result and an empty scan; other columns are kept, those called blob or
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm.common import written
+from sensorloom.llm.jaccard import texts_of
 from sensorloom.session import scratch_path
 
+#: Matches that are placed one after another; before them stands the sum of all earlier ones.
+STRETCH = 64
+
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 LEDGER = f"blob string, rules array<string>, found array<{SPAN}>"
 
@@ -54,29 +59,73 @@ RULES = (
 )
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _stretches(length: Column, size: Column | int) -> Column:
+    """Where each stretch of `size` items begins, counted from 0."""
+    return F.when(length > 0, F.sequence(F.lit(0), length - 1, F.lit(size).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def _within(begin: Column, size: Column | int, length: Column) -> Column:
+    return F.sequence(begin, F.least(begin + size, length) - 1)
+
+
 def matches(text: Column, rule: Rule) -> Column:
     """Leftmost non-overlapping matches as spans in code points, end exclusive.
 
-    The pieces between matches and the matches themselves alternate, so a running length places them.
+    The pieces between matches and the matches themselves alternate, so a running length places them: a sum
+    before each stretch of STRETCH matches, then within each stretch, so that no list grows match by match.
     """
     pattern = F.lit(rule.pattern)
-    steps = F.arrays_zip(
+    pieces = F.arrays_zip(
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("part"),
     )
-    none = F.array().cast(f"array<{SPAN}>")
+    measured = F.transform(
+        pieces,
+        lambda p: F.struct(
+            F.length(p["gap"]).cast("bigint").alias("gap"),
+            F.coalesce(F.length(p["whole"]), F.lit(0)).cast("bigint").alias("whole"),
+            (F.length(p["part"]) >= rule.least).alias("keep"),
+        ),
+    )
+    zero = F.lit(0).cast("bigint")
+
+    def located(steps: Column) -> Column:
+        length = F.size(steps)
+
+        def item(n: Column) -> Column:
+            return F.get(steps, n)
+
+        def total(begin: Column) -> Column:
+            return F.aggregate(_within(begin, STRETCH, length), zero, lambda sum_, n: sum_ + item(n)["gap"] + item(n)["whole"])
+
+        def running(state: Column, begin: Column) -> Column:
+            before = F.struct(begin.alias("begin"), state["at"].alias("at"))
+            return F.struct((state["at"] + total(begin)).alias("at"), F.concat(state["out"], F.array(before)).alias("out"))
+
+        first = F.struct(zero.alias("at"), F.array().cast("array<struct<begin:int,at:bigint>>").alias("out"))
+        befores = F.aggregate(_stretches(length, STRETCH), first, running, lambda state: state["out"])
 
-    def step(state: Column, item: Column) -> Column:
-        start = state["at"] + F.length(item["gap"])
-        end = start + F.coalesce(F.length(item["whole"]), F.lit(0))
-        span = F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), end.alias("end"))
-        keep = F.length(item["part"]) >= rule.least
-        return F.struct(end.alias("at"), F.when(keep, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+        def step(state: Column, n: Column) -> Column:
+            start = state["at"] + item(n)["gap"]
+            end = start + item(n)["whole"]
+            span = F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), end.alias("end"))
+            out = F.when(item(n)["keep"], F.concat(state["out"], F.array(span))).otherwise(state["out"])
+            return F.struct(end.alias("at"), out.alias("out"))
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
-    found = F.aggregate(steps, begin, step, lambda state: state["out"])
-    return F.when(text.rlike(rule.hint), found).otherwise(none)
+        def spans(before: Column) -> Column:
+            begin = F.struct(before["at"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+            return F.aggregate(_within(before["begin"], STRETCH, length), begin, step, lambda state: state["out"])
+
+        return F.flatten(F.transform(befores, spans))
+
+    none = F.array().cast(f"array<{SPAN}>")
+    return F.when(text.rlike(rule.hint), _with(measured, located)).otherwise(none)
 
 
 def blob_of(text: str = "text") -> Column:
@@ -85,21 +134,27 @@ def blob_of(text: str = "text") -> Column:
 
 
 def scan_unseen(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, text: str = "text") -> None:
-    """Apply each rule to each blob of `versions` that the ledger does not pair with it, and append that."""
+    """Apply each rule to each blob of `versions` that the ledger does not pair with it, and append that.
+
+    The ledger is asked with addresses alone; of texts only those with an address that a Bloom filter of the unseen
+    ones passes are shuffled, and none if nothing is unseen.
+    """
     spark = versions.sparkSession
     blobs = versions.select(blob_of(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    unique = blobs.dropDuplicates(["blob"])
     wanted = F.array(*[F.lit(rule.key) for rule in rules])
     past = read_ledger(spark, ledger)
     if past is None:
-        pending = unique.withColumn("rules", wanted)
+        pending = blobs.dropDuplicates(["blob"]).withColumn("rules", wanted)
     else:
         seen = past.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("_seen"))
-        pending = (
-            unique.join(seen, "blob", "left")
-            .withColumn("rules", F.array_except(wanted, F.coalesce("_seen", F.array().cast("array<string>"))))
-            .filter(F.size("rules") > 0)
-        )
+        unseen = blobs.select("blob").distinct().join(seen, "blob", "left")
+        unseen = unseen.select("blob", F.array_except(wanted, F.coalesce("_seen", F.array().cast("array<string>"))).alias("rules"))
+        unseen = written(unseen.filter(F.size("rules") > 0), "unseen-blobs")
+        if unseen.isEmpty():
+            return
+        addressed = blobs.select(F.col("blob").alias("id"), F.col("_text").alias("text"))
+        some = texts_of(addressed, unseen.select(F.col("blob").alias("id"))).dropDuplicates(["id"])
+        pending = some.select(F.col("id").alias("blob"), F.col("text").alias("_text")).join(unseen, "blob")
     none = F.array().cast(f"array<{SPAN}>")
     parts = [F.when(F.array_contains("rules", rule.key), matches(F.col("_text"), rule)).otherwise(none) for rule in rules]
     found = pending.select("blob", "rules", F.concat(*parts).alias("found"))
@@ -130,9 +185,11 @@ def findings(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, te
     ranked = F.array_sort(
         F.transform("found", lambda s: F.struct(s["start"].alias("start"), F.array_position(current, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
+    # Scans side by side, or an append that was repeated, leave the same span more than once.
+    once = _with(ranked, lambda all_: F.filter(all_, lambda s, n: (n == 0) | (s != F.get(all_, n - 1))))
     hits = hits.select(
         F.col("blob").alias("__hit_blob"),
-        F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("__hit_spans"),
+        F.transform(once, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("__hit_spans"),
     )
     path = scratch_path(versions.sparkSession, "secret-hits")
     hits.write.parquet(path)
@@ -156,17 +213,48 @@ def shown(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, overlapping ones together, replaced by the mark."""
+    """The text with every span, overlapping ones together, replaced by the mark.
+
+    Spans come by start. They are taken in stretches, as many as a stretch has spans: a stretch has its own part of
+    the text, from the furthest end before it to its own furthest end, so no string grows over the whole text.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def part(begin: Column, end: Column) -> Column:
+        return F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
+
+    def replaced(own: Column) -> Column:
+        length = F.size(own)
+        size = F.ceil(F.sqrt(length)).cast("int")
+
+        def item(n: Column) -> Column:
+            return F.get(own, n)
+
+        def running(state: Column, begin: Column) -> Column:
+            upto = F.aggregate(_within(begin, size, length), state["at"], lambda most, n: F.greatest(most, item(n)["end"]))
+            stretch = F.struct(begin.alias("begin"), state["at"].alias("from"), upto.alias("to"))
+            return F.struct(upto.alias("at"), F.concat(state["out"], F.array(stretch)).alias("out"))
+
+        first = F.struct(zero.alias("at"), F.array().cast("array<struct<begin:int,from:bigint,to:bigint>>").alias("out"))
+        stretches = F.aggregate(_stretches(length, size), first, running)
+
+        def cut(stretch: Column) -> Column:
+            def inside(piece: Column) -> Column:
+                def step(state: Column, n: Column) -> Column:
+                    at, start = state["at"], item(n)["start"] - stretch["from"]
+                    before = F.substring(piece, (at + 1).cast("int"), (start - at).cast("int"))
+                    out = F.when(start >= at, F.concat(state["out"], before, F.lit(mark))).otherwise(state["out"])
+                    return F.struct(F.greatest(at, item(n)["end"] - stretch["from"]).alias("at"), out.alias("out"))
+
+                begin = F.struct(zero.alias("at"), F.lit("").alias("out"))
+                return F.aggregate(_within(stretch["begin"], size, length), begin, step, lambda state: state["out"])
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        before = F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        out = F.when(fresh, F.concat(state["out"], before, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+            return _with(part(stretch["from"], stretch["to"]), inside)
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+        def whole(state: Column) -> Column:
+            rest = F.substring(text, (state["at"] + 1).cast("int"), F.length(text))
+            return F.concat(F.array_join(F.transform(state["out"], cut), ""), rest)
 
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
+        return _with(stretches, whole)
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, finish)).otherwise(text)
+    return F.when(F.size(spans) > 0, _with(spans, replaced)).otherwise(text)

@@ -65,3 +65,39 @@ def test_redaction(make):
     rows = [(1, "é token = 0123456789abcdef end"), (2, "clean"), (3, None)]
     found = secrets.scan(make(rows)).select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("text"))
     assert {r.doc_id: r.text for r in found.collect()} == {1: "é [SECRET] end", 2: "clean", 3: None}
+
+
+def test_redaction_equals_plain_cuts(make):
+    rng = random.Random(9)
+    rows = [(n, "".join(rng.choice(PARTS) for _ in range(rng.choice([3, 14, 400])))) for n in range(60)]
+
+    def plain_redaction(text):
+        out, at = "", 0
+        for _, start, end in expected(text):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        return out + text[at:]
+
+    found = secrets.scan(make(rows)).select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("text"))
+    assert {r.doc_id: r.text for r in found.collect()} == {n: plain_redaction(text) for n, text in rows}
+
+
+def test_one_text_with_many_secrets(make):
+    text = "é password = 0123456789abcdef and\n" * 20_000
+    row = secrets.scan(make([(1, text)])).select("spans", secrets.redacted(F.col("text"), F.col("spans")).alias("text")).first()
+    assert [(s["kind"], s["start"], s["end"]) for s in row.spans] == expected(text)
+    assert row.text == "é [SECRET] and\n" * 20_000
+
+
+def test_a_second_scan_shuffles_no_text(spark, make):
+    ledger = scratch_path(spark, "ledger")
+    rows = [(n, f"text {n} token = abcdefghijklmnop{n}") for n in range(50)]
+    first = plain(secrets.scan(make(rows), ledger).collect())
+    files = set(spark.read.parquet(ledger).inputFiles())
+    assert plain(secrets.scan(make(rows), ledger).collect()) == first
+    assert set(spark.read.parquet(ledger).inputFiles()) == files
+    # A scan that was appended twice finds nothing twice.
+    spark.read.schema(secrets.LEDGER).parquet(ledger).write.parquet(copy := scratch_path(spark, "copy"))
+    spark.read.schema(secrets.LEDGER).parquet(copy).write.mode("append").parquet(ledger)
+    assert plain(secrets.findings(make(rows), ledger).collect()) == first
