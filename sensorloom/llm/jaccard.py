@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm import urls
 from sensorloom.llm.common import whole_text, written
 from sensorloom.llm.components import components
+from sensorloom.llm.membership import absent, passing
 
 #: Bytes of text hashed at once.
 AT_ONCE = 1_000_000
@@ -461,17 +461,16 @@ def group_links(members: DataFrame, words: int, percent: int) -> DataFrame:
     return dealt.mapInPandas(link, f"a {kind}, b {kind}")
 
 
-def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts with an id among the wanted ones, and a few others: a Bloom filter of bounded size leaves the rest
-    where they are, so that no later join shuffles them."""
-    blocks = max(1, min(urls.MOST_BLOCKS, -(-wanted.count() // urls.KEYS_PER_BLOCK)))
-    key = F.col("id").cast("string")
-    filter_ = urls.bloom(wanted.select(key.alias("key")), blocks)
-    probed = texts.join(F.broadcast(filter_), urls.block_of(key, blocks) == F.col("block"))
-    every = F.lit(True)
-    for n, at in enumerate(urls.positions(key)):
-        every = every & (F.getbit(f"w{n}", at) == 1)
-    return probed.filter(every).select("id", "text")
+def set_classes(usable: DataFrame) -> DataFrame:
+    """print, id, n, first, plain, sketch of every different set, with its least id.
+
+    Only sets that a Bloom filter of the repeated ones passes are shuffled with their shingles.
+    """
+    repeated = written(usable.groupBy("print").count().filter("count > 1").select("print"), "repeated-sets")
+    rest = ["n", "first", "plain", "sketch"]
+    several = passing(usable, F.col("print"), repeated).groupBy("print")
+    several = several.agg(F.min("id").alias("id"), *[F.first(name).alias(name) for name in rest])
+    return absent(usable, F.col("print"), repeated).select(several.columns).unionAll(several)
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -479,10 +478,10 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id"
     texts = docs.select(F.col(key).alias("id"), whole_text(text).alias("text"))
     sets = written(shingled(texts, words, percent), "shingled")
     usable = sets.filter("id IS NOT NULL AND print IS NOT NULL")
-    classes = usable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("plain").alias("plain"), F.first("sketch").alias("sketch"))
-    classes = written(classes, "set-classes")
+    classes = written(set_classes(usable), "set-classes")
     groups = written(possible(star_groups(classes, percent), classes, percent), "possible")
-    members = groups.join(texts_of(texts.filter("id IS NOT NULL"), groups.select("id").distinct()), "id")
+    wanted = passing(texts.filter("id IS NOT NULL"), F.col("id"), groups.select("id").distinct())
+    members = groups.join(wanted, "id")
     links = group_links(members, words, percent).distinct()
     copies = usable.select("id", "print").join(classes.select("print", F.col("id").alias("least")), "print")
     edges = links.unionAll(copies.filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")))
