@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.common import written
-from sensorloom.llm.jaccard import texts_of
+from sensorloom.llm.membership import absent, passing
 from sensorloom.session import scratch_path
 
 #: Matches that are placed one after another; before them stands the sum of all earlier ones.
@@ -136,15 +136,17 @@ def blob_of(text: str = "text") -> Column:
 def scan_unseen(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, text: str = "text") -> None:
     """Apply each rule to each blob of `versions` that the ledger does not pair with it, and append that.
 
-    The ledger is asked with addresses alone; of texts only those with an address that a Bloom filter of the unseen
-    ones passes are shuffled, and none if nothing is unseen.
+    The ledger is asked with addresses alone. Of texts only those that a Bloom filter passes are shuffled: in a first
+    scan the filter of repeated addresses, later that of the unseen ones; none if nothing is unseen.
     """
     spark = versions.sparkSession
     blobs = versions.select(blob_of(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     wanted = F.array(*[F.lit(rule.key) for rule in rules])
     past = read_ledger(spark, ledger)
     if past is None:
-        pending = blobs.dropDuplicates(["blob"]).withColumn("rules", wanted)
+        repeated = written(blobs.groupBy("blob").count().filter("count > 1").select("blob"), "repeated-blobs")
+        several = passing(blobs, F.col("blob"), repeated).dropDuplicates(["blob"])
+        pending = absent(blobs, F.col("blob"), repeated).unionByName(several).withColumn("rules", wanted)
     else:
         seen = past.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("_seen"))
         unseen = blobs.select("blob").distinct().join(seen, "blob", "left")
@@ -152,9 +154,8 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES,
         unseen = written(unseen.filter(F.size("rules") > 0), "unseen-blobs")
         if unseen.isEmpty():
             return
-        addressed = blobs.select(F.col("blob").alias("id"), F.col("_text").alias("text"))
-        some = texts_of(addressed, unseen.select(F.col("blob").alias("id"))).dropDuplicates(["id"])
-        pending = some.select(F.col("id").alias("blob"), F.col("text").alias("_text")).join(unseen, "blob")
+        some = passing(blobs, F.col("blob"), unseen.select("blob")).dropDuplicates(["blob"])
+        pending = some.join(unseen, "blob")
     none = F.array().cast(f"array<{SPAN}>")
     parts = [F.when(F.array_contains("rules", rule.key), matches(F.col("_text"), rule)).otherwise(none) for rule in rules]
     found = pending.select("blob", "rules", F.concat(*parts).alias("found"))
@@ -196,8 +197,11 @@ def findings(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, te
     hits = versions.sparkSession.read.schema(hits.schema).parquet(path)
     none = F.array().cast(f"array<{SPAN}>")
     addressed = versions.withColumns({"blob": blob_of(text)})
-    joined = addressed.join(hits, F.col("blob") == F.col("__hit_blob"), "left")
-    return joined.withColumns({"spans": F.coalesce("__hit_spans", none)}).drop("__hit_blob", "__hit_spans")
+    # Versions without a finding are not joined, so their texts do not move.
+    keys = hits.select("__hit_blob")
+    joined = passing(addressed, F.col("blob"), keys).join(hits, F.col("blob") == F.col("__hit_blob"), "left")
+    joined = joined.withColumns({"spans": F.coalesce("__hit_spans", none)}).drop("__hit_blob", "__hit_spans")
+    return absent(addressed, F.col("blob"), keys).withColumns({"spans": none}).select(joined.columns).unionByName(joined)
 
 
 def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
