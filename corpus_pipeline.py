@@ -3,7 +3,8 @@
 1. quality: documents that the quality classifier rejects go. It learns from the labels of the
    documents at hand; without labels nothing is rejected.
 2. near duplicates: of every component of 5-word shingle sets that are 80 % alike, the document with the
-   smallest id stays. Documents without a word, and rows without an id, stay.
+   smallest id stays. Documents without a word, and rows without an id, stay. Of rows that repeat an id, that
+   with the least hash of its text is the document, and the others go.
 3. decontamination: documents in which a benchmark item occurs go.
 4. secrets: every document stays, its secrets replaced by a mark; `n_chars` follows.
 5. encoding: every document with its token ids, and the text that they decode to.
@@ -21,30 +22,39 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm import bpe, decontaminate, jaccard, quality, secrets
 from sensorloom.llm.common import documents, written
+from sensorloom.llm.membership import passing
+from sensorloom.operators.dedup import keep_first
 
 WORDS = 5
 PERCENT = 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.5 or more."""
-    measured = written(quality.measured(docs.select("doc_id", "text")), "statistics")
+    """Documents that the classifier scores 0.5 or more; only labelled ones are measured to fit it."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(written(quality.labelled(measured, labels), "labelled"))
+    known = labels.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("known"))
+    learned = passing(docs.select("doc_id", "text"), F.col("doc_id"), known)
+    model = quality.fit(written(quality.labelled(quality.measured(learned), labels), "labelled"))
     return quality.accepted(docs, model)
 
 
+def one_row_an_id(docs: DataFrame) -> DataFrame:
+    """Of rows that repeat an id, the one whose text has the least SHA-256, NULL first; rows without an id all stay."""
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = written(repeated, "repeated")
+    # Only ids that repeat need a choice among their rows.
+    single = docs.join(repeated, "doc_id", "left_anti").select(docs.columns)
+    several = docs.join(repeated, "doc_id", "left_semi").select(docs.columns)
+    return single.unionByName(keep_first(several, ["doc_id"], [F.sha2("text", 256)]))
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every component; of rows that repeat an id, one."""
+    """The document with the smallest id of every component; of rows that repeat an id, the first by text."""
+    docs = one_row_an_id(docs)
     groups = jaccard.join(docs.select("doc_id", "text"), WORDS, PERCENT)
     others = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    others = written(others.distinct(), "others")
-    kept = docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
-    # Only ids that repeat need a choice among their rows.
-    repeated = written(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    single = kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
-    several = kept.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return single.unionByName(several)
+    others = written(others, "others")
+    return docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
