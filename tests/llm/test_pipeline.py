@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 import pytest
 
@@ -99,3 +101,14 @@ def test_odd_rows_and_no_rows(odd, none, spark):
 def test_near_duplicates_of_odd_rows(odd, spark):
     kept = sorted((r.doc_id or 0) for r in corpus_pipeline.keep_one_of_each(spark, odd, FOLDER).collect())
     assert kept == [0, 1, 2, 3, 4, 6, 7, 8]
+
+
+def test_two_texts_under_one_id(make, spark):
+    words = [f"word{n}" for n in range(40)]
+    first, other, third = " ".join(words), " ".join(reversed(words)), " ".join(sorted(words * 2))
+    rows = [(1, first), (2, other), (2, first), (2, None), (3, first), (4, third), (4, other), (4, other), (None, first), (None, other)]
+    chosen = {(r.doc_id, r.text) for r in corpus_pipeline.one_row_an_id(make(rows)).collect()}
+    by_hash = lambda *texts: min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert chosen == {(1, first), (2, None), (3, first), (4, by_hash(third, other)), (None, first), (None, other)}
+    kept = corpus_pipeline.keep_one_of_each(spark, make(rows), FOLDER).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 1, 2, 4]
