@@ -29,6 +29,8 @@ from sensorloom.llm.common import partitions, whole_text
 from sensorloom.session import scratch_path
 
 BLOCK_CHARS = 12_000_000
+#: Bytes of packed indices whose documents are answered together, about a sixteenth of a block.
+KEPT_AT_ONCE = 250_000
 
 #: Cuts a text into pre-tokens.
 Cut = Callable[[str], list[str]]
@@ -154,8 +156,17 @@ def answered(stored: DataFrame, answer: Answer) -> DataFrame:
     return done.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("share", "answers"))).alias("answers"))
 
 
+def _parts(kept: list[bytes]) -> Iterator[slice]:
+    """Stretches of documents with about KEPT_AT_ONCE bytes of packed indices."""
+    if not kept:
+        return
+    part = np.cumsum([len(one) for one in kept]) // KEPT_AT_ONCE
+    bounds = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(kept)).tolist()
+    yield from (slice(low, high) for low, high in zip(bounds[:-1], bounds[1:]))
+
+
 def rejoined(stored: DataFrame, answers: DataFrame, work: Callable, result: str) -> DataFrame:
-    """`work(keys, kept, extra, answers by index)` per block, a frame of result rows each."""
+    """`work(keys, kept, extra, answers by index)` for a few documents of a block at a time, a frame of result rows each."""
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -165,7 +176,9 @@ def rejoined(stored: DataFrame, answers: DataFrame, work: Callable, result: str)
                 by_index: list[bytes] = [b""] * len(order)
                 for place, value in zip(order.tolist(), given):
                     by_index[place] = value
-                yield work(list(row.keys), list(row.kept), list(row.extra), by_index)
+                keys, kept, extra = list(row.keys), list(row.kept), list(row.extra)
+                for some in _parts(kept):
+                    yield work(keys[some], kept[some], extra[some], by_index)
 
     # A block of texts without any pre-token has no answers; it still has its documents.
     none = F.array().cast("array<struct<share:int,answers:binary>>")
