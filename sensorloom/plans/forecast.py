@@ -9,9 +9,9 @@ from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +46,9 @@ FEATURES = [
 ]
 TARGET = "target"
 
-# Forests that are fitted side by side; each holds a group of nodes of up to 256 MB a task.
+# Trees of a forest that are fitted together. A forest's parts are independent, so they run side by side.
+PART_TREES = 25
+# Parts that are fitted side by side on fewer cores; each holds a group of nodes of up to 256 MB a task.
 FITS_AT_ONCE = 6
 
 
@@ -131,34 +133,85 @@ def fit_linear(train: DataFrame):
     ).fit(train)
 
 
-def fit_forest(
-    train: DataFrame,
-    trees: int = settings.TREES,
-    max_depth: int | None = None,
-    min_leaf: int = 1,
-    max_features: float = 1.0,
-    seed: int = settings.SEED,
+class Point(NamedTuple):
+    """A forest of the grid; an unlimited depth is MLlib's greatest, 30."""
+
+    max_depth: int | None = None
+    min_leaf: int = 1
+    max_features: float = 1.0
+
+
+def fit_part(
+    train: DataFrame, point: Point, trees: int, seed: int = settings.SEED, forecast: str = "forecast"
 ):
-    """A random forest; an unlimited depth is MLlib's greatest, 30."""
+    """Some trees of a forest, with bootstrap samples and features drawn by the seed."""
     return RandomForestRegressor(
         featuresCol="features",
         labelCol=TARGET,
-        predictionCol="forecast",
+        predictionCol=forecast,
         numTrees=trees,
-        maxDepth=30 if max_depth is None else max_depth,
-        minInstancesPerNode=min_leaf,
-        featureSubsetStrategy="all" if max_features >= 1.0 else str(max_features),
+        maxDepth=30 if point.max_depth is None else point.max_depth,
+        minInstancesPerNode=point.min_leaf,
+        featureSubsetStrategy="all" if point.max_features >= 1.0 else str(point.max_features),
         maxBins=128,
         seed=seed,
     ).fit(train)
 
 
+def fit_forests(
+    train: DataFrame,
+    points: Sequence[Point],
+    trees: int = settings.TREES,
+    seed: int = settings.SEED,
+    at_once: int | None = None,
+) -> list[PipelineModel]:
+    """A forest per point, all from the same rows.
+
+    A level of a small table is one task, so that a forest as a whole would keep one core busy for as long as all its
+    trees take. Its trees are independent: parts of PART_TREES trees, each with a seed of its own, are jobs side by
+    side, those of the deepest trees first, and the forecast is the mean over the trees of all parts. The parts follow from
+    the number of trees, not from the cluster, and all forests draw the same samples.
+    """
+    spark = train.sparkSession
+    sizes = [min(PART_TREES, trees - first) for first in range(0, trees, PART_TREES)]
+    names = [f"_forecast_{i}" for i in range(len(sizes))]
+
+    def fitted(task):
+        point, i = task
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"forest-{points.index(point)}-{i}")
+        return fit_part(train, point, sizes[i], seed + i, names[i])
+
+    def cost(task):
+        point, _ = task
+        return point.max_depth is not None, -(point.max_depth or 0), point.min_leaf, -point.max_features
+
+    tasks = sorted(((point, i) for point in points for i in range(len(sizes))), key=cost)
+    at_once = at_once or max(FITS_AT_ONCE, spark.sparkContext.defaultParallelism)
+    with ThreadPoolExecutor(min(at_once, len(tasks))) as pool:
+        parts = dict(zip(tasks, pool.map(inheritable_thread_target(spark)(fitted), tasks)))
+    total = " + ".join(f"{size} * {name}" for size, name in zip(sizes, names))
+    mean = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}), ({total}) / {trees} AS forecast FROM __THIS__")
+    return [PipelineModel(stages=[*[parts[point, i] for i in range(len(sizes))], mean]) for point in points]
+
+
+def fit_forest(
+    train: DataFrame,
+    trees: int = settings.TREES,
+    max_depth: int | None = None,
+    min_leaf: int = 1,
+    max_features: float = 1.0,
+    seed: int = settings.SEED,
+) -> PipelineModel:
+    """A random forest; an unlimited depth is MLlib's greatest, 30."""
+    return fit_forests(train, [Point(max_depth, min_leaf, max_features)], trees, seed)[0]
+
+
 class Tuned(NamedTuple):
     """The grid, best first, its best point and the forest that was fitted there."""
 
     grid: DataFrame
     best: dict[str, float | int | None]
-    model: RandomForestRegressionModel
+    model: PipelineModel
 
 
 def tune(
@@ -167,33 +220,28 @@ def tune(
     depths: Sequence[int | None] = tuple(settings.GRID_DEPTH),
     leaves: Sequence[int] = tuple(settings.GRID_LEAF),
     shares: Sequence[float] = tuple(settings.GRID_FEATURES),
-    at_once: int = FITS_AT_ONCE,
+    at_once: int | None = None,
     **options,
 ) -> Tuned:
     """Fit every combination and measure it on a fixed later year.
 
-    Both sets are stored first. The fits are jobs side by side, each in a scheduler pool of its own, so that a
-    level of one forest does not wait for another forest; ties go to an unlimited depth first, then to
-    the smaller combination.
+    Both sets are stored first. The fits are jobs side by side (see `fit_forests`), each in a scheduler pool of its
+    own; ties go to an unlimited depth first, then to the smaller combination.
     """
     spark = train.sparkSession
     train, valid = stored(train, "train"), stored(valid, "validation")
+    points = [Point(*point) for point in product(depths, leaves, shares)]
+    models = fit_forests(train, points, at_once=at_once, **options)
 
-    def measured(point):
-        depth, leaf, share = point
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{depth}-{leaf}-{share}")
-        model = fit_forest(train, max_depth=depth, min_leaf=leaf, max_features=share, **options)
-        return model, model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
+    def measured(model):
+        return model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
 
-    points = list(product(depths, leaves, shares))
-    with ThreadPoolExecutor(min(at_once, len(points))) as pool:
-        fitted = list(pool.map(inheritable_thread_target(spark)(measured), points))
-    order = sorted(range(len(points)), key=lambda n: (fitted[n][1] is None, fitted[n][1] or 0.0, points[n][0] is not None, points[n]))
+    with ThreadPoolExecutor(min(FITS_AT_ONCE, len(points))) as pool:
+        errors = list(pool.map(inheritable_thread_target(spark)(measured), models))
+    order = sorted(range(len(points)), key=lambda n: (errors[n] is None, errors[n] or 0.0, points[n].max_depth is not None, points[n]))
     layout = "max_depth int, min_samples_leaf int, max_features double, valid_MAE double"
-    found = [(*points[n], fitted[n][1]) for n in order]
-    depth, leaf, share = points[order[0]]
-    best = {"max_depth": depth, "min_leaf": leaf, "max_features": share}
-    return Tuned(spark.createDataFrame(found, layout), best, fitted[order[0]][0])
+    found = [(*points[n], errors[n]) for n in order]
+    return Tuned(spark.createDataFrame(found, layout), points[order[0]]._asdict(), models[order[0]])
 
 
 def grid_search(train: DataFrame, valid: DataFrame, **options) -> DataFrame:

@@ -251,6 +251,23 @@ def test_forecast_pipeline(spark, daily_series):
     assert forecast.score(path, rows).filter("forecast is null").count() == 0
 
 
+def test_forest_is_fitted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(forecast, "PART_TREES", 4)
+    rows = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 7 + i % 3)) for i in range(80)], "id int, a double, b double, target double")
+    vectors = forecast.assembled(rows, ["a", "b"])
+    shallow, deep = forecast.fit_forests(vectors, [forecast.Point(2), forecast.Point()], trees=10)
+    for forest, depth in ((shallow, 2), (deep, 30)):
+        *parts, _ = forest.stages
+        assert [part.getNumTrees for part in parts] == [4, 4, 2] and max(t.depth for part in parts for t in part.trees) <= depth
+        each = [[tree.predict(r.features) for part in parts for tree in part.trees] for r in vectors.orderBy("id").collect()]
+        found = forest.transform(vectors)
+        assert found.columns == ["id", "a", "b", "target", "features", "forecast"]
+        assert [r.forecast for r in found.orderBy("id").collect()] == pytest.approx([sum(one) / 10 for one in each])
+    # Parts draw samples of their own.
+    first, second = deep.stages[:2]
+    assert [t.toDebugString for t in first.trees] != [t.toDebugString for t in second.trees]
+
+
 def test_importance_permutes_within_repeats(spark):
     rows = spark.createDataFrame([(i, float(i % 7), float(i)) for i in range(60)], "id int, a double, target double")
     vectors = forecast.assembled(rows.withColumn("b", F.col("target")), ["a", "b"])
