@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.numeric import exact_mean, portable_round
+from sensorloom.session import stored
 
 # Of the sketches behind exact quantiles: their ranks are right to one part in so many.
 ACCURACY = 100_000
@@ -98,9 +99,12 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[f
     Sketches give each share a bracket of values around its ranks (see `brackets`). One more pass counts
     exactly: what lies below a bracket is a number, and only the values in it, equal ones together, are
     ordered: at most 6 / ACCURACY of a group's rows and its ties. Any scale of values will do.
+
+    The brackets are stored first, a row per group: of known size, they go to the rows and not the rows of a group to
+    one task. Runs the sketches.
     """
     measured = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
-    edges = brackets(measured, keys, shares).withColumnsRenamed({key: f"_key_{key}" for key in keys})
+    edges = stored(brackets(measured, keys, shares), "brackets").withColumnsRenamed({key: f"_key_{key}" for key in keys})
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_key_{key}"))

@@ -249,6 +249,14 @@ def test_quantiles_of_large_groups_order_a_bracket_only(spark, monkeypatch, scal
     assert sum(edges.low <= v <= edges.high for v in values) < 700
 
 
+def test_quantiles_send_brackets_to_the_rows(spark):
+    df = spark.createDataFrame([("hot", float(n)) for n in range(300)] + [(None, 1.0)], "g string, v double")
+    found = statistics.quantiles(df, ["g"], "v", [0.5])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(r.g, r.quantile) for r in found.collect()} == {("hot", 149.5), (None, 1.0)}
+
+
 def test_years_without_a_value_per_series(spark):
     data = [("a", dt.date(2023, 5, 1), None), ("a", dt.date(2024, 5, 1), 1.0), ("b", dt.date(2024, 1, 1), None), ("b", dt.date(2024, 1, 2), None)]
     df = spark.createDataFrame(data, "s string, date date, v double")
