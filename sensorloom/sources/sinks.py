@@ -98,11 +98,12 @@ def write_partitioned(
 ) -> None:
     """A folder per partition value, rows clustered inside the files.
 
-    The rebalance hint lets AQE split a heavy value over several tasks by size and merge light
-    ones; the sort gives row groups narrow ranges of the cluster columns.
+    Tasks take ranges of the partition value and the cluster columns, so that a heavy value is dealt over as many
+    tasks as its rows fill, whatever the number of values and of tasks before, and AQE merges light ones; the sort
+    gives row groups narrow ranges of the cluster columns.
     """
     (
-        df.hint("rebalance", partition)
+        df.repartitionByRange(partition, *cluster)
         .sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")
         .partitionBy(partition)

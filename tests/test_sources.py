@@ -412,6 +412,27 @@ def test_sinks(spark, tmp_path):
     assert quality.row_counts({"a": df}).first().n_rows == 300
 
 
+def test_a_heavy_year_is_dealt_over_tasks(spark, tmp_path):
+    """Also where all its rows come from one task."""
+    df = spark.range(4000, numPartitions=1).select(
+        F.lit(2023).alias("year"), F.lit("A").alias("pollutant_code"), F.sha2(F.col("id").cast("string"), 256).alias("station_code"), "id"
+    )
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    try:
+        for name, value in sizes.items():
+            spark.conf.set(name, value)
+        sinks.write_partitioned(df, str(tmp_path / "heavy"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    back = spark.read.parquet(str(tmp_path / "heavy"))
+    files = back.groupBy(F.col("_metadata.file_name")).agg(F.count("*").alias("n"), F.min("station_code").alias("low"), F.max("station_code").alias("high"))
+    files = files.orderBy("low").collect()
+    assert sum(f.n for f in files) == 4000 and len(files) > 2 and max(f.n for f in files) < 2000
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+
+
 def test_a_star_that_is_half_written_is_not_seen(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "star")
 
