@@ -16,6 +16,7 @@ from sensorloom.catalog.registry import exact_mean, half_even
 from sensorloom.functions.numeric import exact_mean as mean_of
 from sensorloom.functions.numeric import portable_round
 from sensorloom.operators.dedup import keep_first
+from sensorloom.operators.joins import dimension
 from sensorloom.plans import star
 from sensorloom.session import scratch_path
 from sensorloom.sources import sinks
@@ -242,7 +243,7 @@ def station_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         portable_round(F.max("l_extendedprice"), 2, "half_even").alias("max"),
         F.count("l_quantity").alias("n_hours"),
     )
-    return by_supplier.join(suppliers, "l_suppkey").select(
+    return by_supplier.join(dimension(suppliers), "l_suppkey").select(
         "date", "station_code", "pollutant_code", "mean", "max", "n_hours"
     )
 

@@ -1,8 +1,8 @@
 """Joins (D1-D4, D6-D11).
 
-No join carries a broadcast hint: Catalyst broadcasts a side whose statistics are below
-`spark.sql.autoBroadcastJoinThreshold`, AQE does so when a shuffled side turns out to be small, and
-beyond that both fall back to a sort-merge join whose skewed partitions AQE splits.
+Catalyst broadcasts a side whose statistics are below `spark.sql.autoBroadcastJoinThreshold`, AQE does so when a
+shuffled side turns out to be small, and beyond that both fall back to a sort-merge join whose skewed partitions AQE
+splits. A hint is only given to a dimension that was counted first (`dimension`).
 """
 
 from __future__ import annotations
@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from sensorloom.functions.text import collated
 
 
+# Rows of a dimension that go to every task, some 50 MB of keys and codes.
+DIMENSION_ROWS = 500_000
+
+
+def dimension(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
+    """A table to look codes up in. One of up to so many rows goes to the facts, which then are not shuffled; it is
+    counted for that, as estimates of a derived table are far too high. A larger one is joined by size as any table."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def star(fact: DataFrame, *dimensions: tuple[DataFrame, str | Sequence[str]]) -> DataFrame:
     """Inner equi-joins of a fact with its dimensions."""
     for dimension, key in dimensions:

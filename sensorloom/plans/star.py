@@ -11,7 +11,7 @@ from sensorloom import schemas, settings
 from sensorloom.functions import text
 from sensorloom.functions.numeric import exceeds_for
 from sensorloom.operators import calendar, quality
-from sensorloom.operators.joins import keep_matching, lookup_id, with_context
+from sensorloom.operators.joins import dimension, keep_matching, lookup_id, with_context
 from sensorloom.operators.keys import dense_ids, small_ids
 from sensorloom.operators.reshape import concatenate, conform
 
@@ -62,13 +62,14 @@ def fact_rows(
 ) -> DataFrame:
     """Daily values with their keys.
 
-    Identifiers follow the order of insertion: day, station code, pollutant code.
+    Identifiers follow the order of insertion: day, station code, pollutant code. The codes are looked up where the
+    sorted facts are.
     """
     facts = daily
     if numbered:
         facts = dense_ids(daily, ["date", "station_code", "pollutant_code"], "measurement_id")
-    facts = lookup_id(facts, station, "station_code", "station_id")
-    facts = lookup_id(facts, pollutant, "pollutant_code", "pollutant_id")
+    facts = lookup_id(facts, dimension(station), "station_code", "station_id")
+    facts = lookup_id(facts, dimension(pollutant), "pollutant_code", "pollutant_id")
     return conform(facts, schemas.DAILY_MEASUREMENT)
 
 

@@ -18,7 +18,7 @@ import __spark_entry__ as contract
 from oracle import connect, differences
 from sensorloom import schemas, settings
 from sensorloom.catalog import ORACLES, QUERIES
-from sensorloom.operators import keys, nested
+from sensorloom.operators import joins, keys, nested
 from sensorloom.plans import analysis, dataset, forecast, reads, star
 from sensorloom.session import scratch_path
 
@@ -251,6 +251,25 @@ def test_forecast_pipeline(spark, daily_series):
     assert forecast.score(path, rows).filter("forecast is null").count() == 0
 
 
+def test_codes_are_looked_up_where_the_facts_are(spark, monkeypatch):
+    daily = spark.createDataFrame([(dt.date(2024, 1, d), s, "N", 1.0, 2.0, 24) for d in (2, 1) for s in ("B", "A")], "date date, station_code string, pollutant_code string, mean double, max double, n_hours bigint")
+    station = spark.createDataFrame([(1, "A"), (2, "B")], "station_id int, station_code string")
+    pollutant = spark.createDataFrame([(1, "N")], "pollutant_id int, pollutant_code string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = star.fact_rows(daily, station, pollutant)
+        assert "SortMergeJoin" not in facts._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r)[:4] for r in facts.select("measurement_id", "date", "station_id", "pollutant_id").orderBy("measurement_id").collect()] == [
+            (n + 1, dt.date(2024, 1, 1 + n // 2), 1 + n % 2, 1) for n in range(4)
+        ]
+        # A table that is too large for that is joined by size.
+        plan = daily.join(joins.dimension(station, rows=1), "station_code")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_forest_is_fitted_in_parts(spark, monkeypatch):
     monkeypatch.setattr(forecast, "PART_TREES", 4)
     rows = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 7 + i % 3)) for i in range(80)], "id int, a double, b double, target double")
