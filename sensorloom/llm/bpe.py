@@ -63,9 +63,9 @@ def stand_ins(characters: set[str]) -> dict[int, str]:
 
 def cut(text: str, pattern: regex.Pattern) -> list[str]:
     """The pre-tokens of a text; rare characters are cut by their class in the library's own Unicode."""
-    rare = set(RARE.findall(text))
-    if not rare:
+    if text.isascii() or not RARE.search(text):
         return pattern.findall(text)
+    rare = set(RARE.findall(text))
     pieces, at = [], 0
     for piece in pattern.findall(text.translate(stand_ins(rare))):
         pieces.append(text[at : at + len(piece)])
@@ -84,6 +84,12 @@ def token_bytes(path: str) -> list[bytes]:
     return table
 
 
+@lru_cache(maxsize=2)
+def id_names(path: str) -> list[bytes]:
+    """The decimal text of every id."""
+    return [str(i).encode() for i in range(len(token_bytes(path)))]
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids: the ids of every text as packed 32-bit integers (`unpack_ids`)."""
 
@@ -99,7 +105,8 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id"
     """key, n_tokens, ids_sha256, decoded_sha256: encoded, decoded again, and digested."""
 
     def result(keys, ids, decoded):
-        listed = [" ".join(map(str, one.tolist())).encode() for one in ids]
+        names = id_names(path)
+        listed = [b" ".join(map(names.__getitem__, one.tolist())) for one in ids]
         return {
             "key": keys,
             "n_tokens": [len(one) for one in ids],
@@ -141,11 +148,11 @@ def _encoded(docs: DataFrame, path: str, pattern: str, key: str, text: str, resu
         ids, decoded = [], []
         for packed in kept:
             places = words.unpack_indices(packed)
-            one = np.frombuffer(b"".join([answers[i] for i in places.tolist()]), "<u4")
+            one = np.frombuffer(b"".join(map(answers.__getitem__, places.tolist())), "<u4")
             if len(one) != int(lengths[places].sum()):
                 raise ValueError("ids are missing for a pre-token")
             ids.append(one)
-            decoded.append(b"".join([table[i] for i in one.tolist()]))
+            decoded.append(b"".join(map(table.__getitem__, one.tolist())))
         return pd.DataFrame(result(keys, ids, decoded))
 
     stored = words.blocks(docs, key, text, lambda one: cut(one, compiled), words.pack_indices, lambda _: 0)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -74,6 +75,13 @@ def unpack_indices(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
+def _numbered() -> dict[str, int]:
+    """Pre-tokens that are numbered as they are first asked for."""
+    known: defaultdict[str, int] = defaultdict()
+    known.default_factory = known.__len__
+    return known
+
+
 def _block(number: int, keys: list, vocabulary: dict, kept: list[bytes], extra: list[int], dealt: int) -> dict:
     """A row: the documents with their packed indices, the pre-tokens sorted into shares by their hash."""
     words = [word.encode() for word in vocabulary]
@@ -109,7 +117,7 @@ def blocks(docs: DataFrame, key: str, text: str, cut: Cut, keep: Keep, extra: Ca
 
     def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        vocabulary, keys, kept, numbers, chars = {}, [], [], [], 0
+        vocabulary, keys, kept, numbers, chars = _numbered(), [], [], [], 0
 
         def flush():
             row = _block(number, keys, vocabulary, kept, numbers, dealt)
@@ -119,7 +127,7 @@ def blocks(docs: DataFrame, key: str, text: str, cut: Cut, keep: Keep, extra: Ca
             for at in range(batch.num_rows):
                 one = batch.column("text")[at].as_py()
                 pieces = cut(one)
-                indices = np.fromiter((vocabulary.setdefault(p, len(vocabulary)) for p in pieces), dtype=np.uint32, count=len(pieces))
+                indices = np.fromiter(map(vocabulary.__getitem__, pieces), dtype=np.uint32, count=len(pieces))
                 keys.append(batch.column("key")[at].as_py())
                 kept.append(keep(indices))
                 numbers.append(extra(one))
@@ -127,7 +135,7 @@ def blocks(docs: DataFrame, key: str, text: str, cut: Cut, keep: Keep, extra: Ca
                 if chars >= size:
                     yield flush()
                     number += 1
-                    vocabulary, keys, kept, numbers, chars = {}, [], [], [], 0
+                    vocabulary, keys, kept, numbers, chars = _numbered(), [], [], [], 0
         if keys:
             yield flush()
 

@@ -7,6 +7,7 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -79,3 +80,13 @@ def test_odd_rows_and_no_rows(odd, none):
 def test_packing():
     values = [b"", b"abc", b"\x00" * 10]
     assert words.cut_bytes(words.join_bytes(values)) == values and words.cut_bytes(words.join_bytes([])) == []
+
+
+def test_numbers_and_names_of_ids(tmp_path):
+    known = words._numbered()
+    assert [known[p] for p in ("b", "a", "b", "c")] == [0, 1, 0, 2] and list(known) == ["b", "a", "c"]
+    path = tmp_path / "ranks"
+    path.write_bytes(b"YQ== 0\nYg== 2\n")
+    assert bpe.id_names(str(path)) == [b"0", b"1", b"2"]
+    # Texts without a rare character are cut as they are.
+    assert bpe.cut("né 12 ok", regex.compile(r"\p{L}+|\p{N}+|\s")) == ["né", " ", "12", " ", "ok"]
