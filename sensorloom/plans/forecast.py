@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import deque
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 from typing import NamedTuple
@@ -48,8 +49,9 @@ TARGET = "target"
 
 # Trees of a forest that are fitted together. A forest's parts are independent, so they run side by side.
 PART_TREES = 25
-# Parts that are fitted side by side on fewer cores; each holds a group of nodes of up to 256 MB a task.
+# Parts that are fitted side by side on few cores, and per core on more; a task holds a group of nodes of up to 256 MB.
 FITS_AT_ONCE = 6
+FITS_PER_CORE = 2
 
 
 def feature_rows(
@@ -144,7 +146,11 @@ class Point(NamedTuple):
 def fit_part(
     train: DataFrame, point: Point, trees: int, seed: int = settings.SEED, forecast: str = "forecast"
 ):
-    """Some trees of a forest, with bootstrap samples and features drawn by the seed."""
+    """Some trees of a forest, with bootstrap samples and features drawn by the seed.
+
+    The node of every row is kept between levels. Otherwise all trees so far, as objects of the driver, go to the tasks
+    of every level through the scheduler's one thread, which the fits side by side then wait for. The trees are the same.
+    """
     return RandomForestRegressor(
         featuresCol="features",
         labelCol=TARGET,
@@ -154,44 +160,57 @@ def fit_part(
         minInstancesPerNode=point.min_leaf,
         featureSubsetStrategy="all" if point.max_features >= 1.0 else str(point.max_features),
         maxBins=128,
+        cacheNodeIds=True,
         seed=seed,
     ).fit(train)
 
 
-def fit_forests(
+def each_forest(
     train: DataFrame,
     points: Sequence[Point],
     trees: int = settings.TREES,
     seed: int = settings.SEED,
     at_once: int | None = None,
-) -> list[PipelineModel]:
-    """A forest per point, all from the same rows.
+) -> Iterator[tuple[Point, PipelineModel]]:
+    """A forest per distinct point, all from the same rows, one after another as they are done.
 
     A level of a small table is one task, so that a forest as a whole would keep one core busy for as long as all its
     trees take. Its trees are independent: parts of PART_TREES trees, each with a seed of its own, are jobs side by
     side, those of the deepest trees first, and the forecast is the mean over the trees of all parts. The parts follow from
-    the number of trees, not from the cluster, and all forests draw the same samples.
+    the number of trees, not from the cluster, and all forests draw the same samples. Between two levels a part waits
+    for the driver, so there are more parts side by side than cores; a core still works on one of them at a time.
     """
     spark = train.sparkSession
     sizes = [min(PART_TREES, trees - first) for first in range(0, trees, PART_TREES)]
     names = [f"_forecast_{i}" for i in range(len(sizes))]
 
-    def fitted(task):
-        point, i = task
+    def fitted(point, i):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"forest-{points.index(point)}-{i}")
         return fit_part(train, point, sizes[i], seed + i, names[i])
 
-    def cost(task):
-        point, _ = task
+    def cost(point):
         return point.max_depth is not None, -(point.max_depth or 0), point.min_leaf, -point.max_features
 
-    tasks = sorted(((point, i) for point in points for i in range(len(sizes))), key=cost)
-    at_once = at_once or max(FITS_AT_ONCE, spark.sparkContext.defaultParallelism)
-    with ThreadPoolExecutor(min(at_once, len(tasks))) as pool:
-        parts = dict(zip(tasks, pool.map(inheritable_thread_target(spark)(fitted), tasks)))
     total = " + ".join(f"{size} * {name}" for size, name in zip(sizes, names))
     mean = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}), ({total}) / {trees} AS forecast FROM __THIS__")
-    return [PipelineModel(stages=[*[parts[point, i] for i in range(len(sizes))], mean]) for point in points]
+    at_once = at_once or max(FITS_AT_ONCE, FITS_PER_CORE * spark.sparkContext.defaultParallelism)
+    fit = inheritable_thread_target(spark)(fitted)
+    with ThreadPoolExecutor(min(at_once, len(points) * len(sizes))) as pool:
+        waiting = deque((point, [pool.submit(fit, point, i) for i in range(len(sizes))]) for point in sorted(set(points), key=cost))
+        try:
+            while waiting:
+                # Nothing here keeps a forest that was handed out.
+                point, parts = waiting.popleft()
+                yield point, PipelineModel(stages=[*[part.result() for part in parts], mean])
+                del parts
+        finally:
+            pool.shutdown(wait=True, cancel_futures=True)
+
+
+def fit_forests(train: DataFrame, points: Sequence[Point], trees: int = settings.TREES, **options) -> list[PipelineModel]:
+    """A forest per point, see `each_forest`."""
+    found = dict(each_forest(train, points, trees, **options))
+    return [found[point] for point in points]
 
 
 def fit_forest(
@@ -203,7 +222,7 @@ def fit_forest(
     seed: int = settings.SEED,
 ) -> PipelineModel:
     """A random forest; an unlimited depth is MLlib's greatest, 30."""
-    return fit_forests(train, [Point(max_depth, min_leaf, max_features)], trees, seed)[0]
+    return fit_forests(train, [Point(max_depth, min_leaf, max_features)], trees, seed=seed)[0]
 
 
 class Tuned(NamedTuple):
@@ -225,23 +244,25 @@ def tune(
 ) -> Tuned:
     """Fit every combination and measure it on a fixed later year.
 
-    Both sets are stored first. The fits are jobs side by side (see `fit_forests`), each in a scheduler pool of its
-    own; ties go to an unlimited depth first, then to the smaller combination.
+    Both sets are stored first. The fits are jobs side by side (see `each_forest`), each in a scheduler pool of its
+    own. A forest is measured while others are fitted, and only the best so far is kept. Ties go to an unlimited depth
+    first, then to the smaller combination.
     """
-    spark = train.sparkSession
     train, valid = stored(train, "train"), stored(valid, "validation")
     points = [Point(*point) for point in product(depths, leaves, shares)]
-    models = fit_forests(train, points, at_once=at_once, **options)
+    errors, best = {}, None
 
-    def measured(model):
-        return model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
+    def rank(point):
+        return errors[point] is None, errors[point] or 0.0, point.max_depth is not None, point
 
-    with ThreadPoolExecutor(min(FITS_AT_ONCE, len(points))) as pool:
-        errors = list(pool.map(inheritable_thread_target(spark)(measured), models))
-    order = sorted(range(len(points)), key=lambda n: (errors[n] is None, errors[n] or 0.0, points[n].max_depth is not None, points[n]))
+    for point, model in each_forest(train, points, at_once=at_once, **options):
+        errors[point] = model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
+        if best is None or rank(point) < rank(best[0]):
+            best = point, model
+        del model
     layout = "max_depth int, min_samples_leaf int, max_features double, valid_MAE double"
-    found = [(*points[n], errors[n]) for n in order]
-    return Tuned(spark.createDataFrame(found, layout), points[order[0]]._asdict(), models[order[0]])
+    found = [(*point, errors[point]) for point in sorted(points, key=rank)]
+    return Tuned(train.sparkSession.createDataFrame(found, layout), best[0]._asdict(), best[1])
 
 
 def grid_search(train: DataFrame, valid: DataFrame, **options) -> DataFrame:

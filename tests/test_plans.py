@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import gc
 import json
 import math
 import os
 import random
 import subprocess
 import sys
+import threading
+import weakref
 
 import duckdb
 import pytest
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -287,6 +291,43 @@ def test_forest_is_fitted_in_parts(spark, monkeypatch):
     assert [t.toDebugString for t in first.trees] != [t.toDebugString for t in second.trees]
 
 
+def test_trees_do_not_go_to_the_tasks_and_are_the_same(spark):
+    rows = spark.createDataFrame([(i, float(i % 7), float(i * 13 % 50), float(i % 7 + i % 3)) for i in range(200)], "id int, a double, b double, target double")
+    vectors = forecast.assembled(rows, ["a", "b"])
+    model = forecast.fit_part(vectors, forecast.Point(), 5)
+    assert model.getCacheNodeIds()
+    plain = RandomForestRegressor(
+        featuresCol="features", labelCol="target", numTrees=5, maxDepth=30, maxBins=128, featureSubsetStrategy="all", seed=settings.SEED
+    ).fit(vectors)
+    assert [t.toDebugString.split("\n", 1)[1] for t in model.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
+
+
+def test_a_forest_is_measured_while_others_are_fitted_and_not_kept(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 7 + i % 3)) for i in range(80)], "id int, a double, b double, target double")
+    vectors = forecast.assembled(rows, ["a", "b"])
+    gate, fit = threading.Event(), forecast.fit_part
+
+    def held(train, point, *rest):
+        if point.max_depth == 1:
+            assert gate.wait(60)
+        return fit(train, point, *rest)
+
+    monkeypatch.setattr(forecast, "fit_part", held)
+    forests = forecast.each_forest(vectors, [forecast.Point(1), forecast.Point(3)], trees=3, at_once=2)
+    point, model = next(forests)
+    assert point == forecast.Point(3) and model.transform(vectors).filter("forecast IS NULL").count() == 0
+    kept = weakref.ref(model)
+    del model
+    gate.set()
+    assert next(forests)[0] == forecast.Point(1)
+    gc.collect()
+    assert kept() is None and list(forests) == []
+    # The best of the grid is the first of the table, and its forest is the one that comes back.
+    tuned = forecast.tune(vectors, vectors, [1, 3], [1], [1.0], trees=3)
+    error = tuned.model.transform(vectors).agg(F.avg(F.abs(F.col("target") - F.col("forecast")))).first()[0]
+    assert tuned.best["max_depth"] == 3 == tuned.grid.first().max_depth and tuned.grid.first().valid_MAE == pytest.approx(error)
+
+
 def test_importance_permutes_within_repeats(spark):
     rows = spark.createDataFrame([(i, float(i % 7), float(i)) for i in range(60)], "id int, a double, target double")
     vectors = forecast.assembled(rows.withColumn("b", F.col("target")), ["a", "b"])
