@@ -11,6 +11,7 @@ The blocks are a table bucketed by block number: the answers are brought to it,
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 from collections import defaultdict
@@ -76,10 +77,11 @@ def unpack_indices(packed: bytes) -> np.ndarray:
 
 
 def _numbered() -> dict[str, int]:
-    """Pre-tokens that are numbered as they are first asked for."""
-    known: defaultdict[str, int] = defaultdict()
-    known.default_factory = known.__len__
-    return known
+    """Pre-tokens that are numbered as they are first asked for.
+
+    Nothing in it refers to it, so that its memory is free with the block and does not wait for the cycle collector.
+    """
+    return defaultdict(itertools.count().__next__)
 
 
 def _block(number: int, keys: list, vocabulary: dict, kept: list[bytes], extra: list[int], dealt: int) -> dict:
@@ -87,7 +89,8 @@ def _block(number: int, keys: list, vocabulary: dict, kept: list[bytes], extra:
     words = [word.encode() for word in vocabulary]
     share = np.fromiter((zlib.crc32(word) % dealt for word in words), dtype=np.int64, count=len(words))
     # Sorted inside a share, which compresses best.
-    order = np.array(sorted(range(len(words)), key=lambda i: (share[i], words[i])), dtype=np.int64)
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+    order = order[np.argsort(share[order], kind="stable")]
     bounds = np.searchsorted(share[order], np.arange(dealt + 1))
     packs = []
     for number_of_share in range(dealt):
@@ -133,9 +136,11 @@ def blocks(docs: DataFrame, key: str, text: str, cut: Cut, keep: Keep, extra: Ca
                 numbers.append(extra(one))
                 chars += len(one)
                 if chars >= size:
-                    yield flush()
+                    done = flush()
                     number += 1
                     vocabulary, keys, kept, numbers, chars = _numbered(), [], [], [], 0
+                    yield done
+                    del done
         if keys:
             yield flush()
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
+import weakref
+import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -82,6 +86,33 @@ def test_packing():
     assert words.cut_bytes(words.join_bytes(values)) == values and words.cut_bytes(words.join_bytes([])) == []
 
 
+def test_a_block_frees_its_pre_tokens():
+    class Piece(str):
+        """A string that can be watched."""
+
+    piece = Piece("a")
+    seen, known = weakref.ref(piece), words._numbered()
+    gc.disable()
+    try:
+        assert known[piece] == 0
+        del piece, known
+        assert seen() is None
+    finally:
+        gc.enable()
+
+
+def test_pre_tokens_of_a_block_are_ordered_by_share_and_word():
+    known = words._numbered()
+    asked = [f"{n * 37 % 101}é" for n in range(300)]
+    indices = [known[one] for one in asked]
+    block = words._block(5, [1], known, [b""], [0], 4)
+    order = np.frombuffer(words.decompress(block["order"]), "<u4").tolist()
+    dealt = [(pack["share"], word) for pack in block["packs"] for word in words.cut_bytes(pack["words"])]
+    assert dealt == sorted({(zlib.crc32(one.encode()) % 4, one.encode()) for one in asked})
+    back = dict(zip(order, (word.decode() for _, word in dealt)))
+    assert [back[i] for i in indices] == asked
+
+
 def test_numbers_and_names_of_ids(tmp_path):
     known = words._numbered()
     assert [known[p] for p in ("b", "a", "b", "c")] == [0, 1, 0, 2] and list(known) == ["b", "a", "c"]
