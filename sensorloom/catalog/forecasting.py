@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,10 +222,16 @@ def study(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         folder = scratch_path(spark, "study")
         series = proxies.stored_table(spark, sf_dir, "series", series_rows)
         found = forecast.run(series, YEARS, guideline=GUIDELINE, thresholds=THRESHOLDS, value="a", companion="n", peak="r_max")
-        for part, table in found.items():
-            if isinstance(table, DataFrame):
-                table.write.parquet(f"{folder}/{part}")
-        forecast.save_model(found["model"], f"{folder}/model")
+
+        def keep(part):
+            if part == "model":
+                forecast.save_model(found[part], f"{folder}/{part}")
+            elif isinstance(found[part], DataFrame):
+                found[part].write.parquet(f"{folder}/{part}")
+
+        # Small tables of many short jobs, which keep few cores busy one after another.
+        with ThreadPoolExecutor(len(found)) as pool:
+            list(pool.map(inheritable_thread_target(spark)(keep), found))
         return folder
 
     folder = proxies.stored_folder(spark, sf_dir, "study", write)

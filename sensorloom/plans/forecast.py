@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import product
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -21,7 +24,7 @@ from sensorloom.functions.numeric import either_flag, portable_round
 from sensorloom.operators import filters, scoring, timeseries
 from sensorloom.operators.keys import dense_ids
 from sensorloom.operators.reshape import concatenate
-from sensorloom.session import stored
+from sensorloom.session import scratch_path, stored
 
 # The names of the features, in the order of the published table.
 NEXT_DAY_WEATHER = {
@@ -142,6 +145,9 @@ class Point(NamedTuple):
     min_leaf: int = 1
     max_features: float = 1.0
 
+    def depth(self) -> int:
+        return 30 if self.max_depth is None else self.max_depth
+
 
 def fit_part(
     train: DataFrame, point: Point, trees: int, seed: int = settings.SEED, forecast: str = "forecast"
@@ -156,7 +162,7 @@ def fit_part(
         labelCol=TARGET,
         predictionCol=forecast,
         numTrees=trees,
-        maxDepth=30 if point.max_depth is None else point.max_depth,
+        maxDepth=point.depth(),
         minInstancesPerNode=point.min_leaf,
         featureSubsetStrategy="all" if point.max_features >= 1.0 else str(point.max_features),
         maxBins=128,
@@ -225,6 +231,74 @@ def fit_forest(
     return fit_forests(train, [Point(max_depth, min_leaf, max_features)], trees, seed=seed)[0]
 
 
+def leaf_values(nodes: pd.DataFrame, depths: Sequence[int]) -> pd.DataFrame:
+    """What each leaf of one tree, whose nodes are numbered from the root to the left, says where the tree is cut off at a depth."""
+    nodes = nodes.sort_values("id", ignore_index=True)
+    left, right, own = (nodes[name].to_numpy() for name in ("left", "right", "prediction"))
+    said = np.repeat(own[:, None], len(depths), axis=1)
+    above, level = np.zeros(1, int), 0
+    while (above := above[left[above] >= 0]).size:
+        level += 1
+        for below in (left[above], right[above]):
+            said[below] = np.where(level <= np.array(depths), said[below], said[above])
+        above = np.concatenate([left[above], right[above]])
+    said = said[left < 0]
+    part, tree = nodes.loc[0, ["part", "tree"]].astype(int)
+    return pd.DataFrame({"part": part, "tree": tree, "leaf": np.arange(len(said)), "said": list(said)})
+
+
+def errors_by_depth(model: PipelineModel, valid: DataFrame, depths: Sequence[int]) -> list[float | None]:
+    """The mean absolute error of a forest from `each_forest`, cut off at each depth.
+
+    A row's leaf of a tree follows from the model; what the node above it at a depth says, from the nodes as the model is
+    saved. Trees and parts are added up in their order, as the model does, and rows in theirs, so that equal forests tie.
+    """
+    spark, (*parts, _) = valid.sparkSession, model.stages
+    folder = scratch_path(spark, "forest")
+
+    def save(i):
+        parts[i].write().save(f"{folder}/{i}")
+
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(save), range(len(parts))))
+    sizes = [part.getNumTrees for part in parts]
+    nodes = reduce(
+        DataFrame.unionByName,
+        [
+            spark.read.parquet(f"{folder}/{i}/data").select(
+                F.lit(i).alias("part"),
+                (F.col("treeID") + sum(sizes[:i])).alias("tree"),
+                "nodeData.id",
+                "nodeData.prediction",
+                F.col("nodeData.leftChild").alias("left"),
+                F.col("nodeData.rightChild").alias("right"),
+            )
+            for i in range(len(parts))
+        ],
+    )
+    leaves = nodes.groupBy("part", "tree").applyInPandas(
+        lambda tree: leaf_values(tree, depths), "part int, tree int, leaf int, said array<double>"
+    )
+    names = [f"_leaf_{i}" for i in range(len(parts))]
+    numbered = valid.select(F.monotonically_increasing_id().alias("row"), TARGET, "features")
+    found = PipelineModel(stages=[part.copy({part.leafCol: name}) for part, name in zip(parts, names)]).transform(numbered)
+    reached = found.select(
+        "row",
+        TARGET,
+        F.posexplode(F.flatten(F.array(*[vector_to_array(name) for name in names]))).alias("tree", "leaf"),
+    ).withColumn("leaf", F.col("leaf").cast("int"))
+    # The leaves go to the rows, as the model does; a row's trees are added up before anything is shuffled.
+    sums = F.array(*[F.sum(F.col("said")[d]) for d in range(len(depths))])
+    by_part = reached.join(F.broadcast(leaves), ["tree", "leaf"]).groupBy("row", TARGET, "part").agg(sums.alias("sums"))
+    by_row = by_part.groupBy("row", TARGET).agg(F.sort_array(F.collect_list(F.struct("part", "sums"))).alias("parts")).orderBy("row")
+
+    def forecast(d):
+        means = [size * (F.col("parts")[i]["sums"][d] / size) for i, size in enumerate(sizes)]
+        return reduce(Column.__add__, means) / sum(sizes)
+
+    return list(by_row.agg(*[F.avg(F.abs(F.col(TARGET) - forecast(d))) for d in range(len(depths))]).first())
+
+
 class Tuned(NamedTuple):
     """The grid, best first, its best point and the forest that was fitted there."""
 
@@ -242,24 +316,41 @@ def tune(
     at_once: int | None = None,
     **options,
 ) -> Tuned:
-    """Fit every combination and measure it on a fixed later year.
-
-    Both sets are stored first. The fits are jobs side by side (see `each_forest`), each in a scheduler pool of its
-    own. A forest is measured while others are fitted, and only the best so far is kept. Ties go to an unlimited depth
-    first, then to the smaller combination.
+    """Measure the forest of every combination on a fixed later year.
+
+    Both sets are stored first. A forest is grown level by level, and no level asks for the greatest depth; so the forests
+    of points that differ in depth only are the deepest of them, cut off, and just that one is fitted. (With a share of
+    the features the draws are the same as long as a level fits in a group of nodes; otherwise they are others of the kind.)
+    The fits are jobs side by side (see `each_forest`), each in a scheduler pool of its own. A forest is measured while
+    others are fitted, and only the best so far is kept. The best point's own forest is fitted and measured itself.
+    Ties go to an unlimited depth first, then to the smaller combination.
     """
     train, valid = stored(train, "train"), stored(valid, "validation")
     points = [Point(*point) for point in product(depths, leaves, shares)]
-    errors, best = {}, None
+    kin = {point: sorted({p for p in points if p[1:] == point[1:]}, key=Point.depth) for point in points}
+    deepest = [point for point in dict.fromkeys(points) if kin[point][-1] == point]
+    errors, fitted, best = {}, set(), None
 
     def rank(point):
         return errors[point] is None, errors[point] or 0.0, point.max_depth is not None, point
 
-    for point, model in each_forest(train, points, at_once=at_once, **options):
-        errors[point] = model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
+    def measure(point, model):
+        nonlocal best
+        fitted.add(point)
+        if errors.get(point) is None or len(kin[point]) == 1:
+            errors[point] = model.transform(valid).agg(F.avg(F.abs(F.col(TARGET) - F.col("forecast")))).first()[0]
         if best is None or rank(point) < rank(best[0]):
             best = point, model
+
+    for point, model in each_forest(train, deepest, at_once=at_once, **options):
+        if len(kin[point]) > 1:
+            errors.update(zip(kin[point], errors_by_depth(model, valid, [p.depth() for p in kin[point]])))
+        measure(point, model)
         del model
+    while (first := min(errors, key=rank)) not in fitted:
+        del errors[first]
+        for point, model in each_forest(train, [first], at_once=at_once, **options):
+            measure(point, model)
     layout = "max_depth int, min_samples_leaf int, max_features double, valid_MAE double"
     found = [(*point, errors[point]) for point in sorted(points, key=rank)]
     return Tuned(train.sparkSession.createDataFrame(found, layout), best[0]._asdict(), best[1])

@@ -328,6 +328,39 @@ def test_a_forest_is_measured_while_others_are_fitted_and_not_kept(spark, monkey
     assert tuned.best["max_depth"] == 3 == tuned.grid.first().max_depth and tuned.grid.first().valid_MAE == pytest.approx(error)
 
 
+def test_points_that_differ_in_depth_only_are_one_fit(spark, monkeypatch):
+    monkeypatch.setattr(forecast, "PART_TREES", 3)
+    rows = spark.createDataFrame(
+        [(i, float(i * 7 % 31), float(i * 13 % 50), float(i * i % 23 + i % 7)) for i in range(240)], "id int, a double, b double, target double"
+    )
+    vectors = forecast.assembled(rows, ["a", "b"])
+    train, valid = (vectors.filter(f"id % 3 {rest}").coalesce(1) for rest in ("> 0", "= 0"))
+    fitted, fit = [], forecast.fit_part
+
+    def counted(train, point, *rest):
+        fitted.append(point)
+        return fit(train, point, *rest)
+
+    monkeypatch.setattr(forecast, "fit_part", counted)
+    depths, leaves, shares = [None, 2, 4], [1, 4], [1.0, 0.5]
+    tuned = forecast.tune(train, valid, depths, leaves, shares, trees=5)
+    best = forecast.Point(**tuned.best)
+    # Of the points with one leaf size and share, parts of 3 and 2 trees of one forest; the best has its own.
+    deep = {point for point in fitted if point.max_depth is None}
+    assert {point[1:] for point in deep} == {(1, 1.0), (1, 0.5), (4, 1.0), (4, 0.5)}
+    assert len(fitted) <= 2 * (4 + 2) and set(fitted) - deep <= {best}
+    # Every point's error is that of the forest fitted there.
+    grid = [tuple(r) for r in tuned.grid.collect()]
+    assert len(grid) == 12 and len({error for *_, error in grid}) > 8
+    points = [forecast.Point(*point) for *point, _ in grid]
+    for (*_, error), model in zip(grid, forecast.fit_forests(train, points, trees=5)):
+        found = model.transform(valid).agg(F.avg(F.abs(F.col("target") - F.col("forecast")))).first()[0]
+        assert error == pytest.approx(found, abs=1e-12)
+    assert min(error for *_, error in grid) == pytest.approx(
+        tuned.model.transform(valid).agg(F.avg(F.abs(F.col("target") - F.col("forecast")))).first()[0]
+    )
+
+
 def test_importance_permutes_within_repeats(spark):
     rows = spark.createDataFrame([(i, float(i % 7), float(i)) for i in range(60)], "id int, a double, target double")
     vectors = forecast.assembled(rows.withColumn("b", F.col("target")), ["a", "b"])
