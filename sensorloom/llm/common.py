@@ -19,6 +19,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of counted rows up to which a side of a join goes to every task.
+SENT_BYTES = 8 << 20
+
+
+def sent(df: DataFrame, rows: int, width: int = 64) -> DataFrame:
+    """A side of a join, at most so many rows of about so many bytes: it goes to every task, or both sides are sorted.
+
+    To the planner a stored table is as large as its compressed files and an exploded row is one row. It would
+    bring rows to the driver, to send them to every task, that take many times more memory than that.
+    """
+    return F.broadcast(df) if rows * width <= SENT_BYTES else df.hint("merge")
+
+
+def joined(left: DataFrame, right: DataFrame, on: str, rows: tuple[int, int], widths: tuple[int, int] = (64, 64)) -> DataFrame:
+    """The inner join of two counted sides; the smaller one says how."""
+    if rows[0] * widths[0] < rows[1] * widths[1]:
+        return sent(left, rows[0], widths[0]).join(right, on)
+    return left.join(sent(right, rows[1], widths[1]), on)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, the empty string where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import written
+from sensorloom.llm.common import sent, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -17,7 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Large-star and small-star steps in turn: each node's neighbours are linked to the least of them, until
     only stars are left. Every step groups and joins by node, from tables in the shared folder; only a
-    count and a checksum come to the driver. Links of a node to itself and NULL ends say nothing.
+    count and a checksum come to the driver. Links of a node to itself and NULL ends say nothing. Stars
+    compress to a byte or two a row, so that the least neighbours are counted before they go to every task.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     edges = written(edges, "edges")
@@ -25,10 +26,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(sent(least, least.count()), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large-star")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        met = large.join(least, "u")
+        met = large.join(sent(least, least.count()), "u")
         small = met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(least.select("u", F.col("m").alias("v")).unionAll(small).distinct(), "small-star")
         last, state = state, _state(edges)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.llm.common import written
+from sensorloom.llm.common import joined, sent, written
 from sensorloom.llm.components import components
 
 #: Vectors that the rotation is learned on, by a hash of the vector: the bound of the sample.
@@ -43,16 +43,23 @@ RECALL = 0.97
 #: What shuffling a row costs beside meeting one.
 SHUFFLED = 3
 SEED = 7
+#: Bytes of the sample that are copied at a time.
+BLOCK_BYTES = 32 << 20
+
+
+def _blocks(sample: np.ndarray) -> Iterator[np.ndarray]:
+    """Views of some rows at a time."""
+    rows = max(1, BLOCK_BYTES // (8 * sample.shape[1]))
+    return (sample[start : start + rows] for start in range(0, len(sample), rows))
 
 
 def learn_rotation(sample: np.ndarray, bits: int = BITS, centre: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection) of iterative quantisation on unit vectors; without `centre` the mean is taken as zero."""
     mean = sample.mean(axis=0) if centre else np.zeros(sample.shape[1])
-    centred = sample - mean
     bits = min(bits, sample.shape[1])
-    _, directions = np.linalg.eigh(centred.T @ centred)
+    _, directions = np.linalg.eigh(sum((some - mean).T @ (some - mean) for some in _blocks(sample)))
     principal = directions[:, ::-1][:, :bits]
-    projected = centred @ principal
+    projected = np.concatenate([(some - mean) @ principal for some in _blocks(sample)])
     rotation = np.linalg.qr(np.random.default_rng(SEED).normal(size=(bits, bits)))[0]
     for _ in range(ROUNDS):
         codes = np.where(projected @ rotation >= 0, 1.0, -1.0)
@@ -67,15 +74,18 @@ def flip_rate(sample: np.ndarray, mean: np.ndarray, projection: np.ndarray, thre
     From the widest angle around the mean that such a pair can have, which is where both are as near to it as any
     vector of the sample; no less than measured on the sample with a partner at the threshold for each vector.
     """
-    centred = sample - mean
-    nearest = (centred * centred).sum(axis=1).min()
+    random, nearest, differing = np.random.default_rng(SEED), math.inf, 0
+    for some in _blocks(sample):
+        centred = some - mean
+        nearest = min(nearest, (centred * centred).sum(axis=1).min())
+        aside = random.normal(size=some.shape)
+        aside -= (aside * some).sum(axis=1, keepdims=True) * some
+        aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-300)
+        partners = threshold * some + math.sqrt(max(0.0, 1 - threshold**2)) * aside - mean
+        differing += int(((centred @ projection >= 0) != (partners @ projection >= 0)).sum())
     cosine = 1 - (1 - threshold) / nearest if nearest > 0 else -1.0
-    aside = np.random.default_rng(SEED).normal(size=sample.shape)
-    aside -= (aside * sample).sum(axis=1, keepdims=True) * sample
-    aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-300)
-    partners = threshold * sample + math.sqrt(max(0.0, 1 - threshold**2)) * aside - mean
-    measured = ((centred @ projection >= 0) != (partners @ projection >= 0)).mean()
-    return max(math.acos(min(1.0, max(-1.0, cosine))) / math.pi, float(measured))
+    measured = differing / (len(sample) * projection.shape[1])
+    return max(math.acos(min(1.0, max(-1.0, cosine))) / math.pi, measured)
 
 
 def tables_for(rows: int, bits: int, flip: float, alike: float = 0.5) -> tuple[float, int, int, int]:
@@ -108,7 +118,7 @@ def plan(sample: np.ndarray, largest: int, threshold: float) -> tuple[tuple[np.n
     for centre in (True, False):
         mean, projection = learn_rotation(sample, centre=centre)
         flip = flip_rate(sample, mean, projection, threshold)
-        positive = ((sample - mean) @ projection >= 0).mean(axis=0)
+        positive = sum(((some - mean) @ projection >= 0).sum(axis=0) for some in _blocks(sample)) / len(sample)
         alike = float((positive**2 + (1 - positive) ** 2).mean())
         cost, *tables = tables_for(largest, projection.shape[1], flip, alike)
         found.append((cost, (mean, projection), flip, tuple(tables)))
@@ -174,7 +184,8 @@ def candidates(coded: DataFrame, bits: int, flip: float, tables: int, width: int
         "label", "size", "slot", F.col("sub").bitwiseXOR(F.col("flip")).alias("sub"), F.col("number").alias("a"), F.col("code").alias("code_a")
     )
     index = tabled.withColumnsRenamed({"number": "b", "code": "code_b"})
-    met = probes.join(index, ["label", "size", "slot", "sub"]).filter("a < b")
+    # Entries and probes are many times the codes that they are made of, which is all that the planner would see.
+    met = probes.join(index.hint("merge"), ["label", "size", "slot", "sub"]).filter("a < b")
     met = met.filter(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= furthest(bits, flip))
     # A pair that several tables find counts in the first of them.
     earlier = F.lit(False)
@@ -183,38 +194,55 @@ def candidates(coded: DataFrame, bits: int, flip: float, tables: int, width: int
     return met.filter(~earlier).select("a", "b")
 
 
+def _collected(vectors: DataFrame, length: int) -> np.ndarray:
+    """Vectors of that length as the rows of one array that may be written to; they come as packed numbers."""
+    column = vectors.toArrow().column(0)
+    rows = np.empty((len(column), length))
+    start = 0
+    for chunk in column.chunks:
+        rows[start : start + len(chunk)] = chunk.flatten().to_numpy().reshape(-1, length)
+        start += len(chunk)
+    return rows
+
+
 def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """key, n_links, component_id, kept for every row."""
     found = written(classes(vectors, key, vector, label), "vector-classes")
     found = written(found.withColumn("number", F.monotonically_increasing_id()), "vector-numbers")
     groups = found.groupBy("label", F.size("vector").alias("size")).count()
-    largest_groups = {r.size: r.largest for r in groups.groupBy("size").agg(F.max("count").alias("largest")).collect()}
+    sizes = groups.groupBy("size").agg(F.max("count").alias("largest"), F.sum("count").alias("all")).collect()
+    n, wide = sum(r["all"] for r in sizes), max((8 * r["size"] for r in sizes), default=0) + 64
     plans = {}
-    for length, group in largest_groups.items():
-        same = found.filter(F.size("vector") == length)
-        share = SAMPLE_ROWS / max(same.count(), SAMPLE_ROWS)
-        sample = same.filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_003)) <= share * 1_000_003).select("vector")
-        rows = np.array([r[0] for r in sample.collect()]).reshape(-1, length)
+    for length, group, several in sizes:
+        same = found.filter(F.size("vector") == length).select("vector")
+        share = SAMPLE_ROWS / max(several, SAMPLE_ROWS)
+        rows = _collected(same.filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_003)) <= share * 1_000_003), length)
         if not len(rows):  # a handful of vectors, none of them chosen
-            rows = np.array([r[0] for r in same.select("vector").limit(SAMPLE_ROWS).collect()]).reshape(-1, length)
-        largest = np.abs(rows).max(axis=1, keepdims=True)
-        rows = rows / largest
-        plans[length] = plan(rows / np.linalg.norm(rows, axis=1, keepdims=True), group, threshold)
+            rows = _collected(same.limit(SAMPLE_ROWS), length)
+        for some in _blocks(rows):
+            some /= np.abs(some).max(axis=1, keepdims=True)
+            some /= np.linalg.norm(some, axis=1, keepdims=True)
+        plans[length] = plan(rows, group, threshold)
     coded = written(_coded(found, {length: model for length, (model, _, _) in plans.items()}), "codes")
     # Codes have as many bits as their length gives, so each length has its own tables and bound.
     pairs = coded.select(F.col("number").alias("a"), F.col("number").alias("b")).limit(0)
     for length, (_, flip, tables) in plans.items():
         pairs = pairs.unionAll(candidates(coded.filter(F.col("size") == length), min(BITS, length), flip, *tables))
+    # Pairs of a group compress to a byte or two each, so that joins go by how many they are.
     pairs = written(pairs, "candidates")
-    links = written(reranked(pairs, found, threshold), "links")
+    links = written(reranked(pairs, found, threshold, (pairs.count(), n), wide), "links")
+    many = links.count()
     ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = found.select(F.col("number").alias("b"), "rows")
-    degrees = ends.join(sizes, "b").groupBy(F.col("a").alias("number")).agg(F.sum("rows").alias("others"))
+    rows_of = found.select(F.col("number").alias("b"), "rows")
+    degrees = joined(ends, rows_of, "b", (2 * many, n)).groupBy(F.col("a").alias("number")).agg(F.sum("rows").alias("others"))
     numbers = found.select("number", "id")
-    ids = links.join(numbers.withColumnsRenamed({"number": "a", "id": "id_a"}), "a").join(numbers.withColumnsRenamed({"number": "b", "id": "id_b"}), "b")
+    ids = joined(links, numbers.withColumnsRenamed({"number": "a", "id": "id_a"}), "a", (many, n))
+    ids = joined(ids, numbers.withColumnsRenamed({"number": "b", "id": "id_b"}), "b", (many, n))
     # Components by id: classes of one id, which repeated ids make, are one node.
-    linked = components(ids.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
-    whole = found.join(degrees, "number", "left").join(linked.withColumnRenamed("node", "id"), "id", "left")
+    linked = components(ids.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))).withColumnRenamed("node", "id")
+    linking = min(n, 2 * many)
+    told = numbers.join(sent(degrees, linking), "number", "left").join(sent(linked, linking), "id", "left").drop("id")
+    whole = joined(found, told, "number", (n, n), (wide, 64))
     answers = whole.select(
         F.col("label").alias("_label"),
         F.col("vector").alias("_vector"),
@@ -223,7 +251,7 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     )
     answers = written(answers, "answers")
     rows = vectors.select(F.col(key), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vector"))
-    met = rows.join(answers, (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector")), "left")
+    met = rows.join(sent(answers, n, wide), (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector")), "left")
     component = F.coalesce("component_id", F.col(key))
     return met.select(
         key,
@@ -233,12 +261,11 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     )
 
 
-def reranked(pairs: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose cosine in double precision reaches the threshold."""
+def reranked(pairs: DataFrame, found: DataFrame, threshold: float, rows: tuple[int, int], wide: int) -> DataFrame:
+    """The pairs whose cosine in double precision reaches the threshold; rows: pairs and classes, of `wide` bytes at most."""
     vectors = found.select("number", "vector")
-    both = pairs.join(vectors.withColumnsRenamed({"number": "a", "vector": "x"}), "a").join(
-        vectors.withColumnsRenamed({"number": "b", "vector": "y"}), "b"
-    )
+    both = joined(pairs, vectors.withColumnsRenamed({"number": "a", "vector": "x"}), "a", rows, (64, wide))
+    both = joined(both, vectors.withColumnsRenamed({"number": "b", "vector": "y"}), "b", rows, (wide + 64, wide))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from sensorloom.llm import embeddings, queries
+from sensorloom.llm import common, embeddings, queries
+from sensorloom.llm.components import components
 
 
 def all_pairs(rows, threshold):
@@ -111,3 +113,57 @@ def test_vectors_with_a_common_direction(spark):
         own *= math.sqrt(1 - shared**2) / np.linalg.norm(own, axis=1, keepdims=True)
         base = np.concatenate([np.full((300, 1), shared), own], axis=1)
         assert recall(spark, [*base, *near_pairs(rng, base, 0.931, 0.94)]) >= 0.9
+
+
+def test_no_join_brings_many_rows_to_the_driver(spark, tmp_path, monkeypatch):
+    """Entries of the tables and pairs are many times the files that they come from; a broadcast of them may not happen."""
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(6000, 64))
+    base[:300] = base[0] + 0.2 * rng.normal(size=(300, 64))  # a group whose pairs compress to little
+    rows = [(n, [float(x) for x in v], 1) for n, v in enumerate(base)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").write.parquet(f"{tmp_path}/vectors")
+    vectors = spark.read.parquet(f"{tmp_path}/vectors")
+    monkeypatch.setattr(common, "SENT_BYTES", 1 << 17)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", str(2 << 20))
+    try:
+        found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(vectors, 0.93).collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert len(found) == 6000 and sum(links for links, _ in found.values()) >= 0.9 * 300 * 299
+    assert all(found[n][1] == 0 for n in range(300)) and all(found[n][1] == n for n in range(300, 6000))
+
+
+def test_exploded_codes_are_not_sent(spark, tmp_path):
+    spark.range(1000).selectExpr("id number", "1 label", "64 size", "xxhash64(id) code").write.parquet(f"{tmp_path}/codes")
+    pairs = embeddings.candidates(spark.read.parquet(f"{tmp_path}/codes"), 64, 0.12, 5, 12, 1)
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counted_sides_of_a_join(spark):
+    few, many = spark.range(10).withColumn("x", F.lit(1)), spark.range(200_000).withColumn("y", F.lit(1))
+    shown = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in shown(common.joined(many, many.withColumnRenamed("y", "z"), "id", (200_000, 200_000)))
+    assert "BuildLeft" in shown(common.joined(few, many, "id", (10, 200_000)))
+    assert "BuildRight" in shown(common.joined(many, few, "id", (200_000, 10)))
+
+
+def test_the_sample_in_parts(spark, monkeypatch):
+    """The plan is the same however many vectors are copied at a time."""
+    rng = np.random.default_rng(14)
+    sample = rng.normal(size=(700, 24)) + 0.3
+    table = spark.createDataFrame([([float(x) for x in v],) for v in sample], "vector array<double>").repartition(5)
+    packed = embeddings._collected(table, 24)
+    assert sorted(map(tuple, packed)) == sorted(map(tuple, sample))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    (mean, projection), flip, tables = embeddings.plan(sample, 5000, 0.93)
+    monkeypatch.setattr(embeddings, "BLOCK_BYTES", 8 * 24 * 64)
+    (other_mean, other), other_flip, other_tables = embeddings.plan(sample, 5000, 0.93)
+    assert tables == other_tables and math.isclose(flip, other_flip, rel_tol=1e-9) and np.allclose(mean, other_mean)
+    assert (((sample - mean) @ projection >= 0) == ((sample - other_mean) @ other >= 0)).mean() > 0.999
+
+
+def test_components_by_sorted_joins(spark, monkeypatch):
+    links = spark.createDataFrame([(n, n + 1) for n in range(40) if n % 10 != 9] + [(7, 7), (None, 3)], "a bigint, b bigint")
+    small = sorted(map(tuple, components(links).collect()))
+    monkeypatch.setattr(common, "SENT_BYTES", 0)
+    assert sorted(map(tuple, components(links).collect())) == small == [(n, n - n % 10) for n in range(40)]
