@@ -5,7 +5,8 @@ rotated vectors are balanced binary codes that lose little. Codes are cut into s
 each; two vectors are candidates if in some table their substrings differ in at most `radius` bits. Length
 and radius follow, for each length of vectors, from the largest group's size: the cheapest choice at which vectors right at the
 threshold are expected to be found with probability RECALL. Pairs whose whole codes differ in more bits than all but a
-millionth of such pairs are left out. Candidates are reranked by the cosine of the original vectors.
+millionth of such pairs are left out, and so are those whose sketches do: the sides of random planes through zero that
+a vector is on, which differ at the rate of the angle whatever the vectors are. Candidates are reranked by the cosine of the original vectors.
 
 How often a bit differs follows from the angle as seen from the point that codes are taken around. Around the
 mean, bits are balanced, but where vectors share a direction the angles of near pairs are wider there: the widest
@@ -39,6 +40,8 @@ from sensorloom.llm.components import components
 SAMPLE_ROWS = 20_000
 ROUNDS = 30
 BITS = 64
+#: Bits of a sketch, in words of 64.
+SKETCH_WORDS = 3
 RECALL = 0.97
 #: What shuffling a row costs beside meeting one.
 SHUFFLED = 3
@@ -153,20 +156,27 @@ def classes(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
 
 
 def _coded(rows: DataFrame, models: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """number, label, size, code of each class."""
+    """number, label, size, code and the words of the sketch of each class."""
+    words = ["code", *(f"sketch{i}" for i in range(SKETCH_WORDS))]
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = {length: np.random.default_rng(SEED).normal(size=(length, 64 * SKETCH_WORDS)) for length in models}
         for batch in batches:
-            codes = []
-            for value in batch.column("vector"):
+            codes = np.zeros((batch.num_rows, 64 * len(words)), dtype=bool)
+            for at, value in enumerate(batch.column("vector")):
                 one = value.values.to_numpy()
                 mean, projection = models[len(one)]
-                signs = (one / np.linalg.norm(one / np.abs(one).max()) / np.abs(one).max() - mean) @ projection >= 0
-                codes.append(int.from_bytes(np.packbits(signs, bitorder="little").tobytes().ljust(8, b"\0"), "little", signed=True))
+                unit = one / np.linalg.norm(one / np.abs(one).max()) / np.abs(one).max()
+                codes[at, : projection.shape[1]] = (unit - mean) @ projection >= 0
+                codes[at, 64:] = unit @ planes[len(one)] >= 0
+            packed = np.packbits(codes, axis=1, bitorder="little").view("<i8")
             sizes = pa.compute.list_value_length(batch.column("vector"))
-            yield pa.RecordBatch.from_arrays([batch.column("number"), batch.column("label"), sizes, pa.array(codes, pa.int64())], ["number", "label", "size", "code"])
+            columns = [batch.column("number"), batch.column("label"), sizes, *(pa.array(packed[:, i]) for i in range(len(words)))]
+            yield pa.RecordBatch.from_arrays(columns, ["number", "label", "size", *words])
 
-    schema = T.StructType([rows.schema["number"], rows.schema["label"]]).add("size", "integer").add("code", "long")
+    schema = T.StructType([rows.schema["number"], rows.schema["label"]]).add("size", "integer")
+    for word in words:
+        schema = schema.add(word, "long")
     return rows.select("number", "label", "vector").mapInArrow(code, schema)
 
 
@@ -175,18 +185,24 @@ def _near(a: Column, b: Column, table: int, width: int, radius: int) -> Column:
     return F.bit_count(differing) <= radius
 
 
-def candidates(coded: DataFrame, bits: int, flip: float, tables: int, width: int, radius: int) -> DataFrame:
-    """a, b: pairs of classes of one length that some table brings together, each pair once."""
+def candidates(coded: DataFrame, bits: int, flip: float, tables: int, width: int, radius: int, apart: float) -> DataFrame:
+    """a, b: pairs of classes of one length that some table brings together, each pair once.
+
+    apart: how often bits of the sketches differ at the threshold.
+    """
+    sketches = [f"sketch{i}" for i in range(SKETCH_WORDS)]
     sub = F.expr(f"shiftrightunsigned(code, slot * {width}) & {(1 << width) - 1}L")
     tabled = coded.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))).withColumn("sub", sub)
     flips = F.explode(F.array(*[F.lit(m).cast("bigint") for m in _masks(width, radius)]))
     probes = tabled.withColumn("flip", flips).select(
-        "label", "size", "slot", F.col("sub").bitwiseXOR(F.col("flip")).alias("sub"), F.col("number").alias("a"), F.col("code").alias("code_a")
+        "label", "size", "slot", F.col("sub").bitwiseXOR(F.col("flip")).alias("sub"), F.col("number").alias("a"), F.col("code").alias("code_a"), *(F.col(c).alias(f"{c}_a") for c in sketches)
     )
     index = tabled.withColumnsRenamed({"number": "b", "code": "code_b"})
     # Entries and probes are many times the codes that they are made of, which is all that the planner would see.
     met = probes.join(index.hint("merge"), ["label", "size", "slot", "sub"]).filter("a < b")
     met = met.filter(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= furthest(bits, flip))
+    differing = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in sketches), F.lit(0))
+    met = met.filter(differing <= furthest(64 * SKETCH_WORDS, apart))
     # A pair that several tables find counts in the first of them.
     earlier = F.lit(False)
     for table in range(tables - 1):
@@ -227,7 +243,7 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     # Codes have as many bits as their length gives, so each length has its own tables and bound.
     pairs = coded.select(F.col("number").alias("a"), F.col("number").alias("b")).limit(0)
     for length, (_, flip, tables) in plans.items():
-        pairs = pairs.unionAll(candidates(coded.filter(F.col("size") == length), min(BITS, length), flip, *tables))
+        pairs = pairs.unionAll(candidates(coded.filter(F.col("size") == length), min(BITS, length), flip, *tables, math.acos(min(1.0, threshold)) / math.pi))
     # Pairs of a group compress to a byte or two each, so that joins go by how many they are.
     pairs = written(pairs, "candidates")
     links = written(reranked(pairs, found, threshold, (pairs.count(), n), wide), "links")

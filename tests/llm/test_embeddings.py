@@ -134,8 +134,8 @@ def test_no_join_brings_many_rows_to_the_driver(spark, tmp_path, monkeypatch):
 
 
 def test_exploded_codes_are_not_sent(spark, tmp_path):
-    spark.range(1000).selectExpr("id number", "1 label", "64 size", "xxhash64(id) code").write.parquet(f"{tmp_path}/codes")
-    pairs = embeddings.candidates(spark.read.parquet(f"{tmp_path}/codes"), 64, 0.12, 5, 12, 1)
+    spark.range(1000).selectExpr("id number", "1 label", "64 size", "xxhash64(id) code", "id sketch0", "id sketch1", "id sketch2").write.parquet(f"{tmp_path}/codes")
+    pairs = embeddings.candidates(spark.read.parquet(f"{tmp_path}/codes"), 64, 0.12, 5, 12, 1, 0.12)
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
 
 
@@ -167,3 +167,21 @@ def test_components_by_sorted_joins(spark, monkeypatch):
     small = sorted(map(tuple, components(links).collect()))
     monkeypatch.setattr(common, "SENT_BYTES", 0)
     assert sorted(map(tuple, components(links).collect())) == small == [(n, n - n % 10) for n in range(40)]
+
+
+def test_sketches_keep_links_and_leave_out_the_rest(spark):
+    """Pairs at the threshold pass, also with a common direction; nearly all others that tables bring together do not."""
+    rng = np.random.default_rng(15)
+    for shared in (0.0, 0.8):
+        own = rng.normal(size=(1000, 63))
+        own *= math.sqrt(1 - shared**2) / np.linalg.norm(own, axis=1, keepdims=True)
+        base = np.concatenate([np.full((1000, 1), shared), own], axis=1)
+        both = np.concatenate([base, near_pairs(rng, base, 0.93, 0.9301)])
+        rows = spark.createDataFrame([(n, 1, [float(x) for x in v]) for n, v in enumerate(both)], "number bigint, label int, vector array<double>")
+        coded = {r.number: r for r in embeddings._coded(rows, {64: embeddings.learn_rotation(both)}).collect()}
+        most = embeddings.furthest(64 * embeddings.SKETCH_WORDS, math.acos(0.93) / math.pi)
+        words = range(embeddings.SKETCH_WORDS)
+        apart = lambda a, b: sum(((coded[a][f"sketch{i}"] ^ coded[b][f"sketch{i}"]) & (1 << 64) - 1).bit_count() for i in words)  # noqa: E731, B023
+        assert all(apart(n, n + 1000) <= most for n in range(1000))
+        if not shared:
+            assert sum(apart(n, n + 1) <= most for n in range(999)) == 0
